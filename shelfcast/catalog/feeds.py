@@ -60,15 +60,20 @@ def _lines(spark: SparkSession, folder: str, customer: DataFrame) -> DataFrame:
 _SOURCE_FILE = "concat('sales_part-', lpad(cast(l_orderkey % 31 as string), 3, '0'), '.csv')"
 
 
-def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items in the silver shape. Customers are pseudonymised before the join fans them out."""
+def raw_sales(spark: SparkSession, folder: str, monthly: bool = False) -> DataFrame:
+    """Line items in the silver shape. Customers are pseudonymised before the join fans them out.
+
+    ``monthly`` books every order on the first of its month: a few dozen full partitions instead of
+    thousands holding a handful of rows each, for the queries that write the lake.
+    """
+    day = "trunc(o_orderdate, 'MM')" if monthly else "cast(o_orderdate as date)"
     customer = table(spark, folder, "customer").withColumn(
         "pseudonym", Pseudonymiser(spark, KEY).column(F.col("c_name"))
     )
     return _lines(spark, folder, customer).selectExpr(
         "cast(o_orderkey as string) as transaction_id",
         "o_orderdate as transaction_timestamp",
-        "cast(o_orderdate as date) as transaction_date",
+        f"{day} as transaction_date",
         "cast(c_nationkey as string) as store_id",
         "pseudonym as customer_pseudonym",
         "cast(null as string) as loyalty_pseudonym",
@@ -165,13 +170,15 @@ EXPORT_TEXT = {
     "channel": "o_orderpriority",
 }
 SPARK_DAY = "date_format(o_orderdate, 'yyyy-MM-dd')"
+SPARK_MONTH = "date_format(o_orderdate, 'yyyy-MM-01')"
 
 
-def exports(spark: SparkSession, folder: str) -> DataFrame:
+def exports(spark: SparkSession, folder: str, monthly: bool = False) -> DataFrame:
     """Export rows as landed: fifteen texts, some faulty, with the file they sit in."""
+    day = SPARK_MONTH if monthly else SPARK_DAY
     rows = _lines(spark, folder, table(spark, folder, "customer"))
     return rows.selectExpr(
-        *[f"{EXPORT_TEXT[c].format(day=SPARK_DAY)} as {c}" for c in EXPORT_COLUMNS],
+        *[f"{EXPORT_TEXT[c].format(day=day)} as {c}" for c in EXPORT_COLUMNS],
         f"{_SOURCE_FILE} as source_file",
     )
 

@@ -235,6 +235,14 @@ def _sql(body: str) -> str:
     return "with " + ", ".join(f"{name} as ({text})" for name, text in _CTE.items()) + " " + body
 
 
+def _monthly(sql: str) -> str:
+    """The same with every order booked on the first of its month."""
+    first = "cast(date_trunc('month', o_orderdate) as date)"
+    return sql.replace(_DAY, "strftime(o_orderdate, '%Y-%m-01')").replace(
+        "cast(o_orderdate as date) transaction_date", f"{first} transaction_date"
+    )
+
+
 def _stamp(c: str, name: str | None = None) -> str:
     return f"strftime({c}, '%Y-%m-%d %H:%M:%S') as {name or c}"
 
@@ -440,6 +448,13 @@ ORACLES: dict[str, str] = {name: _sql(body) for name, body in {
         f"select event_id, {_date('event_date')}, {_stamp('kickoff_utc')}, is_postponed, source_name,"
         f" source_file, '{feeds.AS_OF}' ingest_date from one_copy"
     ),
+    "bronze_to_snapshot": (
+        f"select source_name, '{feeds.AS_OF}' ingest_date, 'r2' run_id, events, rows_total,"
+        " rows_quarantined, kickoffs_unparsed from (select source_name, count(*) as events from one_copy"
+        " group by 1) join (select source_name, count(*) rows_total, count(*) filter"
+        " (where len(problems) > 0) rows_quarantined, count(*) filter (where kickoff_unparsed)"
+        " kickoffs_unparsed from events_checked group by 1) using (source_name)"
+    ),
     "json_envelope_explode": (
         "select source_file, false malformed, cast(position as int) as position, id,"
         " cast(null as varchar) evidence from responses, generate_series(0, 1) g(position)"
@@ -522,3 +537,8 @@ ORACLES: dict[str, str] = {name: _sql(body) for name, body in {
         " where (a is null) <> (b is null)"
     ),
 }.items()}
+
+for _name in (
+    "silver_roundtrip_replace", "incremental_pickup", "compaction", "incremental_mart", "published_mart",
+):
+    ORACLES[_name] = _monthly(ORACLES[_name])

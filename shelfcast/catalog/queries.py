@@ -16,11 +16,10 @@ from shelfcast.functions.text import clean, mask_url_key, outward_code
 from shelfcast.operators import demand, dimensions, events, facts, leaks, privacy, quality
 from shelfcast.operators import relevance, requests, staging, validation
 from shelfcast.plans.build import Inputs, build, gold, refresh_days
-from shelfcast.plans.ingest import ingest_sales
+from shelfcast.plans.ingest import ingest_events, ingest_sales
 from shelfcast.plans.publish import ChecksFailed, publish, published
 from shelfcast.session import work_folder
-from shelfcast.sources import exports, ledger, silver
-from shelfcast.sources.folders import read_folder
+from shelfcast.sources import ledger, silver
 from shelfcast.streaming.arrivals import pick_up_exports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,9 +57,9 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return staging.stg_events(feeds.raw_events(spark, folder))
 
 
-def _inputs(spark: SparkSession, folder: str) -> Inputs:
+def _inputs(spark: SparkSession, folder: str, monthly: bool = False) -> Inputs:
     return Inputs(
-        feeds.raw_sales(spark, folder), feeds.raw_events(spark, folder),
+        feeds.raw_sales(spark, folder, monthly), feeds.raw_events(spark, folder),
         feeds.stores(spark, folder), feeds.rules(spark), feeds.FOCUS,
     )
 
@@ -194,9 +193,9 @@ def pseudonymise_customers(spark, folder):
     )
 
 
-def _safe(spark, folder, policy=privacy.SALES_POLICY):
+def _safe(spark, folder, policy=privacy.SALES_POLICY, monthly=False):
     return privacy.apply_policy(
-        feeds.exports(spark, folder), Pseudonymiser(spark, feeds.KEY), policy, ("source_file",)
+        feeds.exports(spark, folder, monthly), Pseudonymiser(spark, feeds.KEY), policy, ("source_file",)
     )
 
 
@@ -290,8 +289,8 @@ def row_leaks(spark, folder):
 # --- validation and quarantine ------------------------------------------------------------------
 
 
-def _checked_sales(spark, folder):
-    return validation.check_sales(_safe(spark, folder), "r1", STAMP)
+def _checked_sales(spark, folder, monthly=False):
+    return validation.check_sales(_safe(spark, folder, monthly=monthly), "r1", STAMP)
 
 
 @query
@@ -379,7 +378,7 @@ def json_envelope_explode(spark, folder):
     return rows.select(
         "source_file", "malformed", "position",
         F.get_json_object("record", "$.idEvent").alias("id"),
-        F.when("malformed", F.md5("record")).alias("evidence"),
+        F.when(F.col("malformed"), F.md5("record")).alias("evidence"),
     )
 
 
@@ -438,7 +437,7 @@ def reconcile_missing(spark, folder):
 
 @query
 def url_redact(spark, folder):
-    url = F.regexp_replace("url", r"^(https?://[^/]+)/", "$1/api/json/k3y-$1/")
+    url = F.regexp_replace("url", r"^(https?://[^/]+)/", "$1/api/json/k3y/")
     return feeds.table(spark, folder, "pages").select("page_id", mask_url_key(url).alias("url"))
 
 
@@ -464,7 +463,7 @@ _SILVER = (
 def silver_roundtrip_replace(spark, folder):
     """Exports written as CSV and loaded three times, twice under one run and once under another."""
     lake = work_folder(spark, "lake")
-    _land(feeds.exports(spark, folder), f"{lake}/landing")
+    _land(feeds.exports(spark, folder, monthly=True), f"{lake}/landing")
     digest = Pseudonymiser(spark, feeds.KEY)
     for run in ("r1", "r1", "r2"):
         ingest_sales(spark, lake, f"{lake}/landing", digest, run, STAMP)
@@ -486,12 +485,29 @@ def event_snapshot_roundtrip(spark, folder):
     ))
 
 
+@query
+def bronze_to_snapshot(spark, folder):
+    """Provider records landed as gzipped lines in two feeds, then ingested twice."""
+    lake = work_folder(spark, "lake")
+    records = feeds.provider_records(spark, folder)
+    for source in EVENT_SOURCES:
+        records.filter(F.col("source_name") == source).select("record").write.text(
+            f"{lake}/bronze/sports_events/{source}/ingest_date={feeds.AS_OF}", compression="gzip"
+        )
+    for run in ("r1", "r2"):
+        counts = ingest_events(spark, lake, feeds.AS_OF, run, STAMP)
+    kept = silver.read_events(spark, lake).groupBy("source_name", "ingest_date", "run_id").agg(
+        F.count("*").alias("events")
+    )
+    return edge(kept.join(counts, "source_name"))
+
+
 @query
 def incremental_pickup(spark, folder):
     """Two landings taken by the stream one after the other."""
     lake = work_folder(spark, "lake")
     digest = Pseudonymiser(spark, feeds.KEY)
-    rows = feeds.exports(spark, folder)
+    rows = feeds.exports(spark, folder, monthly=True)
     late = F.regexp_extract("source_file", r"(\d+)", 1).cast("int") > 20
     for name, part in (("first", rows.filter(~late)), ("second", rows.filter(late))):
         _land(part, f"{lake}/landing")
@@ -506,7 +522,7 @@ def incremental_pickup(spark, folder):
 def compaction(spark, folder):
     """Silver written in small pieces, then compacted; the rows stay the same."""
     lake = work_folder(spark, "lake")
-    rows = validation.valid(_checked_sales(spark, folder))
+    rows = validation.valid(_checked_sales(spark, folder, monthly=True))
     path = f"{lake}/{silver.SALES}"
     rows.repartition(4).write.partitionBy(*silver.SALES_BY).parquet(path)
     days = [r[0] for r in rows.select("transaction_date").distinct().toLocalIterator()]
@@ -518,7 +534,7 @@ def compaction(spark, folder):
 def incremental_mart(spark, folder):
     """Built without the last two years of sales, then refreshed for just those days."""
     lake = work_folder(spark, "lake")
-    whole = _inputs(spark, folder)
+    whole = _inputs(spark, folder, monthly=True)
     cut = F.col("transaction_date") < "2000-01-01"
     early = Inputs(
         whole.raw_sales.filter(cut), whole.raw_events, whole.stores, whole.rules, whole.focus
@@ -531,8 +547,7 @@ def incremental_mart(spark, folder):
         spark, lake, "b2", whole, published(spark, lake),
         [r[0] for r in days.toLocalIterator()], FAR,
     )
-    mart = _mart(spark, folder)
-    return edge(read_folder(spark, paths["mart_pizza_demand_daily"], mart.schema))
+    return edge(spark.read.parquet(paths["mart_pizza_demand_daily"]))
 
 
 # --- data checks --------------------------------------------------------------------------------
@@ -641,7 +656,7 @@ def ground_truth_alignment(spark, folder):
 def published_mart(spark, folder):
     """The gate: a clean build is served, a later one with violations is not."""
     lake = work_folder(spark, "lake")
-    inputs = _inputs(spark, folder)
+    inputs = _inputs(spark, folder, monthly=True)
     paths = build(lake, "good", inputs)
     tables = {name: spark.read.parquet(path) for name, path in paths.items()}
     publish(spark, lake, "good", paths, quality.run_suite(spark, tables, FAR))
@@ -654,5 +669,4 @@ def published_mart(spark, folder):
         publish(spark, lake, "bad", bad, quality.run_suite(spark, tables, FAR))
     except ChecksFailed:
         pass
-    mart = gold(inputs)["mart_pizza_demand_daily"]
-    return edge(read_folder(spark, published(spark, lake)["mart_pizza_demand_daily"], mart.schema))
+    return edge(spark.read.parquet(published(spark, lake)["mart_pizza_demand_daily"]))
