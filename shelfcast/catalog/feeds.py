@@ -33,6 +33,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a scan enough tasks.
+
+    The tables at hand are single files with a single row group, which no split can divide, so the
+    whole job would run in one task. A table of at least as many files as cores is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
+
+
 def rules(spark: SparkSession) -> DataFrame:
     rows = [(name, scope, nation, Decimal(w), why) for name, scope, nation, w, why in RULES]
     return spark.createDataFrame(rows, RULE_SCHEMA)
@@ -48,7 +58,8 @@ def stores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, folder: str, customer: DataFrame) -> DataFrame:
-    item, order = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    item = spread(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey")
+    order = table(spark, folder, "orders")
     part = table(spark, folder, "part")
     return (
         item.join(order, item.l_orderkey == order.o_orderkey)
@@ -204,7 +215,7 @@ SPARK_EVENT = {
 
 def provider_records(spark: SparkSession, folder: str) -> DataFrame:
     """Provider records as landed in two overlapping feeds, as JSON text."""
-    return table(spark, folder, "events").selectExpr(
+    return spread(table(spark, folder, "events"), "event_id").selectExpr(
         "event_id as landed_id",
         "case when event_id % 2 = 0 then 'events_by_day' else 'events_next_by_league' end as source_name",
         "concat('pull-', cast(event_id % 97 as string)) as source_file",

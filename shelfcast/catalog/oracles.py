@@ -216,7 +216,7 @@ _CTE = {
         " concat(strftime(cast(ts as date) + cast(user_id % 29 - 7 as int), '%Y-%m-%d'), '__soccer') as label"
         " from events where event_type in ('purchase', 'view') union select distinct cast(ts as date),"
         " 'events_next_by_league', concat('league_', case user_id % 3 when 0 then '4328' when 1 then '4480'"
-        " else '4443' end) from events where event_type = 'error' and value > 97"
+        " else '4443' end) from events where event_type = 'error' and value > 97 and extract(isodow from ts) < 6"
     ),
     "responses": (
         "select concat('event-', cast(event_id as varchar)) source_file,"
@@ -532,8 +532,8 @@ ORACLES: dict[str, str] = {name: _sql(body) for name, body in {
     "ground_truth_alignment": (
         f"select {_date('d', 'date_day')}, a is not null in_mart, b is not null in_manifest from"
         " (select coalesce(a, b) d, a, b from (select distinct date_day a from mart where"
-        " relevant_event_count > 0) full join (select distinct event_date b from fixtures where"
-        " not is_postponed and league_name in ('purchase', 'click')) on a = b)"
+        " relevant_event_count > 0) full join (select distinct event_date + 1 b from fixtures where"
+        " not is_postponed and league_name = 'purchase') on a = b)"
         " where (a is null) <> (b is null)"
     ),
 }.items()}

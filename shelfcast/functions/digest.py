@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.functions.text import blank, strip
+from shelfcast.functions.text import strip
 
 PSEUDONYM_LENGTH = 32  # hex characters, 128 bits
 _BLOCK = 64  # SHA-256 block size in bytes
@@ -39,9 +39,9 @@ class Pseudonymiser:
 
     def column(self, value: Column) -> Column:
         """The pseudonym of ``value``; NULL for NULL or blank, which must not share an identity."""
-        text = value.cast("string")
+        text = strip(value.cast("string"))
         inner = self._pads.select("inner_pad").scalar()
         outer = self._pads.select("outer_pad").scalar()
-        first = F.sha2(F.concat(inner, strip(text).cast("binary")), 256)
+        first = F.sha2(F.concat(inner, text.cast("binary")), 256)
         second = F.sha2(F.concat(outer, F.unhex(first)), 256)
-        return F.when(~blank(text), F.substring(second, 1, PSEUDONYM_LENGTH))
+        return F.when(text != "", F.substring(second, 1, PSEUDONYM_LENGTH))

@@ -2,45 +2,36 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfcast.functions.text import strip
-
-ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-ISO_TIMESTAMP = (
-    r"^(\d{4}-\d{2}-\d{2})[Tt ](\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)"
-    r"(?:[Zz]|([+-])(0\d|1[0-8]):?([0-5]\d))?$"
-)
+ISO_DATE = r"^\s*\d{4}-\d{2}-\d{2}\s*$"
+_CLOCK = r"^\s*\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?"
+ISO_LOCAL = _CLOCK + r"\s*$"
+ISO_ZONED = _CLOCK + r"(?:[Zz]|[+-](?:0\d|1[0-7]):?[0-5]\d)\s*$"
+_COMPACT_OFFSET = r"([+-]\d{2})(\d{2})(\s*)$"
 
 
 def iso_date(c: Column) -> Column:
     """A ``YYYY-MM-DD`` text as a date; NULL when malformed or impossible."""
-    text = strip(c)
-    return F.when(text.rlike(ISO_DATE), text).try_cast("date")
+    return F.when(c.rlike(ISO_DATE), c).try_cast("date")
 
 
 def iso_timestamp(c: Column) -> Column:
     """An ISO-8601 date-time as a zone-less timestamp; NULL when malformed or impossible.
 
-    A bare year or date is not a date-time. An explicit offset is converted to UTC by interval
-    arithmetic, so the result does not depend on the session time zone; a text without an offset is
-    kept as written.
+    A bare year or date is not a date-time. A text with an offset is read as an instant and given in
+    UTC by way of its microseconds, so the result does not depend on the session time zone; a text
+    without one is kept as written.
     """
-    text = strip(c)
-
-    def part(group: int) -> Column:
-        return F.regexp_extract(text, ISO_TIMESTAMP, group)
-
-    local = F.when(
-        text.rlike(ISO_TIMESTAMP), F.concat_ws(" ", part(1), part(2))
-    ).try_cast("timestamp_ntz")
-    minutes = (
-        F.coalesce(part(4).try_cast("int"), F.lit(0)) * 60
-        + F.coalesce(part(5).try_cast("int"), F.lit(0))
+    epoch = F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz")
+    spelled = F.upper(F.regexp_replace(c, _COMPACT_OFFSET, "$1:$2"))
+    instant = F.unix_micros(spelled.try_cast("timestamp"))
+    return F.when(c.rlike(ISO_LOCAL), F.upper(c).try_cast("timestamp_ntz")).when(
+        c.rlike(ISO_ZONED), F.timestamp_add("MICROSECOND", instant, epoch)
     )
-    signed = F.when(part(3) == "-", -minutes).otherwise(minutes)
-    return local - F.make_dt_interval(mins=signed)
 
 
 def iso_day_of_week(d: Column) -> Column:

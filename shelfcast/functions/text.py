@@ -24,17 +24,17 @@ KEY_IN_PATH = r"(/json/)[^/]+(/)"
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing whitespace of any kind."""
-    return F.trim(c, F.lit(WHITESPACE))
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def blank(c: Column) -> Column:
     """True for NULL, empty and whitespace-only text; never NULL."""
-    return c.isNull() | (strip(c) == "")
+    return F.coalesce(strip(c) == "", F.lit(True))
 
 
 def null_or_empty(c: Column) -> Column:
     """True for NULL and the empty string only; never NULL."""
-    return c.isNull() | (c == "")
+    return F.coalesce(c == "", F.lit(True))
 
 
 def clean(c: Column) -> Column:

@@ -47,8 +47,7 @@ def leak_scan(output: DataFrame, personal: DataFrame) -> DataFrame:
     ``personal`` has one text column, ``value``. A value matches when it is a whole cell or a part
     of one. Instead of comparing every cell with every value, each distinct text is cut into its
     pieces of the lengths that occur among the values, and pieces meet values in an equality join.
-    Texts are counted before they are cut and pieces are made distinct per text, so a text repeated
-    in a third of all rows is handled once.
+    Texts are counted before they are cut, so a text repeated in a third of all rows is cut once.
     """
     values = personal.select(strip(F.col("value")).alias("value")).filter(~blank(F.col("value"))).distinct()
     # A set of lengths, not of values: bounded by the longest value.
@@ -74,8 +73,6 @@ def leak_scan(output: DataFrame, personal: DataFrame) -> DataFrame:
             F.array_distinct(F.transform(starts, lambda at: F.col("text").substr(at, F.col("length"))))
         ).alias("value"),
     )
-    return (
-        pieces.join(values, "value", "left_semi")
-        .groupBy("column_name", "value")
-        .agg(F.sum("cells").alias("cells"))
-    )
+    # Folded before the join, so a piece found in very many texts meets the values once per column.
+    counted = pieces.groupBy("column_name", "value").agg(F.sum("cells").alias("cells"))
+    return counted.join(values, "value", "left_semi").select("column_name", "value", "cells")

@@ -1,4 +1,8 @@
-"""Contracts as columns: every row gets the list of its problems, and none is dropped."""
+"""Contracts as columns: every row gets the reason it is rejected for, and none is dropped.
+
+The reason names every offending field (``"store_id: blank; quantity: ..."``) and is empty for a
+valid row. It is one ``concat_ws`` over ``when`` expressions, which skips NULLs and compiles.
+"""
 
 from __future__ import annotations
 
@@ -10,14 +14,14 @@ from pyspark.sql import functions as F
 
 from shelfcast.contracts import EVENT_SCHEMA, EVENT_YEARS, SALES_SCHEMA
 from shelfcast.functions.moments import iso_timestamp
-from shelfcast.functions.text import blank, strip
+from shelfcast.functions.text import blank
 
-PROBLEMS = "problems"
+REASON = "reason"
 RECORD = "record"
 RAGGED = "ragged"
 
-PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"
-TOO_PRECISE = r"\.\d{2}\d*[1-9]"
+# At most two decimals, apart from trailing zeros.
+AMOUNT = r"^\s*[+-]?(?:\d+\.?|\d*\.\d{1,2}0*)\s*$"
 
 
 def problem(field: str, why: str, bad: Column) -> Column:
@@ -25,20 +29,22 @@ def problem(field: str, why: str, bad: Column) -> Column:
     return F.when(bad, F.lit(f"{field}: {why}"))
 
 
-def problem_list(*problems: Column) -> Column:
-    return F.array_compact(F.array(*problems))
+def reasons(*problems: Column) -> Column:
+    return F.concat_ws("; ", *problems)
 
 
 def to_quantity(c: Column) -> Column:
     """A whole number; NULL for anything else, including ``2.0``."""
-    return strip(c).try_cast("int")
+    return c.try_cast("int")
 
 
 def to_money(c: Column) -> Column:
     """An amount with at most two decimals; NULL for anything else instead of rounding it."""
-    text = strip(c)
-    exact = text.rlike(PLAIN_NUMBER) & ~text.rlike(TOO_PRECISE)
-    return F.when(exact, text).try_cast("decimal(12,2)")
+    return F.when(c.rlike(AMOUNT), c).try_cast("decimal(12,2)")
+
+
+def is_valid() -> Column:
+    return F.col(REASON) == ""
 
 
 def json_record(df: DataFrame, *columns: str) -> Column:
@@ -49,63 +55,69 @@ def json_record(df: DataFrame, *columns: str) -> Column:
 
 
 def check_sales(safe: DataFrame, run_id: str, ingested_at: datetime) -> DataFrame:
-    """Coerce pseudonymised rows into the silver schema, with ``problems`` and ``record`` beside it.
+    """Coerce pseudonymised rows into the silver schema, with ``reason`` and ``record`` beside it.
 
     ``safe`` is the policy's output plus ``source_file`` and, from the export reader, ``ragged``. The
-    record kept for the quarantine holds policy outputs only. A ragged row keeps no record at all:
-    its values may sit under the wrong names, personal ones included.
+    record kept for the quarantine holds policy outputs only, and only rejected rows get one. A
+    ragged row keeps no record at all: its values may sit under the wrong names, personal ones
+    included.
     """
     ragged = F.col(RAGGED) if RAGGED in safe.columns else F.lit(False)
     fields = [c for c in safe.columns if c not in (RAGGED, "source_file")]
-    quantity, price, total = F.col("quantity"), F.col("unit_price_gbp"), F.col("line_total_gbp")
-
-    def money_problem(name: str, raw: Column) -> Column:
-        amount = to_money(raw)
-        return problem(
-            name, "not an amount of at least 0",
-            ~blank(raw) & (amount.isNull() | (amount < 0)),
-        )
-
-    moment = iso_timestamp(F.col("transaction_timestamp"))
-    count = to_quantity(quantity)
-    found = problem_list(
-        problem("transaction_timestamp", "missing or not ISO-8601", moment.isNull()),
+    # Parsed in a projection of their own: everything below refers to the parsed values more than
+    # once, and a filter on the problems must not parse the texts a second time.
+    parsed = safe.withColumns({
+        "_moment": iso_timestamp(F.col("transaction_timestamp")),
+        "_quantity": to_quantity(F.col("quantity")),
+        "_price": to_money(F.col("unit_price_gbp")),
+        "_total": to_money(F.col("line_total_gbp")),
+    })
+    count = F.col("_quantity")
+
+    def money_problem(name: str, amount: Column) -> Column:
+        bad = ~blank(F.col(name)) & (amount.isNull() | (amount < 0))
+        return problem(name, "not an amount of at least 0", bad)
+
+    found = reasons(
+        problem("transaction_timestamp", "missing or not ISO-8601", F.col("_moment").isNull()),
         problem("transaction_id", "blank", blank(F.col("transaction_id"))),
         problem("store_id", "blank", blank(F.col("store_id"))),
         problem("product_sku", "blank", blank(F.col("product_sku"))),
         problem("quantity", "not a whole number above 0", count.isNull() | (count <= 0)),
-        money_problem("unit_price_gbp", price),
-        money_problem("line_total_gbp", total),
+        money_problem("unit_price_gbp", F.col("_price")),
+        money_problem("line_total_gbp", F.col("_total")),
     )
     typed = {
-        "transaction_timestamp": moment,
-        "transaction_date": F.to_date(moment),
+        "transaction_timestamp": F.col("_moment"),
+        "transaction_date": F.to_date("_moment"),
         "quantity": count,
-        "unit_price_gbp": to_money(price),
-        "line_total_gbp": to_money(total),
+        "unit_price_gbp": F.col("_price"),
+        "line_total_gbp": F.col("_total"),
         "run_id": F.lit(run_id),
         "ingested_at": F.lit(ingested_at).cast("timestamp"),
     }
-    return safe.select(
+    judged = parsed.withColumn(REASON, F.when(ragged, "row: ragged").otherwise(found))
+    return judged.select(
         *[typed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in SALES_SCHEMA],
-        F.when(ragged, F.array(F.lit("row: ragged"))).otherwise(found).alias(PROBLEMS),
-        F.when(~ragged, json_record(safe, *fields)).alias(RECORD),
+        REASON,
+        F.when(~ragged & ~is_valid(), json_record(safe, *fields)).alias(RECORD),
     )
 
 
 def check_events(normalised: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Add ``problems`` to normalised events. The raw text travels in ``record`` as the evidence."""
+    """Add ``reason`` to normalised events. The raw text travels in ``record`` as the evidence."""
     first, last = EVENT_YEARS
     date = F.col("event_date")
     malformed = F.col("malformed") if "malformed" in normalised.columns else F.lit(False)
-    found = problem_list(
+    found = reasons(
         problem("event_id", "blank", blank(F.col("event_id"))),
-        problem("event_date", "missing or unreadable", date.isNull()),
-        problem("event_date", f"not within {first}..{last}", ~F.year(date).between(first, last)),
+        F.when(date.isNull(), "event_date: missing or unreadable").when(
+            ~F.year(date).between(first, last), f"event_date: not within {first}..{last}"
+        ),
     )
     return normalised.select(
         *[F.col(f.name) for f in EVENT_SCHEMA],
-        F.when(malformed, F.array(F.lit("record: not JSON"))).otherwise(found).alias(PROBLEMS),
+        F.when(malformed, "record: not JSON").otherwise(found).alias(REASON),
         F.col(RECORD),
         *carry,
     )
@@ -113,14 +125,14 @@ def check_events(normalised: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 
 def valid(checked: DataFrame) -> DataFrame:
     """Rows without problems, in the contract's columns."""
-    return checked.filter(F.size(PROBLEMS) == 0).drop(PROBLEMS, RECORD)
+    return checked.filter(is_valid()).drop(REASON, RECORD)
 
 
 def quarantined(checked: DataFrame) -> DataFrame:
-    """Rows with problems: reason, lineage and the record to diagnose them by."""
+    """Rejected rows: reason, lineage and the record to diagnose them by."""
     lineage = [c for c in ("source_name", "source_file", "run_id") if c in checked.columns]
-    return checked.filter(F.size(PROBLEMS) > 0).select(
-        F.array_join(PROBLEMS, "; ").alias("reason"),
+    return checked.filter(~is_valid()).select(
+        REASON,
         *lineage,
         F.col("ingested_at").alias("quarantined_at"),
         RECORD,
@@ -129,7 +141,7 @@ def quarantined(checked: DataFrame) -> DataFrame:
 
 def quarantine_rate(checked: DataFrame, *by: str) -> DataFrame:
     """``(rows_total, rows_quarantined, quarantine_rate)``; the rate of an empty batch is 0."""
-    bad = F.count_if(F.size(PROBLEMS) > 0)
+    bad = F.count_if(~is_valid())
     total = F.count("*")
     rate = F.coalesce(F.try_divide(bad.cast("double"), total.cast("double")), F.lit(0.0))
     return checked.groupBy(*by).agg(
@@ -144,7 +156,7 @@ def rate_alerts(rates: DataFrame, threshold: float) -> DataFrame:
 
 def file_results(checked: DataFrame) -> DataFrame:
     """What became of each file: rows read, written, quarantined, and the dates it held."""
-    ok = F.size(PROBLEMS) == 0
+    ok = is_valid()
     date = F.when(ok, F.col("transaction_date"))
     per_date = checked.groupBy("source_file", date.alias("date_seen")).agg(
         F.count("*").alias("rows_read"), F.count_if(ok).alias("rows_written")
@@ -164,7 +176,7 @@ def file_dates(checked: DataFrame) -> DataFrame:
 
     Every file appears, also one whose rows were all rejected (with a NULL date).
     """
-    ok = F.size(PROBLEMS) == 0
+    ok = is_valid()
     return checked.groupBy(
         "source_file", "run_id", F.when(ok, F.col("transaction_date")).alias("transaction_date")
     ).agg(F.count_if(ok).alias("rows_written"))
