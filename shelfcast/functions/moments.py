@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,7 +24,7 @@ def iso_timestamp(c: Column) -> Column:
     UTC by way of its microseconds, so the result does not depend on the session time zone; a text
     without one is kept as written.
     """
-    epoch = F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     spelled = F.upper(F.regexp_replace(c, _COMPACT_OFFSET, "$1:$2"))
     instant = F.unix_micros(spelled.try_cast("timestamp"))
     return F.when(c.rlike(ISO_LOCAL), F.upper(c).try_cast("timestamp_ntz")).when(
