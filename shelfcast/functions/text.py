@@ -53,6 +53,11 @@ def file_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def decoded(path: Column) -> Column:
+    """A path as it is on storage; ``_metadata`` columns give it percent-encoded."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def stem(name: Column) -> Column:
     """A file name without its ``.csv`` or ``.parquet`` ending."""
     return F.regexp_replace(file_name(name), r"\.(csv|parquet)$", "")
