@@ -1 +1 @@
-"""DataFrame operators. Each takes and returns lazy DataFrames and triggers no action."""
+"""DataFrame operators. All are lazy but ``leak_scan``, which measures one side before joining."""

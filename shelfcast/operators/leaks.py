@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.functions.text import blank, strip
+from shelfcast.session import materialise
 
 
 def _text_columns(df: DataFrame) -> list[str]:
@@ -41,6 +42,9 @@ def row_leaks(
     )
 
 
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
 def leak_scan(output: DataFrame, personal: DataFrame) -> DataFrame:
     """Personal values found anywhere in ``output``: ``(column_name, value, cells)``.
 
@@ -48,10 +52,19 @@ def leak_scan(output: DataFrame, personal: DataFrame) -> DataFrame:
     of one. Instead of comparing every cell with every value, each distinct text is cut into its
     pieces of the lengths that occur among the values, and pieces meet values in an equality join.
     Texts are counted before they are cut, so a text repeated in a third of all rows is cut once.
+
+    The distinct values are staged and measured. Up to ``BROADCAST_BYTES`` they go to every task and
+    pieces that match none never leave theirs; beyond that pieces are folded and then joined by
+    shuffle, where a piece found in very many texts meets the values once per column.
     """
-    values = personal.select(strip(F.col("value")).alias("value")).filter(~blank(F.col("value"))).distinct()
+    stripped = strip(F.col("value"))
+    values = materialise(
+        personal.select(stripped.alias("value")).filter(~blank(F.col("value"))).distinct(), "values"
+    )
     # A set of lengths, not of values: bounded by the longest value.
-    lengths = values.agg(F.collect_set(F.length("value"))).scalar()
+    size, lengths = values.agg(
+        F.sum(F.octet_length("value")), F.collect_set(F.length("value"))
+    ).first()
 
     text = _text_columns(output)
     cells = (
@@ -64,15 +77,17 @@ def leak_scan(output: DataFrame, personal: DataFrame) -> DataFrame:
         .groupBy("column_name", "text")
         .agg(F.count("*").alias("cells"))
     )
-    sized = cells.withColumn("length", F.explode(lengths)).filter(F.col("length") <= F.length("text"))
-    starts = F.sequence(F.lit(1), F.length("text") - F.col("length") + 1)
-    pieces = sized.select(
-        "column_name",
-        "cells",
-        F.explode(
-            F.array_distinct(F.transform(starts, lambda at: F.col("text").substr(at, F.col("length"))))
-        ).alias("value"),
+    length = F.col("length")
+    sized = cells.withColumn("length", F.explode(F.lit(lengths).cast("array<int>"))).filter(
+        length <= F.length("text")
     )
-    # Folded before the join, so a piece found in very many texts meets the values once per column.
-    counted = pieces.groupBy("column_name", "value").agg(F.sum("cells").alias("cells"))
-    return counted.join(values, "value", "left_semi").select("column_name", "value", "cells")
+    starts = F.sequence(F.lit(1), F.length("text") - length + 1)
+    cut = F.transform(starts, lambda at: F.col("text").substr(at, length))
+    pieces = sized.select("column_name", "cells", F.explode(F.array_distinct(cut)).alias("value"))
+
+    def folded(df: DataFrame) -> DataFrame:
+        return df.groupBy("column_name", "value").agg(F.sum("cells").alias("cells"))
+
+    if (size or 0) <= BROADCAST_BYTES:
+        return folded(pieces.join(F.broadcast(values), "value", "left_semi"))
+    return folded(pieces).join(values, "value", "left_semi").select("column_name", "value", "cells")

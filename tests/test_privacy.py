@@ -91,7 +91,9 @@ def test_the_scan_finds_embedded_values_and_counts_cells(spark):
     assert rows(leaks.leak_scan(out, personal(spark))) == [("note", "jo@mail.example", 3)]
 
 
-def test_scan_equals_brute_force(spark):
+@pytest.mark.parametrize("limit", [0, leaks.BROADCAST_BYTES])
+def test_scan_equals_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(leaks, "BROADCAST_BYTES", limit)
     values = ["ab", "bc", "abcabc", "zz", "a"]
     cells = ["abcabc", "xbcx", "", "aaa", "zy", "abcabc"]
     out = spark.createDataFrame([(c,) for c in cells], "t string")
@@ -102,6 +104,12 @@ def test_scan_equals_brute_force(spark):
     assert sorted(rows(found)) == want
 
 
+def test_scan_without_values_or_text(spark):
+    none = spark.createDataFrame([("",), (None,)], "value string")
+    assert rows(leaks.leak_scan(spark.createDataFrame([("a",)], "t string"), none)) == []
+    assert rows(leaks.leak_scan(spark.createDataFrame([(None,)], "t string"), personal(spark))) == []
+
+
 def test_row_leaks(spark):
     df = spark.createDataFrame(
         [("mail a@b", "a@b", "s"), ("mail", "c@d", "s"), ("x", " ", "s"), ("x", None, "s")],
