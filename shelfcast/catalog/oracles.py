@@ -297,6 +297,22 @@ def _row_leaks() -> str:
     )
 
 
+def _register() -> str:
+    renamed = {
+        "customer_id": ("hash", "'customer_pseudonym'"),
+        "loyalty_id": ("hash", "'loyalty_pseudonym'"),
+        "customer_email": ("drop", "null"),
+        "card_last4": ("drop", "null"),
+        "customer_postcode": ("generalise", "'customer_postcode_district'"),
+    }
+    return " union all ".join(
+        f"select '{c}' field, count(*) filter (where trim({c}) <> '') filled,"
+        f" '{renamed.get(c, ('keep',))[0]}' as action, {renamed.get(c, ('', repr(c)))[1]} output_name"
+        " from exports"
+        for c in EXPORT_COLUMNS
+    )
+
+
 def _suite() -> str:
     from shelfcast.operators.quality import SUITE
 
@@ -371,6 +387,13 @@ ORACLES: dict[str, str] = {name: _sql(body) for name, body in {
         f" {_hmac('c_name')} name_pseudonym, cast(null as varchar) blank_pseudonym from customer"
     ),
     "policy_projection": "select * from safe",
+    "policy_register": _register(),
+    "seed_stores": "select * from stores",
+    "exports_two_layouts": "select * exclude (source_file) from safe",
+    "exports_listed": (
+        "select 8 files_counted, cast(8 as bigint) files_read, count(*) row_count,"
+        " cast(0 as bigint) files_without_length from exports"
+    ),
     "policy_absent_field": (
         "select source_file, count(*) row_count, cast(0 as bigint) loyalty_pseudonyms,"
         " count(customer_postcode_district) districts, 14 column_count from safe group by 1"

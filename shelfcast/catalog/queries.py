@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from shelfcast.catalog import feeds
 from shelfcast.contracts import EVENT_SOURCES, EXPORT_COLUMNS
 from shelfcast.functions.digest import Pseudonymiser
-from shelfcast.functions.text import clean, mask_url_key, outward_code
+from shelfcast.functions.text import blank, clean, mask_url_key, outward_code
 from shelfcast.operators import demand, dimensions, events, facts, leaks, privacy, quality
 from shelfcast.operators import relevance, requests, staging, validation
 from shelfcast.plans.build import Inputs, build, gold, refresh_days
@@ -20,6 +20,10 @@ from shelfcast.plans.ingest import ingest_events, ingest_sales
 from shelfcast.plans.publish import ChecksFailed, publish, published
 from shelfcast.session import materialise, work_folder
 from shelfcast.sources import ledger, silver
+from shelfcast.sources.exports import (
+    count_exports, list_exports, read_exports, read_headers, union_all,
+)
+from shelfcast.sources.seeds import read_stores
 from shelfcast.streaming.arrivals import pick_up_exports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,6 +208,18 @@ def policy_projection(spark, folder):
     return _safe(spark, folder)
 
 
+@query
+def policy_register(spark, folder):
+    """The policy beside what actually arrives: filled cells of each field."""
+    rows = feeds.exports(spark, folder)
+    filled = rows.agg(*[F.count_if(~blank(F.col(c))).alias(c) for c in EXPORT_COLUMNS]).select(
+        F.inline(F.array(*[
+            F.struct(F.lit(c).alias("field"), F.col(c).alias("filled")) for c in EXPORT_COLUMNS
+        ]))
+    )
+    return filled.join(privacy.policy_register(spark).drop("note"), "field")
+
+
 @query
 def policy_absent_field(spark, folder):
     """An export without loyalty ids and with a column nobody has heard of."""
@@ -444,11 +460,17 @@ def url_redact(spark, folder):
 # --- the lake -----------------------------------------------------------------------------------
 
 
+_CSV = {
+    "header": True, "escape": '"', "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
 def _land(rows: DataFrame, landing: str) -> None:
     """Write export rows as CSV files with a header."""
     (
         rows.select(*EXPORT_COLUMNS).repartition(8).write.mode("append")
-        .csv(landing, header=True, escape='"', emptyValue="")
+        .csv(landing, **_CSV)
     )
 
 
@@ -459,6 +481,49 @@ _SILVER = (
 )
 
 
+@query
+def seed_stores(spark, folder):
+    """The store list written as a CSV seed and read under its contract."""
+    path = f"{work_folder(spark, 'seed')}/stores.csv"
+    feeds.stores(spark, folder).write.csv(path, header=True, escape='"')
+    return read_stores(spark, path)
+
+
+@query
+def exports_two_layouts(spark, folder):
+    """Exports in two column orders, one with an unknown column; every value under its own name."""
+    landing = f"{work_folder(spark, 'lake')}/landing"
+    rows = feeds.exports(spark, folder)
+    turned = F.regexp_extract("source_file", r"(\d+)", 1).cast("int") > 15
+    _land(rows.filter(~turned), landing)
+    other = rows.filter(turned).select(
+        "customer_email", F.lit("0123 456").alias("customer_phone"),
+        *[c for c in reversed(EXPORT_COLUMNS) if c != "customer_email"],
+    )
+    other.repartition(8).write.mode("append").csv(landing, **_CSV)
+    headers = read_headers(spark, landing)
+    digest = Pseudonymiser(spark, feeds.KEY)
+    return union_all([
+        privacy.apply_policy(layout, digest) for layout in read_exports(spark, landing, headers)
+    ])
+
+
+@query
+def exports_listed(spark, folder):
+    """Landed files are listed, counted and read exactly once."""
+    landing = f"{work_folder(spark, 'lake')}/landing"
+    _land(feeds.exports(spark, folder), landing)
+    listed = list_exports(spark, landing)
+    lines = union_all(read_exports(spark, landing, read_headers(spark, landing)))
+    per_file = lines.groupBy("source_file").agg(F.count("*").alias("row_count"))
+    return listed.join(per_file, "source_file").agg(
+        F.max(F.lit(count_exports(spark, landing))).alias("files_counted"),
+        F.count("*").alias("files_read"),
+        F.sum("row_count").alias("row_count"),
+        F.count_if(F.col("length") <= 0).alias("files_without_length"),
+    )
+
+
 @query
 def silver_roundtrip_replace(spark, folder):
     """Exports written as CSV and loaded three times, twice under one run and once under another."""
@@ -467,7 +532,8 @@ def silver_roundtrip_replace(spark, folder):
     digest = Pseudonymiser(spark, feeds.KEY)
     for run in ("r1", "r1", "r2"):
         ingest_sales(spark, lake, f"{lake}/landing", digest, run, STAMP)
-    return edge(silver.read_sales(spark, lake).select(*_SILVER, "run_id"))
+    silver.register(spark, lake)
+    return edge(spark.table("raw_sales").select(*_SILVER, "run_id"))
 
 
 @query
@@ -480,7 +546,8 @@ def event_snapshot_roundtrip(spark, folder):
         silver.write_event_snapshot(
             events.collapse_sources(good, position="position"), lake, feeds.AS_OF
         )
-    return edge(silver.read_events(spark, lake).select(
+    silver.register(spark, lake)
+    return edge(spark.table("raw_sports_events").select(
         "event_id", "event_date", "kickoff_utc", "is_postponed", "source_name", "source_file", "ingest_date"
     ))
 
@@ -520,14 +587,17 @@ def incremental_pickup(spark, folder):
 
 @query
 def compaction(spark, folder):
-    """Silver written in small pieces, then compacted; the rows stay the same."""
+    """Silver written in small pieces, then compacted; read back as an external table."""
     lake = work_folder(spark, "lake")
     rows = validation.valid(_checked_sales(spark, folder, monthly=True))
     path = f"{lake}/{silver.SALES}"
     rows.repartition(4).write.partitionBy(*silver.SALES_BY).parquet(path)
     days = [r[0] for r in rows.select("transaction_date").distinct().toLocalIterator()]
     silver.compact_sales(spark, lake, days)
-    return edge(silver.read_sales(spark, lake).select(*_SILVER))
+    database = lake.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"create database {database} location '{lake}/database'")
+    silver.register_tables(spark, lake, database)
+    return edge(spark.table(f"{database}.raw_sales").select(*_SILVER))
 
 
 @query

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.text import strip
 
-PSEUDONYM_LENGTH = 32  # hex characters, 128 bits
+# Fixed value: hex characters kept of a digest, 128 bits.
+PSEUDONYM_LENGTH = 32
 _BLOCK = 64  # SHA-256 block size in bytes
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelfcast.contracts import DEFAULT_SPORTS, EVENT_SOURCES, WATCHLIST_LEAGUES
 
 BY_DAY, BY_LEAGUE = EVENT_SOURCES
+# The daily window looks back for corrections and ahead for planning.
 DAYS_BACK, DAYS_FORWARD = 7, 21
 
 

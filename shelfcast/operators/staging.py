@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Fixed value: the category the measures are about, unless another is given.
 FOCUS_CATEGORY = "Pizza"
 
 _SALES = (

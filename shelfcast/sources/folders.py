@@ -74,6 +74,11 @@ def partition_folder(name: str, value: object) -> str:
     return f"{name}={text}"
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def drop_partitions(spark: SparkSession, path: str, partitions: Iterable[Sequence]) -> None:
     """Delete partition folders; a dynamic overwrite cannot empty one. Items are (name, value) pairs."""
     hadoop = spark._jvm.org.apache.hadoop.fs
