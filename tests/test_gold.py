@@ -135,6 +135,19 @@ def test_daily_fact_equals_count_distinct(spark):
     assert rows(baskets, "store_id", "date_day") == want
 
 
+def test_a_hot_store_day_spreads_over_its_baskets(make, spark, tmp_path):
+    make(SALES).raw_sales.write.parquet(str(tmp_path / "s"))
+    lines = staging.stg_sales(spark.read.parquet(str(tmp_path / "s")))
+    plan = plan_of(facts.fct_sales_daily(lines))
+    first = plan[plan.rindex("Exchange hashpartitioning"):]
+    keys = first[: first.index(")")]
+    assert "transaction_id" in keys and "customer_pseudonym" in keys
+    # Folded before that exchange, from two copies of a line.
+    assert "partial_sum" in first and first.count("Expand") == 1
+    expand = first[first.index("Expand [["):]
+    assert expand[: expand.index("]]")].count("[") == 3
+
+
 def test_bridge(make):
     i = make(events=[
         event("E1", "Premier"), event("E2", "Cup"), event("E3", "Scots"), event("E4", "Irish"),
