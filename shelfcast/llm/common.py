@@ -21,6 +21,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, name)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with at most 8 MB and 1,000 rows of it in one Arrow batch from here on.
+
+    Workers hold a batch, their results and both copies for the transfer; the session's defaults (64 MB,
+    10,000 rows) suit numbers, not texts. Smaller settings of the session are left alone.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 * 1024 * 1024))
+    return df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` (compared without case) has it."""
     taken = {c.lower() for c in df.columns}

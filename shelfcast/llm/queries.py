@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import mixing, pieces, pii, simhash, toxicity
+from shelfcast.llm import importance, mixing, neighbours, perplexity, pieces, pii, preference, secrets, simhash, toxicity
 from shelfcast.llm.common import hexadecimal, table
 from shelfcast.llm.spans import written
 
@@ -19,6 +19,19 @@ def query(function):
     return function
 
 
+@query
+def op1_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents resampled towards those labelled as good, as many as the labels' share of good ones."""
+    return importance.resampled(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op2_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    """Rendered turns of prompts and completions, conversations against their mismatched replies."""
+    pairs = preference.mismatched_replies(table(spark, folder, "conversations"))
+    return preference.formatted(pairs).withColumnRenamed("pair", "conv_id")
+
+
 @query
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words the mix takes of each document: weights 5, 2, 1 along the sources, 150 % of all words."""
@@ -37,6 +50,34 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_perplexity(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule counts, perplexity and verdict of each document."""
+    return perplexity.judged(table(spark, folder, "documents"))
+
+
+@query
+def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors found for each vector whose id is divisible by 100."""
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+@query
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of each document; sources own documents, and a document is a repository."""
+    out = secrets.with_spans(table(spark, folder, "documents"), owner="source", repository="doc_id")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return out.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in secrets.RANK],
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+        F.sha2(written(secrets.plain(F.col("spans"), secrets.BASE)), 256).alias("base_sha256"),
+        written(secrets.plain(F.col("spans"))).alias("spans"),
+    )
+
+
 @query
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and class of each document."""

@@ -1,0 +1,263 @@
+"""Spans, personal data, secrets, token pieces and rule counts against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import os
+import random
+import re
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from shelfcast.llm import importance, perplexity, pieces, pii, queries, secrets
+from shelfcast.llm.spans import written
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+FOLDER = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, start int, kind string"
+real = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables not present")
+
+AWKWARD = [
+    "", " ", "\n\n", "a", "Mail a@b.co, x_y@z.w.v and a@b.c_d@e.f.", "ip 1.2.3.4.5.6.7.8 999.1.1.1 0255.001.1.1",
+    "card 4111 1111 1111 1111, 4111-1111-1111-1112 and 4111  1111", "+1 (415) 555-2671 or +12 3", "é" * 50 + " a@b.cd",
+    "iban GB82 WEST 1234 5698 7654 32 or GB82WEST12345698765433", "ssn 078-05-1120 and 078-05-11200",
+    'password = "hunter22", token=token=abcdefg secret=token: abcdefghi API_KEY: x', "AKIA" + "A1" * 8 + " AKIAAA",
+    "deadbeef" * 4 + " deadbee", "PassWd:abcdef\npasswd : 'qwerty12'", "9" * 3000, "1." * 2000, "a." * 3000 + "@b.c", "1 " * 3000,
+    "+1" * 500, "😀 a@b.cd 😀 10.0.0.1", "tab\tand\x0bvertical", "x" * 30000, "a@" * 2000,
+]
+ROWS = [(i, t, "en", f"s{i % 3}", len(t), 1, "k") for i, t in enumerate(AWKWARD)]
+ROWS += [(None, None, None, None, None, None, None), (3, "a", "en", "s0", 1, 1, "k"), (3, "a", "en", "s0", 1, 1, "k")]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).repartition(3)
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def base_pii(text: str) -> list[tuple[int, int, int, str]]:
+    out = []
+    for rank, (kind, pattern) in enumerate((
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    )):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in m[0].split(".")),
+                "card": 12 <= len(digits) <= 19 and luhn(digits), "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                out.append((m.start(), rank, m.end(), kind))
+    return sorted(out)
+
+
+def base_secrets(text: str) -> list[tuple[int, int, int, str]]:
+    out = []
+    assign = r"""(?a:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    for rank, (kind, pattern) in enumerate((("assign", assign), ("access", r"AKIA[A-Z0-9]+"), ("hex", "[0-9a-f]+"))):
+        for m in re.finditer(pattern, text):
+            if (kind == "assign" and len(m[1]) >= 6) or (kind == "access" and len(m[0]) >= 20) or (kind == "hex" and len(m[0]) >= 24):
+                out.append((m.start(), rank, m.end(), kind))
+    return sorted(out)
+
+
+def listed(spans) -> str:
+    return ",".join(f"{k}:{a}:{b}" for a, _, b, k in spans)
+
+
+@real
+def test_base_personal_data_equals_plain_patterns(spark, awkward):
+    docs = awkward.select("doc_id", "text").union(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text"))
+    found = pii.with_spans(docs).select("text", written(pii.spans("pii", pii.BASE)).alias("s")).collect()
+    for r in found:
+        assert r["s"] == listed(base_pii(r["text"] or "")), (r["text"] or "")[:80]
+
+
+def test_iban_and_ssn_are_confirmed_by_checksum_and_context(awkward):
+    found = {r["doc_id"]: r["s"] for r in pii.with_spans(awkward).select("doc_id", written(pii.spans("pii", ("iban", "ssn"))).alias("s")).collect()}
+    assert found[9] == "iban:5:32"
+    assert found[10] == "ssn:4:15"
+    assert not [s for i, s in found.items() if i not in (9, 10) and s]
+
+
+def test_redaction_replaces_spans_and_keeps_columns(awkward):
+    out = pii.redacted(awkward, n_chars="n_chars")
+    assert out.columns == awkward.columns and out.count() == len(ROWS)
+    text = {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()}
+    assert text[20] == ("😀 [EMAIL] 😀 [IP]", 16)
+    assert text[6][0] == "card [CARD], 4111-1111-1111-1112 and 4111  1111"
+    assert text[3] == ("a", 1) and text[None] == (None, None)
+
+
+@real
+def test_base_secrets_equal_plain_patterns(spark, awkward):
+    docs = awkward.select("doc_id", "text", "source").union(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "source"))
+    docs = docs.withColumn("doc_id", F.monotonically_increasing_id())
+    docs.write.mode("overwrite").parquet(f := spark.conf.get("spark.checkpoint.dir") + "/secret-docs")
+    docs = spark.read.parquet(f)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    found = secrets.with_spans(docs).select("doc_id", written(secrets.plain(F.col("spans"), secrets.BASE)).alias("s")).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        assert r["s"] == listed(base_secrets(texts[r["doc_id"]])), texts[r["doc_id"]][:80]
+
+
+def test_ownership_separates_examples_from_live_values(spark):
+    copied, own = "Zx9" + "aB3" * 10, "Qr7" + "kL2" * 10
+    rows = [(i, f"see {copied} there", f"owner{i}") for i in range(4)] + [(i, f"see {own} there", "me") for i in range(4, 7)]
+    rows += [(7, f"token = '{copied}'", "owner0"), (8, "x" * 40, "me")]
+    out = secrets.with_spans(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    got = {r["doc_id"]: [(s["kind"], s["owners"], s["repositories"], s["live"]) for s in r["spans"]] for r in out.collect()}
+    assert got[4] == got[5] == got[6] == [("token", 1, 3, True)]
+    assert got[0] == [] and got[8] == []  # widely copied; one kind of character only
+    assert got[7] == [("assign", 4, 5, False)]  # base spans stay
+
+
+def test_secrets_of_an_empty_table(spark):
+    assert secrets.with_spans(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
+
+
+def test_pieces_equal_the_library(spark, awkward):
+    r = random.Random(3)
+    parts = [" ", "  ", "a", "b", "▁", "\n", "é", "😀", "the ", "ing", "▁▁", "\x00", "　", "<s>", "\r\n"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 16))) for _ in range(400)]
+    docs = awkward.select("text").union(spark.createDataFrame([(t,) for t in texts], "text string"))
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for size in (3, 100_000):
+        for row in pieces.encoded(docs, MODEL, table_size=size).collect():
+            ids = sp.encode(row["text"] or "")
+            assert (row["pieces"]["ids"], row["pieces"]["decoded"]) == (ids, sp.decode(ids)), row["text"]
+
+
+@real
+def test_pieces_query(spark):
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    rows = queries.op9_pieces(spark, FOLDER).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = sp.encode(texts[r["doc_id"]])
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
+
+
+def plain_rules(text: str) -> tuple[int, ...]:
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = {i + j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(3)}
+    lines, twice = set(), 0
+    for line in text.split("\n"):
+        twice += line in lines and bool(re.search(r"[^\x20\x09-\x0D]", line))
+        lines.add(line)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), twice, len(covered)
+
+
+def test_rule_counts_equal_plain_ones():
+    r = random.Random(5)
+    texts = ["".join(r.choice(["a ", "b ", "é#", "\n", " ", "\x0b", "\x1c", "c d e\n", "|"]) for _ in range(r.randint(0, 60))) for _ in range(300)]
+    for t in [*texts, *[t for t in AWKWARD if len(t) < 500]]:
+        assert perplexity.rules(t.encode()) == plain_rules(t), t
+
+
+def kneser_ney(texts: list[str], order: int = perplexity.ORDER):
+    """Interpolated modified Kneser-Ney over characters, by definition."""
+    from collections import Counter
+
+    counts = {order: Counter()}
+    for t in texts:
+        padded = chr(perplexity.START) * (order - 1) + t
+        for i in range(len(t)):
+            counts[order][padded[i : i + order]] += 1
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    discounts = {}
+    for n, c in counts.items():
+        r = Counter(c.values())
+        y = r[1] / (r[1] + 2 * r[2]) if r[1] + 2 * r[2] else 0.5
+        discounts[n] = [min(max(i - (i + 1) * y * (r[i + 1] / r[i] if r[i] else 0), 0.1), i - 0.1) for i in (1, 2, 3)]
+
+    def p(gram: str) -> float:
+        n = len(gram)
+        if not n:
+            return 1 / 65536
+        after = [c for g, c in counts[n].items() if g[:-1] == gram[:-1]]
+        if not after:
+            return p(gram[1:])
+        d = discounts[n]
+        c = counts[n][gram]
+        own = c - d[min(c, 3) - 1] if c else 0
+        gamma = sum(d[min(x, 3) - 1] for x in after)
+        return (own + gamma * p(gram[1:])) / sum(after)
+
+    return p
+
+
+def test_model_equals_kneser_ney_by_definition(spark):
+    import numpy as np
+
+    texts = ["abracadabra", "abab cabra", "bra bra", "", "dab"]
+    docs = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    model = perplexity.Arrays.of(perplexity.estimated(perplexity.gram_counts(docs)).toArrow())
+    p = kneser_ney(texts)
+    for text in [*texts, "zab", "brx"]:
+        padded = chr(perplexity.START) * (perplexity.ORDER - 1) + text
+        mine = model.log_probabilities("xx", perplexity.grams(text))
+        assert np.allclose(mine, [np.log(p(padded[i : i + perplexity.ORDER])) for i in range(len(text))], atol=1e-5), text
+
+
+@real
+def test_both_ways_to_score_agree(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    a, b = ({r["doc_id"]: r for r in perplexity.judged(docs, max_entries=n).collect()} for n in (10**7, 0))
+    assert a.keys() == b.keys()
+    for i, r in a.items():
+        assert abs(r["perplexity"] - b[i]["perplexity"]) < 1e-4 and r["kept"] == b[i]["kept"]
+
+
+def test_bands_reject_noise_and_keep_prose(spark, awkward):
+    r = random.Random(1)
+    syllables = ["the", "and", "er", "ing", "on", "re", "st"]
+    prose = [" ".join("".join(r.choice(syllables) for _ in range(r.randint(1, 3))) for _ in range(200)) for _ in range(60)]
+    noise = " ".join("".join(chr(r.randint(33, 500)) for _ in range(6)) for _ in range(200))
+    rows = [(i, t, "en") for i, t in enumerate([*prose, noise])]
+    got = {x["doc_id"]: x["kept"] for x in perplexity.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not got[60] and sum(got.values()) >= 59
+    out = perplexity.judged(awkward).collect()
+    assert len(out) == len(ROWS) and all(x["base_failed"] is not None and x["kept"] is not None for x in out)
+    assert perplexity.judged(awkward.limit(0)).count() == 0
+
+
+def test_importance_keeps_exactly_k_and_prefers_the_target(spark, awkward):
+    r = random.Random(2)
+    good = [" ".join(r.choice(["sun", "moon", "star", "sky"]) for _ in range(80)) for _ in range(60)]
+    bad = [" ".join(r.choice(["buy", "now", "cheap", "click"]) for _ in range(80)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(0, 100, 2)], "doc_id long, quality int")
+    got = {x["doc_id"]: x["kept"] for x in importance.resampled(docs, labels).collect()}
+    assert sum(got.values()) == 60 and all(got[i] for i in range(60))
+    assert {x["doc_id"]: x["kept"] for x in importance.resampled(docs, labels).collect()} == got
+    repeated = docs.union(docs).union(docs.limit(5))
+    assert importance.resampled(repeated, labels, k=7).where("kept").count() == 7
+    assert importance.resampled(docs, labels.limit(0), k=3).where("kept").count() == 3
+    assert importance.resampled(awkward, labels, k=5).where("kept").count() == 5
+    assert importance.resampled(docs.limit(0), labels).count() == 0
+
+
+def test_gumbel_top_k_samples_in_proportion_to_weights(spark):
+    """With equal log weights every document is as likely; with log 3 more it comes first three times in four."""
+    draws = spark.range(4000).select(
+        (importance.gumbel(F.col("id") * 2, 7) + F.log(F.lit(3.0)) > importance.gumbel(F.col("id") * 2 + 1, 7)).cast("int").alias("first")
+    )
+    assert abs(draws.agg(F.avg("first")).first()[0] - 0.75) < 0.03
