@@ -19,6 +19,7 @@ KEY = "a key for public test data"
 FOCUS = "PROMO"
 SHIFT_DAYS = 9131
 AS_OF = "1999-01-20"
+CHECKED_UNTIL = "1998-06-30"
 
 RULES = (
     ("purchase", "national", None, "1.00", "everywhere, no nation"),
@@ -33,16 +34,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan enough tasks.
-
-    The tables at hand are single files with a single row group, which no split can divide, so the
-    whole job would run in one task. A table of at least as many files as cores is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
-
-
 def rules(spark: SparkSession) -> DataFrame:
     rows = [(name, scope, nation, Decimal(w), why) for name, scope, nation, w, why in RULES]
     return spark.createDataFrame(rows, RULE_SCHEMA)
@@ -58,7 +49,7 @@ def stores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, folder: str, customer: DataFrame) -> DataFrame:
-    item = spread(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey")
+    item = table(spark, folder, "lineitem")
     order = table(spark, folder, "orders")
     part = table(spark, folder, "part")
     return (
@@ -71,20 +62,15 @@ def _lines(spark: SparkSession, folder: str, customer: DataFrame) -> DataFrame:
 _SOURCE_FILE = "concat('sales_part-', lpad(cast(l_orderkey % 31 as string), 3, '0'), '.csv')"
 
 
-def raw_sales(spark: SparkSession, folder: str, monthly: bool = False) -> DataFrame:
-    """Line items in the silver shape. Customers are pseudonymised before the join fans them out.
-
-    ``monthly`` books every order on the first of its month: a few dozen full partitions instead of
-    thousands holding a handful of rows each, for the queries that write the lake.
-    """
-    day = "trunc(o_orderdate, 'MM')" if monthly else "cast(o_orderdate as date)"
+def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items in the silver shape. Customers are pseudonymised before the join fans them out."""
     customer = table(spark, folder, "customer").withColumn(
         "pseudonym", Pseudonymiser(spark, KEY).column(F.col("c_name"))
     )
     return _lines(spark, folder, customer).selectExpr(
         "cast(o_orderkey as string) as transaction_id",
         "o_orderdate as transaction_timestamp",
-        f"{day} as transaction_date",
+        "cast(o_orderdate as date) as transaction_date",
         "cast(c_nationkey as string) as store_id",
         "pseudonym as customer_pseudonym",
         "cast(null as string) as loyalty_pseudonym",
@@ -181,15 +167,13 @@ EXPORT_TEXT = {
     "channel": "o_orderpriority",
 }
 SPARK_DAY = "date_format(o_orderdate, 'yyyy-MM-dd')"
-SPARK_MONTH = "date_format(o_orderdate, 'yyyy-MM-01')"
 
 
-def exports(spark: SparkSession, folder: str, monthly: bool = False) -> DataFrame:
+def exports(spark: SparkSession, folder: str) -> DataFrame:
     """Export rows as landed: fifteen texts, some faulty, with the file they sit in."""
-    day = SPARK_MONTH if monthly else SPARK_DAY
     rows = _lines(spark, folder, table(spark, folder, "customer"))
     return rows.selectExpr(
-        *[f"{EXPORT_TEXT[c].format(day=day)} as {c}" for c in EXPORT_COLUMNS],
+        *[f"{EXPORT_TEXT[c].format(day=SPARK_DAY)} as {c}" for c in EXPORT_COLUMNS],
         f"{_SOURCE_FILE} as source_file",
     )
 
@@ -215,9 +199,9 @@ SPARK_EVENT = {
 
 def provider_records(spark: SparkSession, folder: str) -> DataFrame:
     """Provider records as landed in two overlapping feeds, as JSON text."""
-    return spread(table(spark, folder, "events"), "event_id").selectExpr(
+    return table(spark, folder, "events").selectExpr(
         "event_id as landed_id",
-        "case when event_id % 2 = 0 then 'events_by_day' else 'events_next_by_league' end as source_name",
+        "case when event_id % 2 = 0 or user_id % 3 = 0 then 'events_by_day' else 'events_next_by_league' end as source_name",
         "concat('pull-', cast(event_id % 97 as string)) as source_file",
         "event_id as position",
         f"{PROVIDER_JSON.format(**SPARK_EVENT)} as record",

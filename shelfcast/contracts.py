@@ -10,6 +10,7 @@ _TYPES = {
     "long": T.LongType(),
     "boolean": T.BooleanType(),
     "date": T.DateType(),
+    "array<date>": T.ArrayType(T.DateType()),
     "timestamp": T.TimestampType(),
     "timestamp_ntz": T.TimestampNTZType(),
     "decimal(12,2)": T.DecimalType(12, 2),
@@ -60,6 +61,7 @@ EVENT_PARTITION = T.StructField("ingest_date", T.DateType())
 # Plausible years of an event.
 EVENT_YEARS = (1990, 2100)
 
+# The columns of the two seeds.
 STORE_SCHEMA = struct(
     "store_id string, store_name string, city string, region string, nation string, "
     "postcode_district string"
@@ -78,6 +80,7 @@ WATCHLIST_LEAGUES = {
     4391: "NFL",
     4443: "UFC",
 }
+# Fixed value: the sports asked for when a pull names none.
 DEFAULT_SPORTS = ("Soccer",)
 
 # Event feeds in reading order; for one event a later feed wins over an earlier one.

@@ -14,18 +14,24 @@ _STORE = ("store_id", "store_name", "city", "region", "nation")
 def spine(stores: DataFrame, dates: DataFrame, tasks: int | None = None) -> DataFrame:
     """Every store on every day of the calendar, with the attributes of both.
 
-    Each store row unrolls the calendar, held as one array: a calendar has at most one entry per day
-    (four-digit years, a few megabytes at the very most), whereas the store table may be any size and
-    stays distributed. Day attributes are recomputed from the day, so neither dimension needs to be
-    joined back. ``tasks`` spreads the unrolling; the default is the session's shuffle parallelism.
+    The calendar is folded to one row a year, each with the list of its days (366 at most), and each
+    store meets each year by its position: stores unroll the sequence of years between the first and
+    the last, years join in equality, and the days unroll last. Neither side is gathered in a task or
+    on the driver; only two years travel there. Day attributes are recomputed from the day.
+    ``tasks`` spreads the unrolling; the default is the session's shuffle parallelism.
     """
     spark = stores.sparkSession
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    calendar = dates.agg(F.collect_set("date_day")).scalar()
+    year = F.year("date_day")
+    first, last = dates.agg(F.min(year), F.max(year)).first()
+    years = dates.groupBy(year.alias("_year")).agg(F.collect_set("date_day").alias("_days"))
+    span = F.sequence(F.lit(first).cast("int"), F.lit(last).cast("int"))
     return (
         stores.select(*_STORE)
         .repartition(tasks, "store_id")
-        .withColumn("date_day", F.explode(calendar))
+        .withColumn("_year", F.explode(span))
+        .join(years, "_year")
+        .withColumn("date_day", F.explode("_days"))
         .select(*_STORE, "date_day", *calendar_columns(F.col("date_day")))
     )
 

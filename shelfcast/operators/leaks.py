@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,29 +42,32 @@ def row_leaks(
     )
 
 
-BROADCAST_BYTES = 32 * 1024 * 1024
-
-
 def leak_scan(output: DataFrame, personal: DataFrame) -> DataFrame:
     """Personal values found anywhere in ``output``: ``(column_name, value, cells)``.
 
     ``personal`` has one text column, ``value``. A value matches when it is a whole cell or a part
-    of one. Instead of comparing every cell with every value, each distinct text is cut into its
-    pieces of the lengths that occur among the values, and pieces meet values in an equality join.
-    Texts are counted before they are cut, so a text repeated in a third of all rows is cut once.
-
-    The distinct values are staged and measured. Up to ``BROADCAST_BYTES`` they go to every task and
-    pieces that match none never leave theirs; beyond that pieces are folded and then joined by
-    shuffle, where a piece found in very many texts meets the values once per column.
+    of one. Every value is looked for by one of its parts, as long as the shortest value: the part that
+    the fewest values have. Each distinct text is counted, then cut into its parts of that one length,
+    so at most as many as it has characters, and parts meet in an equality join. Texts that hold the
+    part are then searched for the whole value. The same plan serves any size; texts stay where they
+    are until a part of a value was found in them.
     """
     stripped = strip(F.col("value"))
     values = materialise(
         personal.select(stripped.alias("value")).filter(~blank(F.col("value"))).distinct(), "values"
     )
-    # A set of lengths, not of values: bounded by the longest value.
-    size, lengths = values.agg(
-        F.sum(F.octet_length("value")), F.collect_set(F.length("value"))
-    ).first()
+    width = values.agg(F.min(F.length("value"))).first()[0] or 1
+
+    def parts(text: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(text) - width + 1)
+        return F.array_distinct(F.transform(starts, lambda at: text.substr(at, F.lit(width))))
+
+    cut = values.select("value", F.explode(parts(F.col("value"))).alias("part"))
+    shared = cut.groupBy("part").agg(F.count("*").alias("values"))
+    # Of a value's parts the rarest, the first of them in order if several are.
+    rarest = cut.join(shared, "part").groupBy("value").agg(
+        F.min(F.struct("values", "part")).getField("part").alias("part")
+    )
 
     text = _text_columns(output)
     cells = (
@@ -73,21 +76,14 @@ def leak_scan(output: DataFrame, personal: DataFrame) -> DataFrame:
                 F.struct(F.lit(c).alias("column_name"), F.col(c).alias("text")) for c in text
             ]))
         )
-        .filter(F.col("text").isNotNull())
+        .filter(F.length("text") >= width)
         .groupBy("column_name", "text")
         .agg(F.count("*").alias("cells"))
     )
-    length = F.col("length")
-    sized = cells.withColumn("length", F.explode(F.lit(lengths).cast("array<int>"))).filter(
-        length <= F.length("text")
+    cells = materialise(cells.withColumn("cell", F.monotonically_increasing_id()), "cells")
+    met = (
+        cells.select("cell", F.explode(parts(F.col("text"))).alias("part"))
+        .join(rarest, "part").select("cell", "value")
     )
-    starts = F.sequence(F.lit(1), F.length("text") - length + 1)
-    cut = F.transform(starts, lambda at: F.col("text").substr(at, length))
-    pieces = sized.select("column_name", "cells", F.explode(F.array_distinct(cut)).alias("value"))
-
-    def folded(df: DataFrame) -> DataFrame:
-        return df.groupBy("column_name", "value").agg(F.sum("cells").alias("cells"))
-
-    if (size or 0) <= BROADCAST_BYTES:
-        return folded(pieces.join(F.broadcast(values), "value", "left_semi"))
-    return folded(pieces).join(values, "value", "left_semi").select("column_name", "value", "cells")
+    found = cells.join(met, "cell").filter(F.col("text").contains(F.col("value")))
+    return found.groupBy("column_name", "value").agg(F.sum("cells").alias("cells"))

@@ -76,14 +76,26 @@ def plausibility(mart: DataFrame) -> DataFrame:
     )
 
 
-def _names(schema: T.StructType) -> Iterable[str]:
+def _fields(schema: T.StructType, held: str = "", exact: bool = True) -> Iterable[tuple[str, str]]:
+    """(name, path of a column that is filled where the field is) of every field, at any depth.
+
+    A field inside an array or map is reported at the outermost array or map that holds it.
+    """
     for f in schema.fields:
-        yield f.name
-        inner = f.dataType
-        while isinstance(inner, T.ArrayType):
-            inner = inner.elementType
-        if isinstance(inner, T.StructType):
-            yield from _names(inner)
+        path = f"{held}.`{f.name}`" if held and exact else held or f"`{f.name}`"
+        yield f.name, path
+        inner, direct = f.dataType, exact
+        todo = [inner]
+        while todo:
+            inner = todo.pop()
+            if isinstance(inner, T.ArrayType):
+                todo.append(inner.elementType)
+                direct = False
+            elif isinstance(inner, T.MapType):
+                todo += [inner.keyType, inner.valueType]
+                direct = False
+            elif isinstance(inner, T.StructType):
+                yield from _fields(inner, path, direct)
 
 
 def personal_columns(
@@ -94,7 +106,7 @@ def personal_columns(
     return [
         (table, name)
         for table, df in tables.items()
-        for name in _names(df.schema)
+        for name, _ in _fields(df.schema)
         if name.lower() in banned
     ]
 
@@ -102,17 +114,21 @@ def personal_columns(
 def personal_column_exposure(tables: Mapping[str, DataFrame], pseudonyms: bool = False) -> DataFrame:
     """The banned columns and how many rows expose a value: ``(table_name, column_name, exposed_rows)``.
 
-    A banned column is reported even when it holds no value.
+    A banned column is reported even when it holds no value, and at any depth; inside arrays and maps
+    every row counts whose array or map is there.
     """
     spark = next(iter(tables.values())).sparkSession
-    found: dict[str, list[str]] = {}
-    for table, name in personal_columns(tables, pseudonyms):
-        if name in tables[table].columns:
-            found.setdefault(table, []).append(name)
+    banned = {(t, n) for t, n in personal_columns(tables, pseudonyms)}
     parts = []
-    for table, names in found.items():
-        counts = tables[table].agg(*[F.count(n).alias(n) for n in names])
-        cells = [F.struct(F.lit(n).alias("column_name"), F.col(n).alias("exposed_rows")) for n in names]
+    for table, df in tables.items():
+        names = [(n, path) for n, path in _fields(df.schema) if (table, n) in banned]
+        if not names:
+            continue
+        counts = df.agg(*[F.count(path).alias(f"n{i}") for i, (_, path) in enumerate(names)])
+        cells = [
+            F.struct(F.lit(n).alias("column_name"), F.col(f"n{i}").alias("exposed_rows"))
+            for i, (n, _) in enumerate(names)
+        ]
         parts.append(counts.select(F.lit(table).alias("table_name"), F.inline(F.array(*cells))))
     if not parts:
         return spark.createDataFrame([], "table_name string, column_name string, exposed_rows long")
@@ -133,22 +149,23 @@ def uplift(mart: DataFrame) -> DataFrame:
     )
 
 
-def manifest_mismatches(mart: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Days elevated in the table but not in the manifest, and the other way round.
+def manifest_mismatches(mart: DataFrame, manifest: DataFrame, least: float = 0.15) -> DataFrame:
+    """Days of elevated demand that the manifest lacks, and listed days without elevated demand.
 
-    ``manifest`` has one ``date_day`` per day with an injected uplift. A day counts as elevated when
-    some store has a relevant event on it.
+    ``manifest`` has one ``date_day`` per day with an injected uplift. Demand is elevated on a day when
+    all stores' units together exceed the mean of the unlisted days of the same weekday by more than
+    the share ``least``. A listed day without sales data is not elevated.
     """
-    elevated = (
-        mart.filter("relevant_event_count > 0").select("date_day").distinct()
-        .withColumn("in_mart", F.lit(True))
-    )
     listed = manifest.select("date_day").distinct().withColumn("in_manifest", F.lit(True))
-    both = elevated.join(listed, "date_day", "full_outer")
-    return both.select(
-        "date_day",
-        F.coalesce("in_mart", F.lit(False)).alias("in_mart"),
-        F.coalesce("in_manifest", F.lit(False)).alias("in_manifest"),
+    sold = mart.filter(F.col("pizza_units").isNotNull()).groupBy("date_day").agg(F.sum("pizza_units").alias("units"))
+    both = sold.join(listed, "date_day", "full_outer").select(
+        "date_day", "units", F.coalesce("in_manifest", F.lit(False)).alias("in_manifest"),
+        F.dayofweek("date_day").alias("weekday"),
+    )
+    quiet = both.filter(~F.col("in_manifest")).groupBy("weekday").agg(F.avg("units").alias("typical"))
+    elevated = F.coalesce(F.col("units") > F.col("typical") * F.lit(1 + least), F.lit(False))
+    return both.join(quiet, "weekday", "left").select(
+        "date_day", elevated.alias("in_mart"), "in_manifest"
     ).filter("in_mart != in_manifest")
 
 

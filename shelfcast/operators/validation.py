@@ -66,12 +66,13 @@ def check_sales(safe: DataFrame, run_id: str, ingested_at: datetime) -> DataFram
     fields = [c for c in safe.columns if c not in (RAGGED, "source_file")]
     # Parsed in a projection of their own: everything below refers to the parsed values more than
     # once, and a filter on the problems must not parse the texts a second time.
-    parsed = safe.withColumns({
-        "_moment": iso_timestamp(F.col("transaction_timestamp")),
-        "_quantity": to_quantity(F.col("quantity")),
-        "_price": to_money(F.col("unit_price_gbp")),
-        "_total": to_money(F.col("line_total_gbp")),
-    })
+    # The generator keeps the optimizer from copying the parsing into filters and join conditions.
+    parsed = safe.select("*", F.inline(F.array(F.struct(
+        iso_timestamp(F.col("transaction_timestamp")).alias("_moment"),
+        to_quantity(F.col("quantity")).alias("_quantity"),
+        to_money(F.col("unit_price_gbp")).alias("_price"),
+        to_money(F.col("line_total_gbp")).alias("_total"),
+    ))))
     count = F.col("_quantity")
 
     def money_problem(name: str, amount: Column) -> Column:

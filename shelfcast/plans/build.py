@@ -15,14 +15,12 @@ from shelfcast.operators.dimensions import dim_date, dim_event, dim_store
 from shelfcast.operators.facts import fct_sales_daily
 from shelfcast.operators.relevance import event_features, event_store_relevance
 from shelfcast.operators.staging import FOCUS_CATEGORY, stg_events, stg_sales
-from shelfcast.plans.publish import require_clean
+from shelfcast.plans.publish import BY_DAY, Location, Segment, read_table, segments
 from shelfcast.session import materialise
-from shelfcast.sources.folders import drop_partitions, read_folder, write_partitions
+from shelfcast.sources.folders import read_folder, write_partitions
 
 GOLD = "gold"
 FACT, BRIDGE, MART = "fct_sales_daily", "event_store_relevance", "mart_pizza_demand_daily"
-# Partition column of the tables that grow with time; the dimensions are single folders.
-BY_DAY = {FACT: "date_day", BRIDGE: "event_date", MART: "date_day"}
 
 
 @dataclass(frozen=True)
@@ -121,51 +119,40 @@ def refresh_days(
     lake: str,
     refresh_id: str,
     inputs: Inputs,
-    current: Mapping[str, str],
+    current: Mapping[str, Location],
     days: Iterable[date],
-    as_of: str | None = None,
-) -> dict[str, str]:
-    """Rebuild only the given days of the published tables; returns table -> path.
-
-    The day list prunes the line-item scan to those partitions. The rebuilt slices are checked
-    before any published folder is touched. Dimensions go to a new folder, since any day can change
-    them. A day that lost its last sale and event leaves the calendar and its partitions. A changed
-    store or rule table affects every day and calls for ``build``.
+) -> dict[str, Location]:
+    """Rebuild only the given days of the published tables; returns table -> location.
+
+    Everything is written under this refresh's own folder: the dimensions as a whole, since any day can
+    change them, and of the tables by day just the given days. What is served stays as it is until the
+    result is checked and published. The day list prunes the line-item scan to those partitions. A day
+    that lost its last sale and event is named without rows and so leaves the tables. A changed store or
+    rule table affects every day and calls for ``build``.
     """
     wanted = sorted(set(days))
     if not wanted:
         return dict(current)
     staged = inputs.tables()
     events = staged["stg_sports_events"]
-    paths = {
-        name: current[name] if name in BY_DAY else f"{lake}/{GOLD}/build={refresh_id}/{name}"
-        for name in quality.PUBLISHED
-    }
-    stores = _write(dim_store(inputs.stores), paths["dim_store"], "dim_store")
-    dim_events = _write(dim_event(events), paths["dim_event"], "dim_event")
+    folder = {name: f"{lake}/{GOLD}/build={refresh_id}/{name}" for name in quality.PUBLISHED}
+    stores = _write(dim_store(inputs.stores), folder["dim_store"], "dim_store")
+    dim_events = _write(dim_event(events), folder["dim_event"], "dim_event")
 
     sales = staged["stg_sales"].filter(F.col("transaction_date").isin(wanted))
-    fact = materialise(fct_sales_daily(sales), FACT)
-    held = read_folder(spark, paths[FACT], fact.schema).filter(~F.col("date_day").isin(wanted))
+    fact = _write(fct_sales_daily(sales), folder[FACT], FACT)
+    held = read_table(spark, FACT, current[FACT]).filter(~F.col("date_day").isin(wanted))
     dates = dim_date(
         held.select("date_day").union(fact.select("date_day")), dim_events, "date_day", inputs.dense
     )
-    dates = _write(dates, paths["dim_date"], "dim_date")
+    dates = _write(dates, folder["dim_date"], "dim_date")
 
     slice_events = dim_events.filter(F.col("event_date").isin(wanted))
-    bridge = materialise(event_store_relevance(slice_events, inputs.rules, stores), BRIDGE)
+    _write(event_store_relevance(slice_events, inputs.rules, stores), folder[BRIDGE], BRIDGE)
     slice_dates = dates.filter(F.col("date_day").isin(wanted))
     features = event_features(slice_events, inputs.rules, stores)
-    mart = materialise(demand_daily(spine(stores, slice_dates), fact, features), MART)
-    slices = {FACT: fact, BRIDGE: bridge, MART: mart}
-    require_clean(
-        quality.run_suite(
-            spark, {**slices, "dim_store": stores, "dim_event": dim_events, "dim_date": dates}, as_of
-        )
-    )
-    for name, rows in slices.items():
-        by = BY_DAY[name]
-        present = {r[0] for r in rows.select(by).distinct().toLocalIterator()}
-        write_partitions(rows, paths[name], (by,), ("store_id",))
-        drop_partitions(spark, paths[name], [[(by, day)] for day in wanted if day not in present])
-    return paths
+    _write(demand_daily(spine(stores, slice_dates), fact, features), folder[MART], MART)
+    return {
+        name: (*segments(current[name]), Segment(path, tuple(wanted))) if name in BY_DAY else path
+        for name, path in folder.items()
+    }

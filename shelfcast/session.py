@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,18 +32,31 @@ def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a machine-local folder: on a cluster executors could not
-    read each other's files there, so an unset folder is an error instead.
+    Where it is unset a session whose executors live in the driver's own process, as in tests, gets
+    a folder for itself; with any other master, executors could not read each other's files there, so
+    an unset folder is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_STAGED: list[str] = []
+
+
+def discard_staged(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the staged tables of this process but the first ``keep``; frames that read them end with it."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    for path in _STAGED[keep:]:
+        folder = hadoop.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    del _STAGED[keep:]
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -50,5 +64,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     a re-read of its splits instead of a recomputation of the whole plan.
     """
     path = work_folder(df.sparkSession, name)
+    _STAGED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

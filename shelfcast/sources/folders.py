@@ -79,6 +79,20 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly below ``path``; none if it does not exist."""
+    if not folder_exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return [f.getPath().toString() for f in found if f.isDirectory()]
+
+
 def drop_partitions(spark: SparkSession, path: str, partitions: Iterable[Sequence]) -> None:
     """Delete partition folders; a dynamic overwrite cannot empty one. Items are (name, value) pairs."""
     hadoop = spark._jvm.org.apache.hadoop.fs

@@ -10,7 +10,7 @@ from conftest import plan_of, rows
 from shelfcast.contracts import EVENT_SCHEMA, MART_COLUMNS, RULE_SCHEMA, SALES_SCHEMA, STORE_SCHEMA
 from shelfcast.operators import demand, dimensions, facts, quality, relevance, staging
 from shelfcast.plans.build import BY_DAY, Inputs, build, gold, refresh_days, touched_event_days
-from shelfcast.plans.publish import ChecksFailed, publish, published
+from shelfcast.plans.publish import ChecksFailed, publish, published, read_table, segments
 from shelfcast.sources.silver import EVENT_SNAPSHOT_SCHEMA
 
 STAMP = datetime(2026, 8, 2, 7, 15, tzinfo=timezone.utc)
@@ -254,7 +254,10 @@ def test_personal_columns(spark):
     assert quality.personal_columns({"mart": dirty}) == [("mart", "Customer_Email"), ("mart", "email")]
     assert len(quality.personal_columns({"mart": dirty}, pseudonyms=True)) == 3
     exposed = quality.personal_column_exposure({"mart": dirty, "dim": clean}, pseudonyms=True)
-    assert rows(exposed, "column_name") == [("mart", "Customer_Email", 1), ("mart", "customer_pseudonym", 0)]
+    assert rows(exposed, "column_name") == [("mart", "Customer_Email", 1), ("mart", "customer_pseudonym", 0), ("mart", "email", 1)]
+    deep = spark.createDataFrame([({"k": ("a",)}, [("b",)]), (None, None)], "m map<string,struct<email:string>>, a array<struct<loyalty_id:string>>")
+    assert quality.personal_columns({"t": deep}) == [("t", "email"), ("t", "loyalty_id")]
+    assert rows(quality.personal_column_exposure({"t": deep}), "column_name") == [("t", "email", 1), ("t", "loyalty_id", 1)]
     assert rows(quality.personal_column_exposure({"dim": clean})) == []
 
 
@@ -285,15 +288,26 @@ def test_uplift_and_manifest(spark, make):
     row = quality.uplift(mart).first()
     assert (row.rows_total, row.rows_with_sales, row.rows_with_both) == (6, 2, 1)
     assert (row.units_on_event_days, row.units_on_quiet_days) == (6.0, 2.0)
-    manifest = spark.createDataFrame([(D1,), (D2,)], "date_day date")
-    assert rows(quality.manifest_mismatches(mart, manifest), "date_day") == [(D2, False, True), (D3, True, False)]
+
+
+def test_manifest_is_held_against_demand(spark, make):
+    # Four Saturdays: three quiet ones, one of them busier than the others, and a listed one.
+    days = [date(2026, 8, d) for d in (1, 8, 15, 22)]
+    units = {days[0]: 10, days[1]: 10, days[2]: 16, days[3]: 13}
+    mart = mart_of(make([sale(f"T{d}", day=d, quantity=n) for d, n in units.items()], []))
+    listed = spark.createDataFrame([(days[3],)], "date_day date")
+    # Quiet Saturdays sell 12 on average: 13 is not 15 % more, 16 is.
+    assert rows(quality.manifest_mismatches(mart, listed), "date_day") == [(days[2], True, False), (days[3], False, True)]
+    assert rows(quality.manifest_mismatches(mart, listed, least=0.05), "date_day") == [(days[2], True, False)]
+    lost = spark.createDataFrame([(days[2],), (date(2026, 8, 2),)], "date_day date")
+    assert rows(quality.manifest_mismatches(mart, lost), "date_day") == [(date(2026, 8, 2), False, True), (days[3], True, False)]
 
 
 # --- building, publishing, refreshing -----------------------------------------------------------
 
 
 def written(spark, paths, name):
-    return spark.read.parquet(paths[name])
+    return read_table(spark, name, paths[name])
 
 
 def same(a, b):
@@ -335,19 +349,38 @@ def test_refresh_equals_a_full_build(spark, make, lake):
     )
     moved = {r.date_day for r in touched_event_days(after.raw_events, "2026-08-03").collect()}
     assert moved == {D2, D3, date(2026, 8, 9)}
-    new = refresh_days(spark, lake, "b2", after, paths, moved | {D2}, "2026-08-31")
-    assert {n for n in BY_DAY if new[n] == paths[n]} == set(BY_DAY)
+    new = refresh_days(spark, lake, "b2", after, paths, moved | {D2})
+    for name in new:  # the served folder stays the first segment, as it was
+        assert segments(new[name])[0].path == paths[name] or name not in BY_DAY
     tables = gold(after)
     for name in new:
         assert same(written(spark, new, name), tables[name]), name
+    # A second refresh of some of the same days on top.
+    last = refresh_days(spark, lake, "b3", before, new, {D2, date(2026, 8, 9)})
+    assert [len(segments(last[n])) for n in BY_DAY] == [3, 3, 3]
+    mixed = {(r.store_id, r.date_day) for r in written(spark, last, "fct_sales_daily").collect()}
+    assert ("S2", D2) not in mixed
 
 
-def test_a_refresh_with_violations_touches_nothing(spark, make, lake):
-    paths = build(lake, "b1", make(SALES, [event()]))
-    before = written(spark, paths, "mart_pizza_demand_daily").collect()
+@pytest.mark.parametrize("kind", ["raw", "staging", "seed", "slice"])
+def test_a_refresh_with_violations_changes_nothing_that_is_served(spark, make, lake, kind):
+    i = make(SALES, [event()])
+    paths = build(lake, "b1", i)
+    tables = {**i.tables(), **{n: written(spark, paths, n) for n in paths}}
+    publish(spark, lake, "b1", paths, quality.run_suite(spark, tables, "2026-08-31"))
+    before = {n: sorted(map(repr, spark.table(n).collect())) for n in paths}
+    bad = {
+        "raw": make([*SALES, sale("T9", quantity=None)], [event()]),
+        "staging": make(SALES, [event(), event("E5", postponed=None)]),
+        "seed": make(SALES, [event()], stores=[*STORES, ("S5", "Five", "c", "r", "France", "x")]),
+        "slice": make([*SALES, sale(store="S9")], [event()]),
+    }[kind]
+    new = refresh_days(spark, lake, "b2", bad, published(spark, lake), {D1})
+    tables = {**bad.tables(), **{n: written(spark, new, n) for n in new}}
     with pytest.raises(ChecksFailed):
-        refresh_days(spark, lake, "b2", make([*SALES, sale(store="S9")], [event()]), paths, {D1}, "2026-08-31")
-    assert written(spark, paths, "mart_pizza_demand_daily").collect() == before
+        publish(spark, lake, "b2", new, quality.run_suite(spark, tables, "2026-08-31"))
+    assert published(spark, lake) == paths
+    assert {n: sorted(map(repr, written(spark, paths, n).collect())) for n in paths} == before
 
 
 def test_refresh_scans_only_the_days_asked_for(spark, make, tmp_path):
