@@ -7,7 +7,8 @@ a sample without replacement in proportion to the importance weights. The noise
 the id, so reruns agree. ``k`` defaults to the share of the labelled documents that are targets, times
 all documents.
 
-Counts cover every document; a task sends one row a non-empty bucket. The models have a fixed size. The k-th
+The target model is counted over at most ``max_target`` target documents (a parameter; those of smallest id
+hash), the raw one over every document; a task sends one row a non-empty bucket. The models have a fixed size. The k-th
 key is found exactly by narrowing its range, 4,096 counts at a time; the driver sees counts only.
 
 Null texts and texts without words have importance 0. Among keys that agree to 2^-20 the first rows read win. An empty target gives all documents importance 0. Extra columns play no part.
@@ -55,12 +56,15 @@ def _counts(batches):
     )
 
 
-def log_ratios(docs: DataFrame, target: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> np.ndarray:
+def log_ratios(
+    docs: DataFrame, target: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_target: int = 50_000
+) -> np.ndarray:
     """log(target share / raw share) of each bucket, add-one smoothed; ``target`` has the ids of the target."""
     wanted = target.select(col(doc_id).alias("target_id")).where("target_id is not null").distinct()
+    wanted = stored(wanted.orderBy(F.xxhash64("target_id"), "target_id").limit(max_target), "target-ids")
     rows = small_batches(docs).select(col(doc_id).alias("id"), text_or_empty(text).cast("binary").alias("text"))
-    # Ids alone are shuffled against the labels; their texts stay where they are for the raw counts.
-    marked = rows.join(wanted.withColumn("hit", F.lit(True)), F.col("id") == F.col("target_id"), "left")
+    # At most max_target ids: a broadcast of proven size, and no text is shuffled.
+    marked = rows.join(F.broadcast(wanted.withColumn("hit", F.lit(True))), F.col("id") == F.col("target_id"), "left")
     counted = marked.select("text", F.coalesce("hit", F.lit(False)).alias("wanted")).mapInArrow(
         _counts, "bucket bigint, raw bigint, target bigint"
     )
@@ -110,12 +114,12 @@ def kth_largest(keys: DataFrame, k: int) -> tuple[int, int]:
 
 def resampled(
     docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-    k: int | None = None, seed: int = 7,
+    k: int | None = None, seed: int = 7, max_target: int = 50_000,
 ) -> DataFrame:
     """(doc_id, log_weight, key, kept) for each row of ``docs``; exactly ``min(k, rows)`` rows are kept."""
     known = labels.where(col(label).isin(0, 1) & col(doc_id).isNotNull())
     good = known.where(col(label) == 1)
-    ratios = log_ratios(docs, good, doc_id=doc_id, text=text)
+    ratios = log_ratios(docs, good, doc_id=doc_id, text=text, max_target=max_target)
     rows = docs.select(col(doc_id).alias("doc_id"), importance(text_or_empty(text), ratios).alias("log_weight"))
     rows = rows.withColumn("key", F.col("log_weight") + gumbel(F.col("doc_id"), seed))
     # A number in the order of partitions and rows, below LIMIT for up to 2^19 partitions.

@@ -106,3 +106,33 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(written(pii.spans("pii", pii.BASE)), 256).alias("base_sha256"),
         written(pii.spans("pii")).alias("spans"),
     )
+
+
+ORACLES["op2_preferences"] = """
+with turns as (select conv_id as pair, turn, role, text from conversations),
+last_reply as (
+  select pair, turn as at_turn, text as reply from (
+    select *, row_number() over (partition by pair order by turn desc, text desc nulls last) as k
+    from turns where role = 'assistant') where k = 1),
+other as (select pair, at_turn, lead(reply) over (order by pair) as reply from last_reply),
+sides as (
+  select pair, turn, role, text, 1 as c, 0 as r from turns union all
+  select t.pair, turn, role,
+    case when turn = at_turn and role = 'assistant' then reply else text end, 0, 1
+  from turns t left join other o on t.pair = o.pair),
+counted as (
+  select pair, turn, role, text, cast(sum(c) as bigint) as in_chosen, cast(sum(r) as bigint) as in_rejected
+  from sides group by all),
+ends as (select pair as p, min(turn) as first_difference from counted where in_chosen <> in_rejected group by 1),
+placed as (
+  select *, first_difference is null or turn < first_difference as shared
+  from counted left join ends on pair = p),
+parts as (
+  select *, 'prompt' as part, in_chosen as copies from placed where shared union all
+  select *, 'chosen', in_chosen from placed where not shared union all
+  select *, 'rejected', in_rejected from placed where not shared)
+select pair as conv_id, part, turn, role,
+  concat('<|', coalesce(role, ''), '|>', chr(10), coalesce(text, ''), '<|end|>', chr(10)) as content,
+  copies, part <> 'prompt' and coalesce(role = 'assistant', false) as loss
+from parts where copies > 0
+"""
