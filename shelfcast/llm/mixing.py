@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import WORD, col, fresh, stored
+from shelfcast.llm.common import WORD, col, fresh, small_batches, stored
 
 MAX_SOURCES = 100_000
 DRIVER_NODES = 64
@@ -298,7 +298,7 @@ def drawn(
         F.sort_array(F.collect_list(F.struct("epoch", "first", "last", "shard", "order"))).alias("parts")
     )  # a document's pieces: one for each block_words of its words and epoch at most
     names = {c: fresh(docs, "mix_" + c) for c in ("id", "hash", "parts", "number", "piece", "cuts", "of")}
-    rows = docs.withColumn(names["hash"], row_hash(doc_id, text))
+    rows = small_batches(docs).withColumn(names["hash"], row_hash(doc_id, text))
     if mix.repeated:  # one row stands for all identical ones and meets the pieces of each copy
         same = Window.partitionBy(names["hash"], col(doc_id)).orderBy(names["hash"])
         rows = rows.withColumn(names["number"], F.row_number().over(same)).where(F.col(names["number"]) == 1)

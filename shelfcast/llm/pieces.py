@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import text_or_empty
+from shelfcast.llm.common import small_batches, text_or_empty
 
 MARKER = "▁"
 RESULT = "ids array<int>, decoded string"
@@ -125,7 +125,7 @@ RUN_CHARS = 2_000_000
 RUN_WORDS = 500
 
 
-def encoder(model_path: str, table_size: int = 200_000):
+def encoder(model_path: str, table_size: int = 100_000):
     """An Arrow function text -> struct of ``RESULT``. The model file is read on the driver."""
     with open(model_path, "rb") as file:
         model = file.read()
@@ -146,6 +146,6 @@ def encoder(model_path: str, table_size: int = 200_000):
     return run
 
 
-def encoded(docs: DataFrame, model_path: str, *, text: str = "text", into: str = "pieces", table_size: int = 200_000) -> DataFrame:
+def encoded(docs: DataFrame, model_path: str, *, text: str = "text", into: str = "pieces", table_size: int = 100_000) -> DataFrame:
     """``docs`` with a struct column ``into``: the ids and the text decoded from them."""
-    return docs.withColumn(into, encoder(model_path, table_size)(text_or_empty(text)))
+    return small_batches(docs).withColumn(into, encoder(model_path, table_size)(text_or_empty(text)))

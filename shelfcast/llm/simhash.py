@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import col, fresh, stored, text_or_empty
+from shelfcast.llm.common import col, fresh, small_batches, stored, text_or_empty
 
 SEED = 42
 
@@ -219,7 +219,7 @@ def classes(
 
     ``n_links`` counts the class's distinct fingerprints less one.
     """
-    rows = docs.select(col(doc_id).alias("doc_id"), fingerprint(text_or_empty(text), words).alias("fp"))
+    rows = small_batches(docs).select(col(doc_id).alias("doc_id"), fingerprint(text_or_empty(text), words).alias("fp"))
     rows = stored(rows, "fingerprints")
     return rows.join(fingerprint_classes(rows, max_bits, block), "fp").select(
         "doc_id", F.col("fp").alias("fingerprint"), "component_id", "n_links"
@@ -248,7 +248,7 @@ def one_per_class(
     their text; the smallest stays, and of rows alike in id and text any one.
     """
     fp = fresh(docs, "fp")
-    marked = docs.withColumn(fp, fingerprint(text_or_empty(text), words))
+    marked = small_batches(docs).withColumn(fp, fingerprint(text_or_empty(text), words))
     rows = stored(marked.select(col(doc_id).alias("doc_id"), F.col(fp).alias("fp")), "fingerprints")
     of = fingerprint_classes(rows, max_bits, block).select("fp", "root", "component_id")
     # The rows that may stay: in an ordinary class exactly one.

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import col, fresh, stored, text_or_empty
+from shelfcast.llm.common import col, fresh, small_batches, stored, text_or_empty
 
 BLOCK = 64
 BINS = 24
@@ -195,7 +195,7 @@ def fit(
     usable = usable.where("id is not null and toxic in (0, 1)").where(~held_out(F.col("id")))
     usable = usable.groupBy("id").agg(F.max("toxic").alias("toxic"))
     usable = usable.orderBy(F.xxhash64("id"), "id").limit(max_examples)
-    texts = docs.select(col(doc_id).cast("bigint").alias("id"), text_or_empty(text).alias("text"))
+    texts = small_batches(docs).select(col(doc_id).cast("bigint").alias("id"), text_or_empty(text).alias("text"))
     # At most max_examples pairs of numbers: a broadcast of proven size.
     examples = texts.join(F.broadcast(stored(usable, "toxic-labels")), "id").select("id", "toxic", "text")
     examples = stored(examples.mapInArrow(_document_terms, EXAMPLE), "examples")
@@ -298,7 +298,7 @@ def scorer(model: Model):
 
 def scored(docs: DataFrame, model: Model, *, text: str = "text", into: str = "toxicity") -> DataFrame:
     """``docs`` with a struct column ``into``: score, predicted, evidence (the five nearest examples)."""
-    return docs.withColumn(into, scorer(model)(text_or_empty(text)))
+    return small_batches(docs).withColumn(into, scorer(model)(text_or_empty(text)))
 
 
 def without_toxic(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:

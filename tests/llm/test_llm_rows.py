@@ -1,0 +1,368 @@
+"""Toxicity, classes of near-duplicates, the mix, preference pairs and vector search against plain Python."""
+
+from __future__ import annotations
+
+import os
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from shelfcast.llm import mixing, neighbours, preference, queries, simhash, toxicity
+
+FOLDER = "/root/testdata/sf0.001"
+real = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables not present")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def plain_fingerprint(text: str) -> int:
+    import re
+
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_classes(rows: list[tuple], bits: int = 4) -> dict[int, int | None]:
+    """Fingerprint -> smallest id reachable, all pairs compared."""
+    points = sorted({f for _, f in rows})
+    parent = {p: p for p in points}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(points):
+        for b in points[i + 1 :]:
+            if (a ^ b).bit_count() <= bits:
+                parent[root(a)] = root(b)
+    least: dict = defaultdict(list)
+    for i, f in rows:
+        least[root(f)] += [i] * (i is not None)
+    return {p: min(least[root(p)], default=None) for p in points}
+
+
+@real
+def test_simhash_classes_equal_all_pairs(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame(
+        [(-5, ""), (-4, None), (None, " "), (-3, "One"), (-2, "one"), (-2, "one"), (7_000, "É é"), (None, "lonely words only here now")], "doc_id long, text string"
+    ))
+    rows = [(r["doc_id"], plain_fingerprint(r["text"] or "")) for r in docs.collect()]
+    want = plain_classes(rows)
+    got = Counter((r["doc_id"], r["fingerprint"] % 2**64, r["component_id"]) for r in simhash.classes(docs).collect())
+    assert got == Counter((i, f, want[f]) for i, f in rows)
+    kept = simhash.one_per_class(docs.withColumn("fp", F.lit(1)))
+    assert kept.columns == ["doc_id", "text", "fp"]
+    assert kept.count() == len({want[f] if want[f] is not None else f"class {f}" for _, f in rows})
+    assert simhash.classes(docs.limit(0)).count() == simhash.one_per_class(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [7, 50_000])
+def test_chains_and_clusters_of_fingerprints(spark, block):
+    """Chains of links, tight clusters beyond a block, far points; every block size gives the same classes."""
+    r = random.Random(4)
+    points: set[int] = set()
+    for _ in range(12):
+        x = r.getrandbits(64)
+        for _ in range(30):  # a chain of steps of up to four bits
+            points.add(x)
+            for _ in range(r.randint(1, 4)):
+                x ^= 1 << r.randrange(64)
+    centre = r.getrandbits(64)
+    points |= {centre ^ (1 << a) ^ (1 << b) for a in range(12) for b in range(12)}
+    points |= {r.getrandbits(64) for _ in range(200)}
+    rows = list(enumerate(sorted(points)))
+    want = plain_classes(rows)
+    staged = spark.createDataFrame([(i, simhash.signed(f)) for i, f in rows], "doc_id long, fp long")
+    got = {x["fp"] % 2**64: x["component_id"] for x in simhash.fingerprint_classes(staged, 4, block).collect()}
+    assert got == want
+
+
+def test_no_link_is_lost_by_the_grid():
+    """Any two fingerprints within the limit agree in two whole groups of counts."""
+    r = random.Random(9)
+    masks = simhash.group_masks(6)
+    assert sum(masks) == 2**64 - 1
+
+    def counts(x):
+        return sum(((x >> 2 * i & 1) + (x >> 2 * i + 1 & 1)) << 2 * i for i in range(32))
+
+    for _ in range(2000):
+        a = r.getrandbits(64)
+        b = a
+        for _ in range(4):
+            b ^= 1 << r.randrange(64)
+        assert sum(counts(a) & m == counts(b) & m for m in masks) >= 2
+
+
+def lexicon_corpus(n: int = 400):
+    r = random.Random(8)
+    common = ["the", "and", "river", "stone", "green", "walk", "house", "light"]
+    rows, labels = [], []
+    for i in range(n):
+        words = [r.choice(common) for _ in range(r.randint(20, 80))] + [f"w{r.randrange(5000)}" for _ in range(10)]
+        toxic = i % 5 == 0
+        if toxic:
+            words += r.sample(["awful", "hateful", "vilething", "vileness", "vilest"], 3)
+        r.shuffle(words)
+        rows.append((i, " ".join(words), "en", f"s{i % 4}", None))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+def test_toxicity_holds_out_and_generalises(spark):
+    rows, labels = lexicon_corpus()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, table, least_chi=30.0)
+    held = {i for i, _ in labels if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert not held & set(model.index.ids.tolist())
+    assert {r["doc_id"] for r in docs.where(toxicity.held_out(F.col("doc_id"))).collect()} == held
+    got = {r["doc_id"]: r["toxicity"] for r in toxicity.scored(docs, model).collect()}
+    assert all(got[i]["predicted"] == y for i, y in labels)
+    assert all(0 <= got[i]["score"] <= 1 for i, _ in labels)
+    # Flipping the held-out labels changes nothing.
+    flipped = spark.createDataFrame([(i, 1 - y if i in held else y) for i, y in labels], "doc_id long, toxic int")
+    again = {r["doc_id"]: r["toxicity"]["score"] for r in toxicity.scored(docs, toxicity.fit(docs, flipped, least_chi=30.0)).collect()}
+    assert again == {i: g["score"] for i, g in got.items()}
+    kept = toxicity.without_toxic(docs.withColumn("toxicity", F.lit("x")), model)
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, y in labels if not y} and "toxicity" in kept.columns
+
+
+def test_nearest_examples_equal_brute_force():
+    r = random.Random(6)
+    idf = {f"t{i}": r.uniform(1, 8) for i in range(40)}
+    shell = toxicity.Index(idf, [], [], [])
+    texts = [Counter(r.choices(list(idf), k=r.randint(0, 5))) for _ in range(700)]
+    texts += texts[:90]  # copies
+    vectors = [shell.vector(t) for t in texts]
+    index = toxicity.Index(idf, list(range(len(texts))), [0] * len(texts), vectors)
+    for q in vectors[::9]:
+        places, similarity = index.nearest(q, 15)
+        every = sorted((-round(sum(w * v.get(t, 0) for t, w in q.items()), 12), i) for i, v in enumerate(vectors))
+        every = [(-s, i) for s, i in every if s < 0][:15]
+        assert [i for _, i in every] == index.ids[places].tolist()
+        assert np.allclose([s for s, _ in every], similarity)
+
+
+def test_toxicity_without_labels_and_with_awkward_rows(spark):
+    rows, labels = lexicon_corpus(60)
+    docs = spark.createDataFrame([*rows, (None, None, None, None, None), (5, "", "en", "s", 0), (5, "", "en", "s", 0)], SCHEMA)
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    odd = spark.createDataFrame([(None, 1), (1, None), (2, 7), (10**9, 1), (3, 0), (3, 1)], "doc_id long, toxic int")
+    for table in (none, odd):
+        out = toxicity.scored(docs, toxicity.fit(docs, table))
+        assert out.count() == 63 and out.where("toxicity.score between 0 and 1").count() == 63
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), least_chi=5.0)
+    assert toxicity.scored(docs.limit(0), model).count() == 0
+
+
+def test_targets_share_the_excess():
+    assert mixing.targets([100, 100, 100], [5, 2, 1]) == pytest.approx([200, 500 / 3, 250 / 3])
+    assert mixing.targets([10, 1000, 0], [5, 2, 1]) == pytest.approx([20, 1495, 0])
+    assert mixing.targets([], []) == [] and mixing.targets([0, 0], [1, 2]) == [0, 0]
+
+
+def test_permutation_is_a_bijection():
+    for n in (1, 2, 3, 10, 257, 5000):
+        places = mixing.permuted(np.arange(n), np.full(n, n), np.full(n, 12345, dtype=np.uint64))
+        assert sorted(places.tolist()) == list(range(n))
+
+
+def test_splitting_tree_keeps_quotas_and_follows_the_law(spark):
+    quotas, shards = [700, 40, 0, 260], 9
+    rows = mixing.shard_ranges(spark, quotas, shards, 3).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, mixing.shard_ranges(spark, quotas, shards, 3).collect()))
+    for s, quota in enumerate(quotas):
+        mine = sorted((r["first"], r["count"]) for r in rows if r["source_no"] == s)
+        assert sum(c for _, c in mine) == quota
+        assert all(a + c == b for (a, c), (b, _) in zip(mine, mine[1:]))
+    sizes = Counter()
+    for r in rows:
+        sizes[r["shard"]] += r["count"]
+    assert sorted(sizes.values()) == [111] * 8 + [112]
+    # Mean and variance of a multivariate hypergeometric draw.
+    draws = np.array([mixing.left_share([700, 40, 260], 100, [7, i]) for i in range(3000)])
+    p = np.array([0.7, 0.04, 0.26])
+    assert np.allclose(draws.mean(axis=0), 100 * p, atol=0.4)
+    assert np.allclose(draws.var(axis=0), 100 * p * (1 - p) * 900 / 999, rtol=0.12)
+
+
+def mix_rows():
+    r = random.Random(2)
+    rows = [(i, " ".join(f"w{i}_{j}" for j in range(r.choice([0, 1, 5, 40, 900]))), "en", r.choice(["a", "b", "B", None]), 0) for i in range(150)]
+    return [*rows, (1, "x y z", "en", "a", 0), (1, "x y z", "en", "a", 0), (1, "x y z", "en", "a", 0), (None, None, None, None, None), (999, "q", None, "tiny", 1)]
+
+
+def test_mix_takes_each_source_to_its_target_and_no_document_too_often(spark):
+    docs = spark.createDataFrame(mix_rows(), SCHEMA).withColumn("hash", F.lit("clash")).withColumn("mix_hash", F.lit(0))
+    mix = mixing.mixture(docs, mixing.by_rank(), block_words=16, shard_words=600)
+    out = mixing.taken(mix).collect()
+    assert len(out) == len(mix_rows())
+    size, words, target = Counter(), Counter(), {}
+    by_source = {i: (s, len((t or "").split())) for i, t, _, s, _ in mix_rows() if i != 1}
+    for r in out:
+        assert r["taken"] <= 2 * r["size"]
+        if r["doc_id"] in by_source:
+            source, n = by_source[r["doc_id"]]
+            assert r["size"] == n
+        else:
+            source = "a" if r["size"] == 3 else next(s for i, t, _, s, _ in mix_rows() if i == 1)
+        size[source] += r["size"]
+        words[source] += r["taken"]
+        target[source] = r["target"]
+        assert r["source_size"] > 0 or r["size"] == 0
+    names = sorted((s for s in size if s is not None)) + [None]
+    assert names == ["B", "a", "b", "tiny", None]
+    want = mixing.targets([size[s] for s in names], [5, 2, 1, 5, 2])
+    assert [target[s] for s in names] == pytest.approx(want)
+    assert all(abs(words[s] - t) <= 0.5 for s, t in zip(names, want))
+    again = mixing.taken(mixing.mixture(docs.repartition(7), mixing.by_rank(), block_words=16, shard_words=600))
+    assert Counter(map(tuple, again.collect())) == Counter(map(tuple, out))
+    # The drawn rows hold just those words.
+    drawn = mixing.drawn(docs, mix, n_chars="n_chars")
+    assert drawn.columns == docs.columns
+    rows = drawn.collect()
+    got = Counter()
+    for r in rows:
+        got[r["doc_id"], r["text"].split()[0].split("_")[0]] += len(r["text"].split())
+        assert r["n_chars"] == len(r["text"])
+    assert sum(got.values()) == sum(r["taken"] for r in out)
+    per_id = Counter()
+    for (i, _), n in got.items():
+        per_id[i] += n
+    for i in {r["doc_id"] for r in out}:
+        assert per_id[i] == sum(r["taken"] for r in out if r["doc_id"] == i)
+    # No word of an epoch is drawn twice.
+    assert max(Counter(w for r in rows if r["doc_id"] != 1 for w in r["text"].split()).values()) <= 2
+
+
+def test_mix_of_nothing(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    mix = mixing.mixture(empty, mixing.by_rank())
+    assert mixing.taken(mix).count() == 0 and mixing.drawn(empty, mix).count() == 0
+    blank = spark.createDataFrame([(1, None, None, None, None), (2, " ", "en", "a", 1)], SCHEMA)
+    assert [r["taken"] for r in mixing.taken(mixing.mixture(blank, mixing.by_rank())).collect()] == [0, 0]
+
+
+def plain_preferences(conversations: dict, replies: list) -> Counter:
+    """(pair, part, turn, role, text) -> copies, by definition."""
+    out = Counter()
+    for pair, chosen in conversations.items():
+        rejected = replies[pair]
+        turns = sorted({t for t, _, _ in [*chosen, *rejected]})
+        end = next((t for t in turns if Counter(x for x in chosen if x[0] == t) != Counter(x for x in rejected if x[0] == t)), None)
+        for part, side in (("prompt", chosen), ("chosen", chosen), ("rejected", rejected)):
+            for x in side:
+                shared = end is None or x[0] < end
+                if shared == (part == "prompt"):
+                    out[(pair, part, *x)] += 1
+    return out
+
+
+def test_preferences_equal_the_definition(spark):
+    r = random.Random(3)
+    chosen, rejected, rows = {}, {}, []
+    for pair in range(60):
+        prefix = [(t, r.choice(["user", "assistant"]), r.choice("xyz")) for t in range(r.randint(0, 4))]
+        chosen[pair] = prefix + [(len(prefix) + t, "assistant", r.choice("xy")) for t in range(r.randint(0, 3))]
+        rejected[pair] = prefix + [(len(prefix) + t, "assistant", r.choice("xy")) for t in range(r.randint(0, 3))]
+        if pair % 9 == 0:
+            chosen[pair] = chosen[pair] + chosen[pair][:1] * 2  # a turn that stands three times
+        rows += [(pair, True, *x) for x in chosen[pair]] + [(pair, False, *x) for x in rejected[pair]]
+    df = spark.createDataFrame(rows, "pair long, chosen boolean, turn long, role string, text string")
+    got = Counter()
+    for x in preference.formatted(df).collect():
+        text = x["content"].split("|>\n")[1].removesuffix("<|end|>\n")
+        got[x["pair"], x["part"], x["turn"], x["role"], text] += x["copies"]
+        assert x["loss"] == (x["part"] != "prompt" and x["role"] == "assistant")
+    assert got == plain_preferences(chosen, rejected)
+
+
+def test_preferences_of_awkward_turns(spark):
+    rows = [(1, None, "user", "a"), (1, 0, None, None), (1, 1, "assistant", "b"), (None, 0, "user", "c"), (2, 0, "user", "d")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("end", F.lit(1))
+    out = preference.formatted(preference.mismatched_replies(turns)).collect()
+    got = {(x["pair"], x["part"], x["turn"]): x["content"] for x in out}
+    assert got[1, "prompt", 0] == "<||>\n<|end|>\n"
+    assert got[1, "chosen", 1] == "<|assistant|>\nb<|end|>\n" and got[1, "rejected", 1] == "<|assistant|>\n<|end|>\n"
+    assert (2, "prompt", 0) in got and (None, "prompt", 0) in got
+    assert preference.formatted(preference.mismatched_replies(turns.limit(0))).count() == 0
+
+
+def test_vector_search_is_exact_where_all_buckets_are_visited_and_ranks_ties_by_id(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 8)).round(2)
+    x[250:] = x[0]  # a vector in a sixth of all rows
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(400, None), (500, [0.0] * 8), (600, [float("nan")] * 8), (700, [1.0, None] * 4), (800, [1.0, 2.0]), (None, [1.0] * 8), (3, x[3].tolist()), (900, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(0))
+    out = neighbours.nearest(df, F.col("id") % 100 == 0, block=64, query_block=2, width=60.0, probes=5000).collect()
+    got = defaultdict(list)
+    for r in sorted(out, key=lambda r: (r["query_id"], r["rank"])):
+        got[r["query_id"]].append((r["score"], r["vec_id"]))
+    assert set(got) == {0, 100, 200}
+    for q, found in got.items():
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        want = sorted((d[i], i) for i in range(300) if i != q)[:10]
+        assert [i for _, i in want] == [i for _, i in found]
+        assert np.allclose([a for a, _ in want], [a for a, _ in found], rtol=1e-12)
+    assert neighbours.nearest(df.limit(0), F.col("id") % 100 == 0).count() == 0
+
+
+@real
+def test_vector_search_recall(spark):
+    out = queries.op6_neighbours(spark, FOLDER).toPandas()
+    e = spark.read.parquet(f"{FOLDER}/embeddings.parquet").toPandas()
+    x, ids = np.stack(e.embedding.to_numpy()).astype(float), e.vec_id.to_numpy()
+    hits = total = 0
+    for q in ids[ids % 100 == 0]:
+        d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(axis=1))
+        d[ids == q] = np.inf
+        hits += len(set(ids[np.argsort(d)[:10]]) & set(out[out.query_id == q].vec_id))
+        total += 10
+    assert hits / total >= 0.9
+
+
+@real
+def test_pipeline_stages_equal_plain_python(spark):
+    """Each stage on what the one before kept, against its operator's brute-force version."""
+    import sentencepiece
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    first = stages["toxicity"](spark, docs, FOLDER).cache()
+    scores = {r["doc_id"]: r["predicted"] for r in queries.op4_toxicity(spark, FOLDER).collect()}
+    assert {r["doc_id"] for r in first.collect()} == {i for i, p in scores.items() if not p}
+    second = stages["near duplicates"](spark, first, FOLDER).cache()
+    rows = [(r["doc_id"], plain_fingerprint(r["text"])) for r in first.collect()]
+    assert {r["doc_id"] for r in second.collect()} == set(plain_classes(rows).values())
+    third = stages["personal data"](spark, second, FOLDER).cache()
+    assert third.columns == docs.columns and third.count() == second.count()
+    fourth = stages["mix"](spark, third, FOLDER).cache()
+    assert fourth.columns == docs.columns
+    sizes = Counter()
+    for r in third.collect():
+        sizes[r["source"]] += len(r["text"].encode().split())
+    names = sorted(sizes)
+    want = mixing.targets([sizes[s] for s in names], [(5, 2, 1)[i % 3] for i in range(len(names))])
+    words = Counter()
+    for r in fourth.collect():
+        words[r["source"]] += len(r["text"].encode().split())
+    assert all(abs(words[s] - t) <= 0.5 for s, t in zip(names, want))
+    sp = sentencepiece.SentencePieceProcessor(model_file=corpus_pipeline.MODEL)
+    fifth = stages["tokens"](spark, fourth, FOLDER).collect()
+    assert Counter((r["doc_id"], tuple(r["ids"])) for r in fifth) == Counter((r["doc_id"], tuple(sp.encode(r["text"]))) for r in fourth.collect())
+    assert all(r["round_trip"] for r in fifth)
+    # Nothing in the stages depends on the layout of their input.
+    assert corpus_pipeline.run(spark, FOLDER).count() == len(fifth)
