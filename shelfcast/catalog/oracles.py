@@ -416,6 +416,21 @@ ORACLES: dict[str, str] = {name: _sql(body) for name, body in {
     "mart_future_rows": f"{_MART} where mart.date_day > date '{feeds.AS_OF}'",
     "incremental_mart": _MART,
     "published_mart": _MART,
+    "incremental_gate": _MART,
+    "quarantine_readback": (
+        "select array_to_string(problems, '; ') reason, 'r1' run_id, count(*) row_count, count(*) records,"
+        " count(store_id) store_ids from checked where len(problems) > 0 group by 1"
+    ),
+    "key_version_stamp": (
+        "select case when cast(regexp_extract(source_file, '(\\d+)', 1) as int) > 20 then 'v2' else 'v1' end"
+        " key_version, concat('load-', key_version) run_id, count(*) row_count,"
+        " count(distinct customer_pseudonym) customers from good group by 1, 2"
+    ),
+    "seed_rules": (
+        "select league_name, scope, nullif(applies_to_nation, '') applies_to_nation,"
+        " cast(weight as double) weight, rationale, events from rules left join"
+        " (select league_name, count(*) as events from fixtures group by 1) using (league_name)"
+    ),
     "pseudonymise_customers": (
         f"select c_custkey, {_hmac('cast(c_custkey as varchar)')} key_pseudonym,"
         f" {_hmac('c_name')} name_pseudonym, cast(null as varchar) blank_pseudonym from customer"

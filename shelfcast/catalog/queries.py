@@ -23,7 +23,8 @@ from shelfcast.sources import ledger, silver
 from shelfcast.sources.exports import (
     count_exports, list_exports, read_exports, read_headers, union_all,
 )
-from shelfcast.sources.seeds import read_stores
+from shelfcast.sources.quarantine import SALES as SALES_REJECTS, read_quarantine
+from shelfcast.sources.seeds import read_rules, read_stores
 from shelfcast.streaming.arrivals import pick_up_exports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -619,6 +620,68 @@ def incremental_mart(spark, folder):
     return edge(read_table(spark, MART, paths[MART]))
 
 
+@query
+def incremental_gate(spark, folder):
+    """A clean build is served; a refresh that a check rejects (a rule twice) changes nothing of it."""
+    lake = work_folder(spark, "lake")
+    inputs = _inputs(spark, folder)
+    paths = build(lake, "b1", inputs)
+    tables = {**inputs.tables(), **{n: read_table(spark, n, p) for n, p in paths.items()}}
+    tables.pop("seed_stores")  # its nations are not the accepted ones
+    publish(spark, lake, "b1", paths, quality.run_suite(spark, tables, FAR))
+    twice = Inputs(
+        inputs.raw_sales, inputs.raw_events, inputs.stores, inputs.rules.union(inputs.rules), inputs.focus
+    )
+    days = inputs.raw_sales.filter("month(transaction_date) = 6").select("transaction_date").distinct()
+    new = refresh_days(
+        spark, lake, "b2", twice, published(spark, lake), [r[0] for r in days.toLocalIterator()]
+    )
+    tables |= {**twice.tables(), **{n: read_table(spark, n, p) for n, p in new.items()}}
+    tables.pop("seed_stores")
+    try:
+        publish(spark, lake, "b2", new, quality.run_suite(spark, tables, FAR))
+    except ChecksFailed:
+        return edge(read_table(spark, MART, published(spark, lake)[MART]))
+    raise AssertionError("a refresh with a rule twice was published")
+
+
+@query
+def quarantine_readback(spark, folder):
+    """The rejected rows as a load wrote them, by reason and whether they kept their record."""
+    lake = work_folder(spark, "lake")
+    _land(feeds.exports(spark, folder), f"{lake}/landing")
+    ingest_sales(spark, lake, f"{lake}/landing", Pseudonymiser(spark, feeds.KEY), "r1", STAMP)
+    held = read_quarantine(spark, lake, SALES_REJECTS)
+    return held.groupBy("reason", "run_id").agg(
+        F.count("*").alias("row_count"), F.count("record").alias("records"),
+        F.count(F.get_json_object("record", "$.store_id")).alias("store_ids"),
+    )
+
+
+@query
+def key_version_stamp(spark, folder):
+    """Two loads under two versions of the key; silver says which made a row's pseudonyms."""
+    lake = work_folder(spark, "lake")
+    rows = feeds.exports(spark, folder)
+    late = F.regexp_extract("source_file", r"(\d+)", 1).cast("int") > 20
+    for version, part in (("v1", rows.filter(~late)), ("v2", rows.filter(late))):
+        _land(part, f"{lake}/landing-{version}")
+        digest = Pseudonymiser(spark, feeds.KEY, version)
+        ingest_sales(spark, lake, f"{lake}/landing-{version}", digest, f"load-{version}", STAMP)
+    return silver.read_sales(spark, lake).groupBy("key_version", "run_id").agg(
+        F.count("*").alias("row_count"), F.count_distinct("customer_pseudonym").alias("customers")
+    )
+
+
+@query
+def seed_rules(spark, folder):
+    """The relevance rules written as a CSV seed, read under their contract and joined to the events."""
+    path = f"{work_folder(spark, 'seed')}/rules.csv"
+    feeds.rules(spark).write.csv(path, header=True, escape='"')
+    counts = _events(spark, folder).groupBy("league_name").agg(F.count("*").alias("events"))
+    return edge(read_rules(spark, path).join(counts, "league_name", "left"))
+
+
 # --- data checks --------------------------------------------------------------------------------
 
 

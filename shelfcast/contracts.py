@@ -42,6 +42,9 @@ SALES_SCHEMA = struct(
     "category string, quantity int, unit_price_gbp decimal(12,2), line_total_gbp decimal(12,2), "
     "channel string, source_file string, run_id string, ingested_at timestamp"
 )
+# Silver also says under which version of the key a row's pseudonyms were made.
+KEY_VERSION = "key_version"
+SILVER_SCHEMA = T.StructType([*SALES_SCHEMA.fields, T.StructField(KEY_VERSION, T.StringType())])
 SALES_REQUIRED = (
     "transaction_id", "transaction_timestamp", "transaction_date", "store_id", "product_sku",
     "quantity", "source_file", "ingested_at",

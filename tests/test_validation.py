@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_of, rows
 from shelfcast.contracts import EXPORT_COLUMNS, SALES_SCHEMA
 from shelfcast.operators import privacy
 from shelfcast.operators import validation as v
@@ -130,3 +130,13 @@ def test_row_cap(spark):
     df = spark.range(10_001).select(F.lit("big.csv").alias("source_file")).union(
         spark.range(10_000).select(F.lit("full.csv").alias("source_file")))
     assert rows(v.row_cap_breaches(df, 10_000)) == [("big.csv", 10_001)]
+
+
+def test_each_text_is_parsed_once(spark, digest, tmp_path):
+    """A filter on the problems does not copy the parsing."""
+    rows_ = spark.createDataFrame([tuple("x" for _ in EXPORT_COLUMNS)], list(EXPORT_COLUMNS)).withColumn("source_file", F.lit("a.csv"))
+    rows_.write.parquet(str(tmp_path / "e"))
+    safe = privacy.apply_policy(spark.read.parquet(str(tmp_path / "e")), digest, carry=("source_file",))
+    checked = v.check_sales(safe, "r1", STAMP)
+    counts = {plan_of(df).count("RLIKE") for df in (checked, v.valid(checked), v.quarantined(checked))}
+    assert len(counts) == 1
