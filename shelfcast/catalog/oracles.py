@@ -602,7 +602,7 @@ ORACLES: dict[str, str] = {name: _sql(body) for name, body in {
         " from mart"
     ),
     "ground_truth_alignment": (
-        "with listed as (select distinct event_date + 1 as day from fixtures where not is_postponed and"
+        "select * from (with listed as (select distinct event_date + 1 as day from fixtures where not is_postponed and"
         " league_name = 'purchase'), sold as (select date_day, extract(isodow from date_day) weekday,"
         " sum(pizza_units) units, date_day in (select day from listed) in_manifest from mart"
         " where pizza_units is not null group by 1),"
@@ -610,6 +610,6 @@ ORACLES: dict[str, str] = {name: _sql(body) for name, body in {
         " judged as (select date_day, coalesce(units > typical * 1.15, false) in_mart, in_manifest"
         " from sold left join quiet using (weekday) union all"
         " select day, false, true from listed where day not in (select date_day from sold))"
-        f" select {_date('date_day')}, in_mart, in_manifest from judged where in_mart <> in_manifest"
+        f" select {_date('date_day')}, in_mart, in_manifest from judged where in_mart <> in_manifest)"
     ),
 }.items()}

@@ -20,6 +20,7 @@ from shelfcast.plans.ingest import ingest_events, ingest_sales
 from shelfcast.plans.publish import ChecksFailed, publish, published, read_table
 from shelfcast.session import materialise, work_folder
 from shelfcast.sources import ledger, silver
+from shelfcast.sources.folders import write_partitions
 from shelfcast.sources.exports import (
     count_exports, list_exports, read_exports, read_headers, union_all,
 )
@@ -591,7 +592,7 @@ def compaction(spark, folder):
     lake = work_folder(spark, "lake")
     rows = validation.valid(_checked_sales(spark, folder))
     path = f"{lake}/{silver.SALES}"
-    rows.repartition("source_file").write.partitionBy(*silver.SALES_BY).parquet(path)
+    write_partitions(rows, path, silver.SALES_BY, file_bytes=32 * 1024)
     days = [r[0] for r in rows.select("transaction_date").distinct().toLocalIterator()]
     silver.compact_sales(spark, lake, days)
     database = lake.rsplit("/", 1)[-1].replace("-", "_")

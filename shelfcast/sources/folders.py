@@ -10,9 +10,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024  # within the 128-512 MB wanted per object
+_LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_LEAST = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 _ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
+@contextmanager
+def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def listing(spark: SparkSession):
+    """Files listed by a few tasks a core; by default a folder of thousands of days starts a task for each."""
+    return _settings(spark, **{_LISTERS: str(4 * spark.sparkContext.defaultParallelism)})
+
+
 def read_folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet folder under its contract; an absent one is empty.
 
@@ -20,24 +42,18 @@ def read_folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     their declared types.
     """
     try:
-        return spark.read.schema(schema).parquet(path).select(*schema.names)
+        with listing(spark):
+            return spark.read.schema(schema).parquet(path).select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-@contextmanager
-def _file_size(spark: SparkSession, size: int) -> Iterator[None]:
-    before = spark.conf.get(_ADVISORY, None)
-    spark.conf.set(_ADVISORY, str(size))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_ADVISORY)
-        else:
-            spark.conf.set(_ADVISORY, before)
+def _file_size(spark: SparkSession, size: int):
+    """Tasks of a write near ``size``. A little data for many partitions still spreads over the cores, as
+    opening files is then the work."""
+    return _settings(spark, **{_ADVISORY: str(size), _LEAST: "16k"})
 
 
 def write_partitions(
