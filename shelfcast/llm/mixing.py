@@ -38,7 +38,7 @@ from shelfcast.llm.common import WORD, col, fresh, small_batches, stored
 
 MAX_SOURCES = 100_000
 DRIVER_NODES = 64
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 SEED = 20_240_501
 _LARGE = 10**9
 _KEYS = ["source_no", "id", "hash", "size", "copy"]

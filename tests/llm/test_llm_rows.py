@@ -283,7 +283,7 @@ def test_preferences_equal_the_definition(spark):
     df = spark.createDataFrame(rows, "pair long, chosen boolean, turn long, role string, text string")
     got = Counter()
     for x in preference.formatted(df).collect():
-        text = x["content"].split("|>\n")[1].removesuffix("<|end|>\n")
+        text = x["content"].split("|>\n", 1)[1].removesuffix("<|end|>\n")
         got[x["pair"], x["part"], x["turn"], x["role"], text] += x["copies"]
         assert x["loss"] == (x["part"] != "prompt" and x["role"] == "assistant")
     assert got == plain_preferences(chosen, rejected)
