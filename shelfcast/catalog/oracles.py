@@ -422,9 +422,10 @@ ORACLES: dict[str, str] = {name: _sql(body) for name, body in {
         " count(store_id) store_ids from checked where len(problems) > 0 group by 1"
     ),
     "key_version_stamp": (
-        "select case when cast(regexp_extract(source_file, '(\\d+)', 1) as int) > 20 then 'v2' else 'v1' end"
-        " key_version, concat('load-', key_version) run_id, count(*) row_count,"
-        " count(distinct customer_pseudonym) customers from good group by 1, 2"
+        "select key_version, concat('load-', key_version) run_id, count(*) row_count,"
+        " count(distinct customer_pseudonym) customers from (select *,"
+        " case when cast(regexp_extract(source_file, '(\\d+)', 1) as int) > 20 then 'v2' else 'v1' end"
+        " key_version from good) group by key_version"
     ),
     "seed_rules": (
         "select league_name, scope, nullif(applies_to_nation, '') applies_to_nation,"
