@@ -3,19 +3,18 @@
 ``fit`` learns from a bounded sample of labelled documents and counts document frequencies over the
 whole corpus; ``scored`` adds a calibrated score, the decision and the evidence to any documents.
 
-* **Terms.** Words and four-letter word beginnings whose presence in an example goes with the label
-  (chi-square, copies of an example counted once), at most ``max_terms`` of them. Inflected words
-  share their beginning.
-* **Index.** Examples ordered by their heaviest term, in blocks of ``BLOCK``; each term has its
-  postings and the highest weight in each block. Blocks whose bound (sum over the query's terms of
-  query weight x block maximum) cannot reach the k-th best similarity are skipped, so the k nearest
-  are exact. Ties go to the smaller example id.
+* **Terms.** All words and four-letter word beginnings of the examples. Inflected words share their
+  beginning.
+* **Index.** Terms are 64-bit hashes, so no texts gather on the driver. Each term has its postings; the ``HEAD`` most frequent terms are rows of a dense matrix instead,
+  and many texts meet them in one product. Every example that shares a term is compared, so the k
+  nearest are exact. Ties go to the smaller example id.
 * **Score.** Neighbours vote with weight ``1 / (1 - similarity + 0.05)``; the vote is mapped to a
   probability by isotonic regression on leave-one-out votes of the examples. A text without any term
   has no neighbours and gets the rate of label 1 among such examples.
 
-Bounds: ``max_examples`` examples and ``max_terms`` terms, both parameters, fix the index's size; it
-is the only thing sent to the tasks. Null texts count as empty, null ids and labels are not learnt
+Bounds: ``max_examples`` examples, a parameter, and their own terms fix the index's size; it
+is the only thing sent to the tasks. ``max_terms`` and ``least_chi``, off unless given, keep only terms whose
+presence goes with the label (chi-square over examples of different term vectors). Null texts count as empty, null ids and labels are not learnt
 from, a document labelled twice counts as toxic if one label says so. Without usable labels every
 score is 0. Repeated rows and extra columns pass through unchanged.
 """
@@ -23,22 +22,24 @@ score is 0. Repeated rows and extra columns pass through unchanged.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
-from dataclasses import dataclass
-from zlib import crc32
+from dataclasses import dataclass, replace
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.llm.common import col, fresh, small_batches, stored, text_or_empty
 
-BLOCK = 64
+HEAD = 256
+BATCH = 64
 BINS = 24
 _WORDS = re.compile(r"\w+")
-EXAMPLE = "id bigint, toxic int, terms array<string>, counts array<int>, signature bigint"
+EXAMPLE = "id bigint, toxic int, terms array<bigint>, counts array<int>, signature binary"
 RESULT = "score double, predicted int, evidence array<struct<doc_id: bigint, similarity: double, toxic: int>>"
 
 
@@ -57,99 +58,185 @@ def terms_of(text: str) -> Counter:
     return out
 
 
+def term_keys(terms: Counter, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of terms, ascending, and their counts; ``known`` keeps hashes seen before."""
+    if len(known) > 200_000:
+        known.clear()
+    keys = np.empty(len(terms), dtype=np.int64)
+    for i, t in enumerate(terms):
+        key = known.get(t)
+        if key is None:
+            raw = blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+            key = known[t] = int.from_bytes(raw, "little", signed=True)
+        keys[i] = key
+    order = np.argsort(keys)
+    return keys[order], np.fromiter(terms.values(), np.int32, len(terms))[order]
+
+
 def _document_terms(batches):
     """Per example: its distinct terms and their counts."""
+    known: dict[str, int] = {}
     for batch in batches:
         ids, labels, texts = (batch.column(i).to_pylist() for i in range(3))
-        terms = [terms_of(t) for t in texts]
+        terms = [term_keys(terms_of(t), known) for t in texts]
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(labels, pa.int32()),
-             pa.array([list(t) for t in terms], pa.list_(pa.string())),
-             pa.array([list(t.values()) for t in terms], pa.list_(pa.int32())),
-             pa.array([min((crc32(w.encode()) for w in t), default=-1) for t in terms], pa.int64())],
+             pa.array([a for a, _ in terms], pa.list_(pa.int64())),
+             pa.array([b for _, b in terms], pa.list_(pa.int32())),
+             pa.array([blake2b(a.tobytes() + b.tobytes(), digest_size=16).digest() for a, b in terms], pa.binary())],
             names=["id", "toxic", "terms", "counts", "signature"],
         )
 
 
-def _frequencies(vocabulary: frozenset):
+def _frequencies(vocabulary):
+    """(term, n): documents of each term of the broadcast ``vocabulary``, and of the null term, all documents."""
     def run(batches):
-        counts: Counter = Counter()
+        terms = vocabulary.value
+        counts = np.zeros(len(terms), dtype=np.int64)
+        known: dict[str, int] = {}
         n = 0
         for batch in batches:
             for text in batch.column(0):
-                words = set(_WORDS.findall(text.as_py().lower()))
-                words.update([w[:4] + "*" for w in words if len(w) > 4])
-                counts.update(words & vocabulary)
+                at, found = _places(terms, term_keys(terms_of(text.as_py()), known)[0])
+                counts[at[found]] += 1
                 n += 1
-        names = ["", *counts]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([n, *(counts[t] for t in names[1:])], pa.int64())],
-            names=["term", "n"],
-        )
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([n], pa.int64())], names=["term", "n"])
+        for at in range(0, len(some), 100_000):
+            part = some[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(terms[part]), pa.array(counts[part])], names=["term", "n"])
 
     return run
 
 
+def _places(terms: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``keys`` stand in the ascending ``terms``, and whether they do."""
+    if not len(terms):
+        return np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
+    at = np.minimum(np.searchsorted(terms, keys), len(terms) - 1)
+    return at, terms[at] == keys
+
+
 class Index:
-    """Block-max inverted index over the examples' normalised TF-IDF vectors."""
+    """Inverted index over the examples' normalised TF-IDF vectors, its most frequent terms dense."""
 
     def __init__(self, idf: dict[str, float], ids, labels, vectors):
-        self.idf = idf
-        self.term_no = {t: i for i, t in enumerate(sorted(idf))}
-        heaviest = [max(v, key=lambda t: (v[t], t)) if v else "" for v in vectors]
-        order = sorted((i for i, v in enumerate(vectors) if v), key=lambda i: (heaviest[i], ids[i]))
-        self.ids = np.array([ids[i] for i in order], dtype=np.int64)
-        self.labels = np.array([labels[i] for i in order], dtype=np.int32)
-        self.blocks = -(-len(order) // BLOCK)
-        rows: list[list[int]] = [[] for _ in self.term_no]
-        weights: list[list[float]] = [[] for _ in self.term_no]
-        for place, i in enumerate(order):
-            for t, w in vectors[i].items():
-                rows[self.term_no[t]].append(place)
-                weights[self.term_no[t]].append(w)
-        self.rows = [np.array(r, dtype=np.int64) for r in rows]
-        self.weights = [np.array(w, dtype=np.float64) for w in weights]
-        self.highest = np.zeros((len(self.term_no), self.blocks))
-        for t, (r, w) in enumerate(zip(self.rows, self.weights)):
-            np.maximum.at(self.highest[t], r // BLOCK, w)
+        self._weigh(*term_keys(Counter(dict.fromkeys(idf, 1)), {}), idf)
+        rows = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v) for v in vectors])
+        parts = [self._numbered(v) for v in vectors]
+        terms = np.concatenate([a for a, _ in parts] or [np.empty(0, dtype=np.int32)])
+        self.ids, self.labels, self.packed = np.array(ids, dtype=np.int64), np.array(labels, dtype=np.int32), None
+        self._index(rows, terms, np.concatenate([b for _, b in parts] or [np.empty(0)]))
+
+    @classmethod
+    def of(cls, terms: np.ndarray, idf: np.ndarray, ids, labels, rows, keys, counts) -> "Index":
+        """From arrays: ascending terms with their weights; and, in parts, the examples' numbers of terms, terms and counts."""
+        self = cls.__new__(cls)
+        self.terms, self.idf = terms, idf
+        self.ids, self.labels = np.array(ids, dtype=np.int64), np.array(labels, dtype=np.int32)
+        at, sizes = [], []
+        for some, lengths in zip(keys, rows):  # a part at a time, for the driver's memory
+            places, found = _places(terms, some)
+            at.append(np.where(found, places, -1).astype(np.int32))
+            sizes.append(np.bincount(np.repeat(np.arange(len(lengths)), lengths), found, len(lengths)).astype(np.int64))
+        at, counts, sizes = np.concatenate(at), np.concatenate(counts), np.concatenate(sizes)
+        counts, at = counts[at >= 0].astype(np.int32), at[at >= 0]
+        steps = np.diff(at, prepend=np.int32(0))
+        self.packed = [zlib.compress(x.tobytes(), 1) for x in (sizes, steps, counts)]
+        return self
+
+    def __getstate__(self):
+        """Terms and counts, packed, instead of the postings: a fifth of the size."""
+        built = ("head", "head_no", "edge", "rows", "weights") if self.packed is not None else ()
+        return {name: value for name, value in self.__dict__.items() if name not in built}
+
+    def _ready(self):
+        """Build the postings where they are first used."""
+        if not hasattr(self, "head"):
+            kinds = (np.int64, np.int32, np.int32)
+            sizes, steps, counts = (np.frombuffer(zlib.decompress(x), dtype=t) for x, t in zip(self.packed, kinds))
+            rows, at = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), np.cumsum(steps, dtype=np.int32)
+            raw = (1 + np.log(counts)) * self.idf[at]
+            raw /= np.sqrt(np.bincount(rows, raw * raw, minlength=len(sizes)))[rows]
+            self._index(rows, at, raw)
+
+    def _weigh(self, keys, _, idf):
+        self.terms = keys
+        values = {int(term_keys(Counter({t: 1}), {})[0][0]): w for t, w in idf.items()}
+        self.idf = np.array([values[int(key)] for key in keys], dtype=np.float64)
+
+    def _index(self, rows, terms, weights):
+        frequency = np.bincount(terms, minlength=len(self.terms))
+        heads = np.argsort(-frequency, kind="stable")[:HEAD]
+        self.head_no = np.full(len(self.terms), -1, dtype=np.int32)
+        self.head_no[heads] = np.arange(len(heads))
+        self.head = np.zeros((len(heads), len(self.ids)))
+        dense = self.head_no[terms] >= 0
+        self.head[self.head_no[terms[dense]], rows[dense]] = weights[dense]
+        frequency[heads] = 0
+        self.edge = np.concatenate(([0], np.cumsum(frequency)))
+        rows, terms, weights = rows[~dense], terms[~dense], weights[~dense]
+        order = np.argsort(terms, kind="stable")
+        self.rows, self.weights = rows[order], weights[order]
+
+    def _numbered(self, vector: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
+        """A vector by terms as term numbers and weights."""
+        keys = [term_keys(Counter({t: 1}), {})[0] for t in vector]
+        at, found = _places(self.terms, np.concatenate(keys or [np.empty(0, dtype=np.int64)]))
+        return at[found].astype(np.int32), np.array(list(vector.values()), dtype=np.float64)[found]
+
+    def unit(self, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unit TF-IDF vector of ascending term hashes and counts: term numbers and weights."""
+        at, found = _places(self.terms, keys)
+        at = at[found]
+        raw = (1 + np.log(counts[found])) * self.idf[at]
+        return at, raw / np.sqrt((raw * raw).sum()) if len(raw) else raw
 
     def vector(self, counts) -> dict[str, float]:
-        """Unit TF-IDF vector of term counts, in term order."""
-        raw = {t: (1 + np.log(counts[t])) * self.idf[t] for t in sorted(counts) if t in self.idf}
-        length = float(np.sqrt(sum(w * w for w in raw.values())))
-        return {t: float(w / length) for t, w in raw.items()} if length else {}
+        """Unit TF-IDF vector of term counts by term."""
+        known: dict[str, int] = {}
+        at, weights = self.unit(*term_keys(Counter(counts), known))
+        names = {key: t for t, key in known.items()}
+        return {names[int(self.terms[a])]: float(w) for a, w in zip(at, weights)}
 
     def nearest(self, vector: dict[str, float], k: int, without: int | None = None):
         """The ``k`` examples of highest cosine above 0, best first, ties to the smaller id; exact."""
-        terms = [(self.term_no[t], w) for t, w in vector.items() if t in self.term_no]
-        if not terms or not self.blocks:
-            return np.empty(0, dtype=np.int64), np.empty(0)
-        bound = sum(w * self.highest[t] for t, w in terms)
-        order = np.argsort(-bound, kind="stable")
-        first = np.zeros(self.blocks, dtype=bool)
-        first[order[: 2 + k // BLOCK]] = True
-        similarity = self._similarity(terms, first, without)
-        best = np.sort(similarity)[-k] if len(similarity) >= k else 0.0
-        open_blocks = (bound >= best - 1e-9) & (bound > 0)
-        if (open_blocks & ~first).any():
-            similarity = self._similarity(terms, open_blocks | first, without)
-        places = np.flatnonzero(similarity > 0)
-        if len(places) > k:
-            least = np.partition(similarity[places], -k)[-k]
-            places = places[similarity[places] >= least]
-        chosen = places[np.lexsort((self.ids[places], -similarity[places]))][:k]
-        return chosen, np.minimum(similarity[chosen], 1.0)
-
-    def _similarity(self, terms, visited, without):
-        """Similarities of the examples in the visited blocks; all others stay 0."""
-        out = np.zeros(len(self.ids))
-        for t, w in terms:
-            rows = self.rows[t]
-            inside = visited[rows // BLOCK]
-            out[rows[inside]] += w * self.weights[t][inside]
-        if without is not None:
-            out[self.ids == without] = 0
-        return np.round(out, 12)
+        return self.all_nearest([self._numbered(vector)], k, [without])[0]
+
+    def all_nearest(self, vectors, k: int, without) -> list:
+        """``nearest`` of each vector of ``unit``, ``BATCH`` of them in one product with the frequent terms."""
+        self._ready()
+        out = []
+        for at in range(0, len(vectors), BATCH):
+            part = vectors[at : at + BATCH]
+            query = np.zeros((len(part), len(self.head)))
+            found = []
+            for i, (terms, values) in enumerate(part):
+                head = self.head_no[terms]
+                query[i, head[head >= 0]] = values[head >= 0]
+                terms, values = terms[head < 0], values[head < 0]
+                rows, weights = [np.empty(0, dtype=np.int32)], [np.empty(0)]
+                for a, b, w in zip(self.edge[terms].tolist(), self.edge[terms + 1].tolist(), values.tolist()):
+                    rows.append(self.rows[a:b])
+                    weights.append(w * self.weights[a:b])
+                found.append(np.bincount(np.concatenate(rows), np.concatenate(weights), minlength=len(self.ids)))
+            for similarity, more, own in zip(found, query @ self.head, without[at : at + BATCH]):
+                similarity = similarity + more
+                if own is not None:
+                    similarity[self.ids == own] = 0
+                out.append(self._best(similarity, k))
+        return out
+
+    def _best(self, similarity, k: int):
+        if len(similarity) > k:
+            least = np.partition(similarity, -k)[-k]
+            places = np.flatnonzero(similarity >= least - 1e-11)
+        else:
+            places = np.arange(len(similarity))
+        similarity = np.round(similarity[places], 12)
+        places, similarity = places[similarity > 0], similarity[similarity > 0]
+        order = np.lexsort((self.ids[places], -similarity))[:k]
+        return places[order], np.minimum(similarity[order], 1.0)
 
     def vote(self, places, similarity) -> float | None:
         if not len(places):
@@ -160,7 +247,7 @@ class Index:
 
 @dataclass
 class Model:
-    index: Index
+    index: Index | None
     k: int
     threshold: float
     levels: list[float]  # probability for each bin of the vote
@@ -188,7 +275,7 @@ def isotonic(weights, means) -> list[float]:
 def fit(
     docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     label: str = "toxic", k: int = 15, threshold: float = 0.3, max_examples: int = 30_000,
-    max_terms: int = 2_000, least_chi: float = 40.0,
+    max_terms: int | None = None, least_chi: float | None = None,
 ) -> Model:
     """Learn from ``labels``; see the module. Rows of ``held_out`` ids are never read."""
     usable = labels.select(col("doc_id").cast("bigint").alias("id"), col(label).cast("int").alias("toxic"))
@@ -200,52 +287,67 @@ def fit(
     examples = texts.join(F.broadcast(stored(usable, "toxic-labels")), "id").select("id", "toxic", "text")
     examples = stored(examples.mapInArrow(_document_terms, EXAMPLE), "examples")
 
-    # Copies of one text would make its words look typical of its label; terms are chosen among examples
-    # that differ in their least word hash.
-    firsts = F.broadcast(examples.groupBy("signature").agg(F.min("id").alias("id")))
-    apart = examples.join(firsts, ["signature", "id"])
-    sizes = apart.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
+    # Examples of equal term vectors count once where terms are chosen.
+    sizes = examples.groupBy("signature").agg(F.max("toxic").alias("toxic"))
+    sizes = sizes.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     if not sizes["toxic"] or sizes["toxic"] == sizes["n"]:
         return Model(Index({}, [], [], []), k, threshold, [float(bool(sizes["toxic"]))] * BINS, float(bool(sizes["toxic"])))
-    n, positive = float(sizes["n"]), float(sizes["toxic"])
+    terms = examples.select(F.explode("terms").alias("term")).distinct()
+    if max_terms is not None or least_chi is not None:
+        terms = _associated(examples, float(sizes["n"]), float(sizes["toxic"]), max_terms, least_chi)
+    vocabulary = np.sort(terms.toArrow().column(0).to_numpy())
+
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    found = texts.select("text").mapInArrow(_frequencies(sent), "term bigint, n bigint")
+    found = found.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, frequency = found.column(0), found.column(1).to_numpy()
+    documents = int(frequency[term.is_null().to_numpy()].sum())
+    counted = np.zeros(len(vocabulary), dtype=np.int64)
+    counted[np.searchsorted(vocabulary, term.drop_null().to_numpy())] = frequency[term.is_valid().to_numpy()]
+    return _calibrated(examples, vocabulary, np.log((1 + documents) / (1 + counted)) + 1, k, threshold)
+
+
+def _associated(examples: DataFrame, n: float, positive: float, max_terms: int | None, least_chi: float | None) -> DataFrame:
+    """The terms of highest chi-square among examples of different term vectors."""
+    apart = examples.groupBy("signature").agg(F.max("toxic").alias("toxic"), F.first("terms").alias("terms"))
     counts = apart.select("toxic", F.explode("terms").alias("term")).groupBy("term")
     counts = counts.agg(F.sum("toxic").cast("double").alias("a"), F.count("*").cast("double").alias("df"))
     b, c = F.col("df") - F.col("a"), F.lit(positive) - F.col("a")
     d = F.lit(n - positive) - b
     chi = n * F.pow(F.col("a") * d - b * c, F.lit(2)) / (F.col("df") * (n - F.col("df")) * positive * (n - positive))
-    chosen = counts.where(f"df >= 3 and df < {n}").select("term", chi.alias("chi")).where(F.col("chi") >= least_chi)
-    vocabulary = frozenset(r["term"] for r in chosen.orderBy(F.desc("chi"), "term").limit(max_terms).collect())
-
-    found = texts.select("text").mapInArrow(_frequencies(vocabulary), "term string, n bigint")
-    found = {r["term"]: r["n"] for r in found.groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    idf = {t: float(np.log((1 + found[""]) / (1 + found.get(t, 0))) + 1) for t in vocabulary}
-    return _calibrated(examples, idf, k, threshold)
+    chosen = counts.where(f"df >= 3 and df < {n}").select("term", chi.alias("chi")).where(F.col("chi") >= (least_chi or 0.0))
+    chosen = chosen if max_terms is None else chosen.orderBy(F.desc("chi"), "term").limit(max_terms)
+    return chosen.select("term")
 
 
-def _calibrated(examples: DataFrame, idf: dict[str, float], k: int, threshold: float) -> Model:
+def _calibrated(examples: DataFrame, vocabulary: np.ndarray, idf: np.ndarray, k: int, threshold: float) -> Model:
     """Index the examples and map votes to probabilities by leaving each example out in turn."""
-    shell = Index(idf, [], [], [])
-
-    def kept(batches):
+    rows = examples.select("id", "toxic", "terms", "counts").toArrow()  # bounded by max_examples
+    ids, labels = rows.column("id").to_numpy(), rows.column("toxic").to_numpy()
+    sizes = [c.value_lengths().to_numpy() for c in rows.column("terms").chunks]
+    keys, counts = ([c.flatten().to_numpy() for c in rows.column(n).chunks] for n in ("terms", "counts"))
+    del rows
+    index = Index.of(vocabulary, idf, ids, labels, sizes, keys, counts)
+    del keys, counts
+    sent = examples.sparkSession.sparkContext.broadcast(index)
+
+    def votes(batches):
+        index = sent.value
         for batch in batches:
-            terms, counts = (batch.column(i).to_pylist() for i in (2, 3))
-            pairs = [{t: n for t, n in zip(a, b) if t in idf} for a, b in zip(terms, counts)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([list(x) for x in pairs], pa.list_(pa.string())),
-                 pa.array([list(x.values()) for x in pairs], pa.list_(pa.int32())), batch.column(4)],
-                names=["id", "toxic", "terms", "counts", "signature"],
-            )
-
-    rows = examples.mapInArrow(kept, EXAMPLE).collect()  # bounded by max_examples and max_terms
-    rows.sort(key=lambda r: (r["id"], sorted(zip(r["terms"], r["counts"]))))
-    vectors = [shell.vector(dict(zip(r["terms"], r["counts"]))) for r in rows]
-    index = Index(idf, [r["id"] for r in rows], [r["toxic"] for r in rows], vectors)
+            own, toxic = batch.column(0).to_pylist(), batch.column(1)
+            vectors = [
+                index.unit(a.values.to_numpy(), b.values.to_numpy()) for a, b in zip(batch.column(2), batch.column(3))
+            ]
+            bins = []
+            for near in index.all_nearest(vectors, k, own):
+                vote = index.vote(*near)
+                bins.append(BINS if vote is None else round(vote * (BINS - 1)))
+            yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), toxic], names=["bin", "toxic"])
+
     seen, toxic = np.zeros(BINS + 1), np.zeros(BINS + 1)
-    for r, v in zip(rows, vectors):
-        vote = index.vote(*index.nearest(v, k, r["id"])) if v else None
-        at = BINS if vote is None else round(vote * (BINS - 1))
-        seen[at] += 1
-        toxic[at] += r["toxic"]
+    left_out = examples.select("id", "toxic", "terms", "counts").mapInArrow(votes, "bin int, toxic int")
+    for r in left_out.groupBy("bin").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).collect():
+        seen[r["bin"]], toxic[r["bin"]] = r["n"], r["toxic"]
     centres = np.arange(BINS) / (BINS - 1)
     # Two pseudo-examples hold a bin without data at its own vote share.
     means = (toxic[:BINS] + 2 * centres) / (seen[:BINS] + 2)
@@ -253,42 +355,37 @@ def _calibrated(examples: DataFrame, idf: dict[str, float], k: int, threshold: f
     return Model(index, k, threshold, levels, float((toxic[BINS] + 0.05) / (seen[BINS] + 1)))
 
 
-def scorer(model: Model):
+def scorer(model: Model, spark: SparkSession):
     """An Arrow function text -> struct of ``RESULT``. Equal vectors are searched once per task."""
-    known: dict[tuple, tuple] = {}
-    idf = frozenset(model.index.idf)
+    known: dict[bytes, tuple] = {}
+    hashes: dict[str, int] = {}
+    sent = spark.sparkContext.broadcast(model.index)
+    judge = replace(model, index=None)  # the index goes once to each worker
     result = pa.struct([
         ("score", pa.float64()), ("predicted", pa.int32()),
         ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))),
     ])
 
-    def score(text: str) -> tuple:
-        words = _WORDS.findall(text.lower())
-        distinct = set(words)
-        starts = {w[:4] + "*" for w in distinct if len(w) > 4} & idf
-        hits = distinct & idf
-        if not hits and not starts:
-            key: tuple = ()
-        else:
-            counts: Counter = Counter(w for w in words if w in hits)
-            if starts:
-                counts.update(s for w in words if len(w) > 4 and (s := w[:4] + "*") in starts)
-            key = tuple(sorted(counts.items()))
-        if key not in known:
-            if len(known) >= 50_000:
-                known.clear()
-            places, similarity = model.index.nearest(model.index.vector(dict(key)), model.k)
-            p = min(1.0, max(0.0, model.probability(model.index.vote(places, similarity))))
+    def score(texts: list[str]) -> list[tuple]:
+        index = sent.value
+        terms = [term_keys(terms_of(t), hashes) for t in texts]
+        keys = [blake2b(a.tobytes() + b.tobytes(), digest_size=16).digest() for a, b in terms]
+        if len(known) > 50_000:
+            known.clear()
+        todo = {key: i for i, key in enumerate(keys) if key not in known}
+        vectors = [index.unit(*terms[i]) for i in todo.values()]
+        for key, (places, similarity) in zip(todo, index.all_nearest(vectors, judge.k, [None] * len(vectors))):
+            p = min(1.0, max(0.0, judge.probability(index.vote(places, similarity))))
             evidence = [
-                {"doc_id": int(model.index.ids[i]), "similarity": float(s), "toxic": int(model.index.labels[i])}
+                {"doc_id": int(index.ids[i]), "similarity": float(s), "toxic": int(index.labels[i])}
                 for i, s in zip(places[:5], similarity[:5])
             ]
-            known[key] = (p, int(p >= model.threshold), evidence)
-        return known[key]
+            known[key] = (p, int(p >= judge.threshold), evidence)
+        return [known[key] for key in keys]
 
     @F.arrow_udf(returnType=T.StructType.fromDDL(RESULT))
     def run(texts: pa.Array) -> pa.Array:
-        values = [score(t.as_py() or "") for t in texts]
+        values = score([t.as_py() or "" for t in texts])
         return pa.StructArray.from_arrays(
             [pa.array([v[i] for v in values], f.type) for i, f in enumerate(result)], fields=list(result)
         )
@@ -298,7 +395,7 @@ def scorer(model: Model):
 
 def scored(docs: DataFrame, model: Model, *, text: str = "text", into: str = "toxicity") -> DataFrame:
     """``docs`` with a struct column ``into``: score, predicted, evidence (the five nearest examples)."""
-    return small_batches(docs).withColumn(into, scorer(model)(text_or_empty(text)))
+    return small_batches(docs).withColumn(into, scorer(model, docs.sparkSession)(text_or_empty(text)))
 
 
 def without_toxic(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:

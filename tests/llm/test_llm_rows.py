@@ -155,6 +155,19 @@ def test_nearest_examples_equal_brute_force():
         assert np.allclose([s for s, _ in every], similarity)
 
 
+def test_toxicity_keeps_all_terms_of_all_examples(spark):
+    # Every text holds the word of least hash, so examples of different texts shared one signature.
+    rows = [(i, f"common {'good' if i % 4 else 'bad'}{i % 3} own{i}", "en", "s", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    learnt = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    terms = [toxicity.term_keys(toxicity.terms_of(r[1]), {})[0].tolist() for r in learnt]
+    assert set(model.index.terms.tolist()) == {t for found in terms for t in found}
+    held = {r["doc_id"]: r["toxicity"]["predicted"] for r in toxicity.scored(docs, model).where(toxicity.held_out(F.col("doc_id"))).collect()}
+    assert held and all(p == int(i % 4 == 0) for i, p in held.items())
+
+
 def test_toxicity_without_labels_and_with_awkward_rows(spark):
     rows, labels = lexicon_corpus(60)
     docs = spark.createDataFrame([*rows, (None, None, None, None, None), (5, "", "en", "s", 0), (5, "", "en", "s", 0)], SCHEMA)
