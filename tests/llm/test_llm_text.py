@@ -91,6 +91,21 @@ def test_iban_and_ssn_are_confirmed_by_checksum_and_context(awkward):
     assert not [s for i, s in found.items() if i not in (9, 10) and s]
 
 
+def test_ibans_before_capitals_and_context_after_the_span(spark):
+    wanted = {
+        "IBAN DE89370400440532013000 Bank of X": [("iban", "DE89370400440532013000")],
+        "DE89 3704 0044 0532 0130 00 Please pay": [("iban", "DE89 3704 0044 0532 0130 00")],
+        "GB82 WEST 1234 5698 7654 32 BIC NWBKGB2L": [("iban", "GB82 WEST 1234 5698 7654 32")],
+        "😀 DE89370400440532013000 GB82 WEST 1234 5698 7654 32": [("iban", "DE89370400440532013000"), ("iban", "GB82 WEST 1234 5698 7654 32")],
+        "DE89370400440532013000x and DE88370400440532013000": [],
+        "219-09-9999 is my social security number": [("ssn", "219-09-9999")],
+        "219-09-9999 is a part number": [],
+    }
+    docs = spark.createDataFrame([(t,) for t in wanted], "text string")
+    for r in pii.with_spans(docs).select("text", pii.spans("pii", ("iban", "ssn")).alias("s")).collect():
+        assert [(s["kind"], r["text"][s["start"] : s["end"]]) for s in r["s"]] == wanted[r["text"]], r["text"]
+
+
 def test_redaction_replaces_spans_and_keeps_columns(awkward):
     out = pii.redacted(awkward, n_chars="n_chars")
     assert out.columns == awkward.columns and out.count() == len(ROWS)
