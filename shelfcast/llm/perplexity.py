@@ -14,7 +14,8 @@ language are its median in log-perplexity less ``below`` and plus ``above`` robu
 median absolute deviation); a text of ``n`` characters is allowed ``slack / sqrt(n)`` more on either side. A
 document is kept if it passes the base rules and lies inside its language's bands.
 
-Counts, medians and deviations cover all documents (medians to a rank error of 1/10,000). Null texts have no
+The model, medians and deviations cover every distinct text of a language once, however many copies it has
+(medians to a rank error of 1/10,000); deviations count as ``least`` at least. Null texts have no
 words and fail the base rules; null languages form a language of their own; texts without characters have
 perplexity 1 and are not counted in the bands. Repeated rows are rows. Extra columns play no part.
 """
@@ -264,33 +265,37 @@ def _by_join(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 
 def judged(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", below: float = 5.0,
-    above: float = 4.0, slack: float = 2.0, max_entries: int = 8_000_000,
+    above: float = 4.0, slack: float = 2.0, max_entries: int = 8_000_000, least: float = 0.01,
 ) -> DataFrame:
     """(doc_id, the rules' counts, perplexity, lower, upper, base_failed, kept) for each row of ``docs``."""
-    counts = stored(gram_counts(docs, text=text, lang=lang), "gram-counts")
-    estimates = stored(estimated(counts), "kneser-ney")
     rows = docs.select(col(doc_id).alias("doc_id"), language_of(lang).alias("language"), text_or_empty(text).alias("text"))
+    rows = rows.withColumn("copy", F.xxhash64("text"))
+    apart = rows.select("language", "copy", "text").dropDuplicates(["language", "copy"])
+    counts = stored(gram_counts(apart, text="text", lang="language"), "gram-counts")
+    estimates = stored(estimated(counts), "kneser-ney")
     if estimates.count() <= max_entries:
         run = _measured(Arrays.of(estimates.toArrow()))
-        found = rows.select("doc_id", "language", run("language", F.col("text").cast("binary")).alias("m")).select("doc_id", "language", "m.*")
+        found = rows.select("doc_id", "language", "copy", run("language", F.col("text").cast("binary")).alias("m"))
+        found = found.select("doc_id", "language", "copy", "m.*")
     else:
         # Identical rows have identical sums, so a hash of the row may name it.
         rows = rows.withColumn("row", F.xxhash64("doc_id", "language", "text"))
         sums = _by_join(rows.dropDuplicates(["row"]), estimates)
         run = _measured(None)
-        found = rows.select("doc_id", "language", "row", run("language", F.col("text").cast("binary")).alias("m"))
-        found = found.select("doc_id", "language", "row", "m.*").drop("logp").join(sums, "row", "left").fillna(0.0, ["logp"])
+        found = rows.select("doc_id", "language", "copy", "row", run("language", F.col("text").cast("binary")).alias("m"))
+        found = found.select("doc_id", "language", "copy", "row", "m.*").drop("logp").join(sums, "row", "left").fillna(0.0, ["logp"])
     found = found.withColumn("log_perplexity", F.when(F.col("n_grams") > 0, -F.col("logp") / F.col("n_grams")).otherwise(0.0))
     found = stored(found, "perplexities")
-    return banded(found, below, above, slack)
+    return banded(found, below, above, slack, least)
 
 
-def banded(found: DataFrame, below: float, above: float, slack: float) -> DataFrame:
-    filled = found.where("n_grams > 0")
+def banded(found: DataFrame, below: float, above: float, slack: float, least: float) -> DataFrame:
+    filled = found.where("n_grams > 0").groupBy("language", "copy").agg(F.min("log_perplexity").alias("log_perplexity"))
     middle = filled.groupBy("language").agg(F.percentile_approx("log_perplexity", 0.5, F.lit(10_000)).alias("middle"))
     spread = filled.join(middle, "language").groupBy(F.col("language").alias("l"), "middle").agg(
         F.percentile_approx(F.abs(F.col("log_perplexity") - F.col("middle")), 0.5, F.lit(10_000)).alias("mad")
     )
+    spread = spread.withColumn("mad", F.greatest("mad", F.lit(least)))
     out = found.join(spread, F.col("language") == F.col("l"), "left")
     room = F.lit(slack) / F.sqrt(F.greatest(F.col("n_grams"), F.lit(1)))
     lower = F.col("middle") - below * 1.4826 * F.col("mad") - room

@@ -254,6 +254,20 @@ def test_bands_reject_noise_and_keep_prose(spark, awkward):
     assert perplexity.judged(awkward.limit(0)).count() == 0
 
 
+def test_copies_of_one_text_do_not_move_the_bands(spark):
+    r = random.Random(12)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 8))) for _ in range(300)]
+    texts = [" ".join(r.choice(words) for _ in range(r.randint(80, 200))) for _ in range(60)]
+
+    def judged(all_texts):
+        docs = spark.createDataFrame(list(enumerate(all_texts)), "doc_id long, text string").withColumn("lang", F.lit("en"))
+        return {x["doc_id"]: (x["lower"], x["upper"], x["kept"]) for x in perplexity.judged(docs).collect()}
+
+    alone, crowded = judged(texts), judged(texts + texts[:1] * 90)
+    assert {i: crowded[i][2] for i in alone} == {i: v[2] for i, v in alone.items()}
+    assert all(crowded[i][:2] == pytest.approx(v[:2]) for i, v in alone.items())
+
+
 def test_importance_keeps_exactly_k_and_prefers_the_target(spark, awkward):
     r = random.Random(2)
     good = [" ".join(r.choice(["sun", "moon", "star", "sky"]) for _ in range(80)) for _ in range(60)]
