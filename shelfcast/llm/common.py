@@ -51,6 +51,15 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(""))
 
 
+#: ASCII letters and digits and bytes beyond ASCII stay (A-Z as a-z), all other bytes part words.
+_TERMS = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
+
+
+def terms_in(raw: bytes) -> list[bytes]:
+    """Runs of letters, digits and characters beyond ASCII of a UTF-8 text, A-Z lower-cased."""
+    return raw.translate(_TERMS).split()
+
+
 def hexadecimal(value: Column) -> Column:
     """A long as 16 lowercase hexadecimal digits."""
     return F.lower(F.lpad(F.hex(value), 16, "0"))

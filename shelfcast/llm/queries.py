@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import importance, mixing, neighbours, perplexity, pieces, pii, preference, secrets, simhash, toxicity
+from shelfcast.llm import (
+    importance, lexical, mixing, neighbours, perplexity, pieces, pii, preference, quantised, secrets, simhash, targets,
+    toxicity,
+)
 from shelfcast.llm.common import hexadecimal, table
 from shelfcast.llm.spans import written
 
@@ -108,6 +111,27 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten documents of highest score for each benchmark item."""
+    return lexical.search(table(spark, folder, "benchmark"), table(spark, folder, "documents"), k=10)
+
+
+@query
+def op12_target_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, score and rank of each document, a tenth drawn towards the benchmark's words."""
+    return targets.resampled(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"),
+        runs=1, buckets=10_000, seed=2024, share=10, least_words=20,
+    )
+
+
+@query
+def op13_vector_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and class of each vector among those of its label, cosine 0.98 or more."""
+    return quantised.classes(table(spark, folder, "embeddings"), least=0.98)
+
+
 ORACLES["op2_preferences"] = """
 with turns as (select conv_id as pair, turn, role, text from conversations),
 last_reply as (
@@ -136,3 +160,94 @@ select pair as conv_id, part, turn, role,
   copies, part <> 'prompt' and coalesce(role = 'assistant', false) as loss
 from parts where copies > 0
 """
+
+ORACLES["op11_lexical"] = r"""
+with doc_words as (
+  select doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as words
+  from documents where text is not null),
+doc_size as (select doc_id, len(words) as n from doc_words where len(words) > 0),
+totals as (select count(*) as docs, cast(sum(n) as bigint) as length from doc_size),
+tf as (
+  select doc_id, term, count(*) as tf from (select doc_id, unnest(words) as term from doc_words) group by all),
+item_tf as (
+  select item_id, term, count(*) as times from (
+    select item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) as term
+    from benchmark where text is not null) group by all),
+weights as (
+  select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) as bigint) as w
+  from tf, totals where term in (select term from item_tf) group by term, docs),
+parts as (
+  select doc_id, term,
+    w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // length)))) as part
+  from tf join weights using (term) join doc_size using (doc_id), totals),
+scores as (
+  select item_id, doc_id, cast(sum(times * part) as bigint) as score
+  from item_tf join parts using (term) group by all),
+ranked as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10
+"""
+
+ORACLES["op12_target_importance"] = r"""
+with crc_table as (
+  select list_transform(range(256), lambda b: list_reduce(
+    list_prepend(b, range(8)),
+    lambda c, i: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end)) as steps),
+texts as (
+  select 'raw' as side, doc_id as id, text from documents union all
+  select 'target', item_id, text from benchmark),
+words as (
+  select side, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{80}-\x{10FFFF}]+') as words
+  from texts),
+uses as (select side, id, word, count(*) as n from (select side, id, unnest(words) as word from words) group by all),
+buckets as (
+  select word, cast(xor(list_reduce(
+    list_prepend(cast(4294967295 as bigint), list_transform(
+      range(strlen(word)), lambda i: cast(concat('0x', substr(hex(encode(word)), 2 * i + 1, 2)) as bigint))),
+    lambda c, b: xor(c // 256, steps[(xor(c, b) % 256) + 1])), 4294967295) as bigint) % 10000 as bucket
+  from (select distinct word from uses), crc_table),
+totals as (
+  select cast(sum(case when side = 'raw' then n else 0 end) as bigint) as all_raw,
+    cast(sum(case when side = 'target' then n else 0 end) as bigint) as all_target from uses),
+gains as (
+  select bucket, cast(floor(1000 * ln(
+    (cast(sum(case when side = 'target' then n else 0 end) as double) + 1) * cast(all_raw + 10000 as double)
+    / ((cast(sum(case when side = 'raw' then n else 0 end) as double) + 1) * cast(all_target + 10000 as double))))
+    as bigint) as gain
+  from uses join buckets using (word), totals group by bucket, all_raw, all_target),
+weights as (
+  select id, cast(sum(n) as bigint) as n_features, cast(floor(sum(n * gain) / sum(n)) as bigint) as weight
+  from uses join buckets using (word) join gains using (bucket) where side = 'raw' group by id),
+scored as (
+  select id as doc_id, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + cast(floor(-1000 * ln(-ln(
+      (cast(concat('0x', substr(sha256(concat('2024:', id)), 1, 8)) as bigint) + 0.5::double) / 4294967296))) as bigint) as score
+  from words left join weights using (id) where side = 'raw'),
+ranked as (
+  select doc_id, row_number() over (order by score desc, doc_id) as rank, count(*) over () * 10 // 100 as drawn
+  from scored where n_features >= 20)
+select doc_id, n_features, weight, score, cast(case when rank <= drawn then rank end as bigint) as rank
+from scored left join ranked using (doc_id)
+"""
+
+ORACLES["op13_vector_classes"] = """
+with recursive usable as (
+  select vec_id, label, list_transform(embedding, lambda x: x::double) as v from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id
+  where len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.98),
+reached as (
+  select vec_id as a, vec_id as b from embeddings union
+  select reached.a, links.b from reached join links on reached.b = links.a),
+least as (select a as vec_id, min(b) as component_id from reached group by 1),
+degree as (select a as vec_id, count(*) as n_links from links group by 1)
+select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+from embeddings left join degree using (vec_id) join least using (vec_id)
+"""
