@@ -1,22 +1,26 @@
-"""Toxicity by nearest labelled examples under exact TF-IDF cosine.
+"""Toxicity by nearest labelled examples under exact TF-IDF cosine, found with a block-max inverted index.
 
 ``fit`` learns from a bounded sample of labelled documents and counts document frequencies over the
 whole corpus; ``scored`` adds a calibrated score, the decision and the evidence to any documents.
 
-* **Terms.** All words and four-letter word beginnings of the examples. Inflected words share their
-  beginning.
-* **Index.** Terms are 64-bit hashes, so no texts gather on the driver. Each term has its postings; the ``HEAD`` most frequent terms are rows of a dense matrix instead,
-  and many texts meet them in one product. Every example that shares a term is compared, so the k
-  nearest are exact. Ties go to the smaller example id.
+* **Terms.** All words and four-letter word beginnings of the examples, as 64-bit hashes. Inflected words share
+  their beginning.
+* **Index.** Spark tasks sort the examples' postings by term, ``SHARD`` examples at a time; the driver passes
+  the packed shards on and never sees a text or a term. Examples are numbered so that alike ones (same leading term, like length)
+  are neighbours, and every ``BLOCK`` of them has the largest weight of each of the ``HEAD`` most frequent terms.
+* **Search.** The lists of rarer terms are added up in full. For the frequent ones, whose lists are long, a block's
+  summed maxima (or the product of the two lengths, if less) bound what they can add. The blocks of the highest bounds are computed first; then only
+  blocks and examples whose bound reaches the k-th similarity so far. What is skipped cannot be among the k nearest, so they are exact.
+  Ties go to the smaller example id.
 * **Score.** Neighbours vote with weight ``1 / (1 - similarity + 0.05)``; the vote is mapped to a
   probability by isotonic regression on leave-one-out votes of the examples. A text without any term
   has no neighbours and gets the rate of label 1 among such examples.
 
-Bounds: ``max_examples`` examples, a parameter, and their own terms fix the index's size; it
-is the only thing sent to the tasks. ``max_terms`` and ``least_chi``, off unless given, keep only terms whose
+Bounds: ``max_examples`` examples and ``max_postings`` of their terms, both parameters (examples of the smallest hashes), fix
+the index's size; it is the only thing sent to the tasks. ``max_terms`` and ``least_chi``, off unless given, keep only terms whose
 presence goes with the label (chi-square over examples of different term vectors). Null texts count as empty, null ids and labels are not learnt
 from, a document labelled twice counts as toxic if one label says so. Without usable labels every
-score is 0. Repeated rows and extra columns pass through unchanged.
+score is 0; empty documents give no rows. Whole texts are read, of any length. Repeated rows and extra columns pass through unchanged.
 """
 
 from __future__ import annotations
@@ -29,17 +33,22 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.llm.common import col, fresh, small_batches, stored, text_or_empty
 
-HEAD = 256
-BATCH = 64
+SHARD = 8192
+BLOCK = 32
+HEAD = 1024
+FIRST = 4  # blocks computed before any is skipped
 BINS = 24
+MARGIN = 1e-9  # on similarities, for rounding
 _WORDS = re.compile(r"\w+")
-EXAMPLE = "id bigint, toxic int, terms array<bigint>, counts array<int>, signature binary"
+EXAMPLE = "id bigint, toxic int, terms array<bigint>, counts array<int>, signature binary, leading bigint"
+PACKED = ("ids", "labels", "sizes", "terms", "rows", "counts")
 RESULT = "score double, predicted int, evidence array<struct<doc_id: bigint, similarity: double, toxic: int>>"
 
 
@@ -83,28 +92,70 @@ def _document_terms(batches):
             [pa.array(ids, pa.int64()), pa.array(labels, pa.int32()),
              pa.array([a for a, _ in terms], pa.list_(pa.int64())),
              pa.array([b for _, b in terms], pa.list_(pa.int32())),
-             pa.array([blake2b(a.tobytes() + b.tobytes(), digest_size=16).digest() for a, b in terms], pa.binary())],
-            names=["id", "toxic", "terms", "counts", "signature"],
+             pa.array([blake2b(a.tobytes() + b.tobytes(), digest_size=16).digest() for a, b in terms], pa.binary()),
+             pa.array([int(a[b.argmax()]) if len(a) else None for a, b in terms], pa.int64())],
+            names=["id", "toxic", "terms", "counts", "signature", "leading"],
         )
 
 
+class Places:
+    """Terms of texts as places in an ascending array of known terms. Each word is hashed once while it is remembered."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms
+        self._forget()
+
+    def _forget(self):
+        self.number: dict[str, int] = {}
+        self.own, self.start = np.empty(1024, dtype=np.int64), np.empty(1024, dtype=np.int64)
+
+    def _learn(self, words: list[str]):
+        at = len(self.number)
+        if at + len(words) > len(self.own):
+            room = np.empty(at + 2 * len(words), dtype=np.int64)
+            self.own, self.start = np.concatenate((self.own, room)), np.concatenate((self.start, room))
+        self.number.update(zip(words, range(at, at + len(words))))
+        self.own[at : at + len(words)] = self._place(words)
+        self.start[at : at + len(words)] = self._place([w[:4] + "*" if len(w) > 4 else "" for w in words])
+
+    def _place(self, names: list[str]) -> np.ndarray:
+        raw = b"".join(blake2b(n.encode("utf-8", "surrogatepass"), digest_size=8).digest() for n in names)
+        at, found = _places(self.terms, np.frombuffer(raw, "<i8"))
+        return np.where(found & np.array([bool(n) for n in names], dtype=bool), at, -1)
+
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ascending places of the text's known terms, and their counts."""
+        words = Counter(_WORDS.findall(text.lower()))
+        if len(self.number) > 500_000:
+            self._forget()
+        if new := [w for w in words if w not in self.number]:
+            self._learn(new)
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        n = np.fromiter(words.values(), np.int64, len(words))
+        places, n = np.concatenate((self.own[at], self.start[at])), np.concatenate((n, n))
+        order = np.argsort(places)
+        order = order[np.searchsorted(places[order], 0) :]
+        places, n = places[order], n[order]
+        # Words with one beginning share a term.
+        first = np.flatnonzero(np.diff(places, prepend=-1))
+        return places[first], np.add.reduceat(n, first) if len(first) else n
+
+
 def _frequencies(vocabulary):
     """(term, n): documents of each term of the broadcast ``vocabulary``, and of the null term, all documents."""
     def run(batches):
-        terms = vocabulary.value
-        counts = np.zeros(len(terms), dtype=np.int64)
-        known: dict[str, int] = {}
+        places = Places(vocabulary.value)
+        counts = np.zeros(len(places.terms), dtype=np.int64)
         n = 0
         for batch in batches:
             for text in batch.column(0):
-                at, found = _places(terms, term_keys(terms_of(text.as_py()), known)[0])
-                counts[at[found]] += 1
+                counts[places.of(text.as_py())[0]] += 1
                 n += 1
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([n], pa.int64())], names=["term", "n"])
         for at in range(0, len(some), 100_000):
             part = some[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(terms[part]), pa.array(counts[part])], names=["term", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(places.terms[part]), pa.array(counts[part])], names=["term", "n"])
 
     return run
 
@@ -117,127 +168,124 @@ def _places(terms: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, terms[at] == keys
 
 
+def _packed(vocabulary):
+    """The examples of a shard -> one row of packed arrays, postings by term."""
+    def run(shard: pa.Table) -> pa.Table:
+        shard = shard.sort_by("row").combine_chunks()
+        sizes = shard.column("terms").combine_chunks().value_lengths().to_numpy()
+        keys, counts = (shard.column(c).combine_chunks().flatten().to_numpy() for c in ("terms", "counts"))
+        at, found = _places(vocabulary.value, keys)
+        rows = np.repeat(np.arange(len(sizes)), sizes)[found]
+        at, counts = at[found], counts[found]
+        order = np.argsort(at, kind="stable")
+        arrays = (
+            shard.column("id").to_numpy().astype(np.int64), shard.column("toxic").to_numpy().astype(np.int32),
+            np.array([len(sizes)], dtype=np.int64), at[order].astype(np.int32), rows[order].astype(np.uint16),
+            counts[order].astype(np.int32),
+        )
+        return pa.table({n: pa.array([zlib.compress(a.tobytes(), 1)], pa.binary()) for n, a in zip(PACKED, arrays)})
+
+    return run
+
+
 class Index:
-    """Inverted index over the examples' normalised TF-IDF vectors, its most frequent terms dense."""
-
-    def __init__(self, idf: dict[str, float], ids, labels, vectors):
-        self._weigh(*term_keys(Counter(dict.fromkeys(idf, 1)), {}), idf)
-        rows = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v) for v in vectors])
-        parts = [self._numbered(v) for v in vectors]
-        terms = np.concatenate([a for a, _ in parts] or [np.empty(0, dtype=np.int32)])
-        self.ids, self.labels, self.packed = np.array(ids, dtype=np.int64), np.array(labels, dtype=np.int32), None
-        self._index(rows, terms, np.concatenate([b for _, b in parts] or [np.empty(0)]))
-
-    @classmethod
-    def of(cls, terms: np.ndarray, idf: np.ndarray, ids, labels, rows, keys, counts) -> "Index":
-        """From arrays: ascending terms with their weights; and, in parts, the examples' numbers of terms, terms and counts."""
-        self = cls.__new__(cls)
-        self.terms, self.idf = terms, idf
-        self.ids, self.labels = np.array(ids, dtype=np.int64), np.array(labels, dtype=np.int32)
-        at, sizes = [], []
-        for some, lengths in zip(keys, rows):  # a part at a time, for the driver's memory
-            places, found = _places(terms, some)
-            at.append(np.where(found, places, -1).astype(np.int32))
-            sizes.append(np.bincount(np.repeat(np.arange(len(lengths)), lengths), found, len(lengths)).astype(np.int64))
-        at, counts, sizes = np.concatenate(at), np.concatenate(counts), np.concatenate(sizes)
-        counts, at = counts[at >= 0].astype(np.int32), at[at >= 0]
-        steps = np.diff(at, prepend=np.int32(0))
-        self.packed = [zlib.compress(x.tobytes(), 1) for x in (sizes, steps, counts)]
-        return self
+    """Inverted index over the examples' unit TF-IDF vectors, with block maxima of its most frequent terms."""
+
+    def __init__(self, terms: np.ndarray, idf: np.ndarray, shards: list[dict[str, bytes]]):
+        self.terms, self.idf, self.shards = terms, idf, shards
 
     def __getstate__(self):
-        """Terms and counts, packed, instead of the postings: a fifth of the size."""
-        built = ("head", "head_no", "edge", "rows", "weights") if self.packed is not None else ()
-        return {name: value for name, value in self.__dict__.items() if name not in built}
-
-    def _ready(self):
-        """Build the postings where they are first used."""
-        if not hasattr(self, "head"):
-            kinds = (np.int64, np.int32, np.int32)
-            sizes, steps, counts = (np.frombuffer(zlib.decompress(x), dtype=t) for x, t in zip(self.packed, kinds))
-            rows, at = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), np.cumsum(steps, dtype=np.int32)
-            raw = (1 + np.log(counts)) * self.idf[at]
-            raw /= np.sqrt(np.bincount(rows, raw * raw, minlength=len(sizes)))[rows]
-            self._index(rows, at, raw)
-
-    def _weigh(self, keys, _, idf):
-        self.terms = keys
-        values = {int(term_keys(Counter({t: 1}), {})[0][0]): w for t, w in idf.items()}
-        self.idf = np.array([values[int(key)] for key in keys], dtype=np.float64)
-
-    def _index(self, rows, terms, weights):
+        return {n: self.__dict__[n] for n in ("terms", "idf", "shards")}
+
+    def __getattr__(self, name):
+        """Postings are unpacked where they are first used."""
+        if name.startswith("__") or "ids" in self.__dict__:
+            raise AttributeError(name)
+        self._unpack()
+        return getattr(self, name)
+
+    def _unpack(self):
+        kinds = dict(zip(PACKED, (np.int64, np.int32, np.int64, np.int32, np.uint16, np.int32)))
+        part = {n: [np.frombuffer(zlib.decompress(s[n]), k) for s in self.shards] or [np.empty(0, k)] for n, k in kinds.items()}
+        starts = np.cumsum([0, *(int(n[0]) for n in part["sizes"] if len(n))])
+        rows = np.concatenate([r.astype(np.int32) + np.int32(at) for r, at in zip(part["rows"], starts)])
+        terms, counts = np.concatenate(part["terms"]), np.concatenate(part["counts"])
+        order = np.argsort(terms, kind="stable")  # sorted runs, one a shard
+        terms, rows, counts = terms[order], rows[order], counts[order]
+        self.labels, ids = np.concatenate(part["labels"]), np.concatenate(part["ids"])
+        self.logs = np.concatenate(([0.0], 1 + np.log(np.arange(1, max(2, 1 + counts.max(initial=0))))))
+        weight = self.logs[counts] * self.idf[terms]
+        norm = np.sqrt(np.bincount(rows, weight * weight, minlength=len(ids)))
+        self.scale = np.divide(1.0, norm, out=np.zeros(len(ids)), where=norm > 0)
         frequency = np.bincount(terms, minlength=len(self.terms))
         heads = np.argsort(-frequency, kind="stable")[:HEAD]
         self.head_no = np.full(len(self.terms), -1, dtype=np.int32)
         self.head_no[heads] = np.arange(len(heads))
-        self.head = np.zeros((len(heads), len(self.ids)))
         dense = self.head_no[terms] >= 0
-        self.head[self.head_no[terms[dense]], rows[dense]] = weights[dense]
+        # Frequent terms example by example, their share of an example's length, and their maxima by block.
+        order = np.flatnonzero(dense)[np.argsort(rows[dense], kind="stable")]
+        self.head_terms, self.head_counts = self.head_no[terms[order]], counts[order]
+        self.head_edge = np.concatenate(([0], np.cumsum(np.bincount(rows[order], minlength=len(ids)))))
+        blocks = -(-len(ids) // BLOCK)
+        self.head_length = np.zeros(blocks * BLOCK)
+        self.head_length[: len(ids)] = np.sqrt(np.bincount(rows[order], weight[order] ** 2, minlength=len(ids))) * self.scale
+        self.most = np.zeros((len(heads), blocks))
+        part = self.logs[self.head_counts] * self.scale[rows[order]]
+        np.maximum.at(self.most.reshape(-1), self.head_terms.astype(np.int64) * blocks + rows[order] // BLOCK, part)
         frequency[heads] = 0
         self.edge = np.concatenate(([0], np.cumsum(frequency)))
-        rows, terms, weights = rows[~dense], terms[~dense], weights[~dense]
-        order = np.argsort(terms, kind="stable")
-        self.rows, self.weights = rows[order], weights[order]
-
-    def _numbered(self, vector: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
-        """A vector by terms as term numbers and weights."""
-        keys = [term_keys(Counter({t: 1}), {})[0] for t in vector]
-        at, found = _places(self.terms, np.concatenate(keys or [np.empty(0, dtype=np.int64)]))
-        return at[found].astype(np.int32), np.array(list(vector.values()), dtype=np.float64)[found]
-
-    def unit(self, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Unit TF-IDF vector of ascending term hashes and counts: term numbers and weights."""
-        at, found = _places(self.terms, keys)
-        at = at[found]
-        raw = (1 + np.log(counts[found])) * self.idf[at]
-        return at, raw / np.sqrt((raw * raw).sum()) if len(raw) else raw
-
-    def vector(self, counts) -> dict[str, float]:
-        """Unit TF-IDF vector of term counts by term."""
-        known: dict[str, int] = {}
-        at, weights = self.unit(*term_keys(Counter(counts), known))
-        names = {key: t for t, key in known.items()}
-        return {names[int(self.terms[a])]: float(w) for a, w in zip(at, weights)}
-
-    def nearest(self, vector: dict[str, float], k: int, without: int | None = None):
-        """The ``k`` examples of highest cosine above 0, best first, ties to the smaller id; exact."""
-        return self.all_nearest([self._numbered(vector)], k, [without])[0]
-
-    def all_nearest(self, vectors, k: int, without) -> list:
-        """``nearest`` of each vector of ``unit``, ``BATCH`` of them in one product with the frequent terms."""
-        self._ready()
-        out = []
-        for at in range(0, len(vectors), BATCH):
-            part = vectors[at : at + BATCH]
-            query = np.zeros((len(part), len(self.head)))
-            found = []
-            for i, (terms, values) in enumerate(part):
-                head = self.head_no[terms]
-                query[i, head[head >= 0]] = values[head >= 0]
-                terms, values = terms[head < 0], values[head < 0]
-                rows, weights = [np.empty(0, dtype=np.int32)], [np.empty(0)]
-                for a, b, w in zip(self.edge[terms].tolist(), self.edge[terms + 1].tolist(), values.tolist()):
-                    rows.append(self.rows[a:b])
-                    weights.append(w * self.weights[a:b])
-                found.append(np.bincount(np.concatenate(rows), np.concatenate(weights), minlength=len(self.ids)))
-            for similarity, more, own in zip(found, query @ self.head, without[at : at + BATCH]):
-                similarity = similarity + more
-                if own is not None:
-                    similarity[self.ids == own] = 0
-                out.append(self._best(similarity, k))
-        return out
-
-    def _best(self, similarity, k: int):
-        if len(similarity) > k:
-            least = np.partition(similarity, -k)[-k]
-            places = np.flatnonzero(similarity >= least - 1e-11)
-        else:
-            places = np.arange(len(similarity))
-        similarity = np.round(similarity[places], 12)
+        self.rows, self.counts = rows[~dense], counts[~dense]
+        self.ids = ids
+
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, without: int | None = None):
+        """Places and similarities of the ``k`` examples of highest cosine above 0, best first, ties to the smaller id."""
+        if not len(self.ids) or not len(terms):
+            return np.empty(0, dtype=np.int64), np.empty(0)
+        value = (1 + np.log(counts)) * self.idf[terms]
+        value /= np.sqrt((value * value).sum())
+        share = value * self.idf[terms]
+        no = self.head_no[terms]
+        head, rare = no >= 0, np.flatnonzero(no < 0)
+        # Rare terms in full.
+        starts, ends = self.edge[terms[rare]], self.edge[terms[rare] + 1]
+        spans = list(map(slice, starts.tolist(), ends.tolist()))
+        total = np.zeros(len(self.head_length))
+        if spans:
+            rows, logs = np.concatenate([self.rows[s] for s in spans]), self.logs[np.concatenate([self.counts[s] for s in spans])]
+            total[: len(self.ids)] = np.bincount(rows, np.repeat(share[rare], ends - starts) * logs, len(self.ids)) * self.scale
+        if without is not None:
+            total[: len(self.ids)][self.ids == without] = -np.inf
+        # Frequent terms by bounds: a block's maxima, or the product of the lengths.
+        query = np.zeros(len(self.most))
+        query[no[head]] = share[head]
+        length = np.sqrt((value[head] ** 2).sum())
+        bound = (share[head] @ self.most[no[head]]) + MARGIN
+        least = np.minimum(bound[:, None], length * self.head_length.reshape(-1, BLOCK) + MARGIN) + total.reshape(-1, BLOCK)
+        best = least.max(axis=1)
+        first = np.argpartition(best, -FIRST)[-FIRST:] if len(best) > FIRST else np.arange(len(best))
+        places = (first[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        places = places[places < len(self.ids)]
+        similarity = self._whole(places, total, query)
+        limit = np.partition(similarity, -k)[-k] - MARGIN if len(similarity) >= k else 0.0
+        best[first] = -np.inf
+        alive = np.flatnonzero(best >= max(limit, 0.0))
+        at, inside = np.nonzero(least[alive] >= limit)
+        more = alive[at] * BLOCK + inside
+        more = more[more < len(self.ids)]
+        places, similarity = np.concatenate((places, more)), np.concatenate((similarity, self._whole(more, total, query)))
+        similarity = np.round(similarity, 12)
         places, similarity = places[similarity > 0], similarity[similarity > 0]
         order = np.lexsort((self.ids[places], -similarity))[:k]
         return places[order], np.minimum(similarity[order], 1.0)
 
+    def _whole(self, places: np.ndarray, total: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Similarities: what the rare terms have given and the frequent terms' part."""
+        size = self.head_edge[places + 1] - self.head_edge[places]
+        start = np.repeat(self.head_edge[places] - np.concatenate(([0], np.cumsum(size)[:-1])), size)
+        at = start + np.arange(len(start))
+        part = query[self.head_terms[at]] * self.logs[self.head_counts[at]]
+        return total[places] + np.bincount(np.repeat(np.arange(len(places)), size), part, len(places)) * self.scale[places]
+
     def vote(self, places, similarity) -> float | None:
         if not len(places):
             return None
@@ -247,7 +295,8 @@ class Index:
 
 @dataclass
 class Model:
-    index: Index | None
+    index: Index
+    sent: Broadcast  # the index, packed
     k: int
     threshold: float
     levels: list[float]  # probability for each bin of the vote
@@ -275,9 +324,10 @@ def isotonic(weights, means) -> list[float]:
 def fit(
     docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     label: str = "toxic", k: int = 15, threshold: float = 0.3, max_examples: int = 30_000,
-    max_terms: int | None = None, least_chi: float | None = None,
+    max_postings: int = 20_000_000, max_terms: int | None = None, least_chi: float | None = None,
 ) -> Model:
     """Learn from ``labels``; see the module. Rows of ``held_out`` ids are never read."""
+    spark = docs.sparkSession
     usable = labels.select(col("doc_id").cast("bigint").alias("id"), col(label).cast("int").alias("toxic"))
     usable = usable.where("id is not null and toxic in (0, 1)").where(~held_out(F.col("id")))
     usable = usable.groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -285,26 +335,46 @@ def fit(
     texts = small_batches(docs).select(col(doc_id).cast("bigint").alias("id"), text_or_empty(text).alias("text"))
     # At most max_examples pairs of numbers: a broadcast of proven size.
     examples = texts.join(F.broadcast(stored(usable, "toxic-labels")), "id").select("id", "toxic", "text")
-    examples = stored(examples.mapInArrow(_document_terms, EXAMPLE), "examples")
+    examples = stored(examples.mapInArrow(_document_terms, EXAMPLE), "example-terms")
+    examples = stored(_numbered(examples, max_postings), "examples")
 
     # Examples of equal term vectors count once where terms are chosen.
     sizes = examples.groupBy("signature").agg(F.max("toxic").alias("toxic"))
     sizes = sizes.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     if not sizes["toxic"] or sizes["toxic"] == sizes["n"]:
-        return Model(Index({}, [], [], []), k, threshold, [float(bool(sizes["toxic"]))] * BINS, float(bool(sizes["toxic"])))
+        none = Index(np.empty(0, dtype=np.int64), np.empty(0), [])
+        level = float(bool(sizes["toxic"]))
+        return Model(none, spark.sparkContext.broadcast(none), k, threshold, [level] * BINS, level)
     terms = examples.select(F.explode("terms").alias("term")).distinct()
     if max_terms is not None or least_chi is not None:
         terms = _associated(examples, float(sizes["n"]), float(sizes["toxic"]), max_terms, least_chi)
-    vocabulary = np.sort(terms.toArrow().column(0).to_numpy())
+    vocabulary = np.sort(terms.toArrow().column(0).to_numpy())  # hashes; max_postings at most
 
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    found = texts.select("text").mapInArrow(_frequencies(sent), "term bigint, n bigint")
+    known = spark.sparkContext.broadcast(vocabulary)
+    found = texts.select("text").mapInArrow(_frequencies(known), "term bigint, n bigint")
     found = found.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     term, frequency = found.column(0), found.column(1).to_numpy()
     documents = int(frequency[term.is_null().to_numpy()].sum())
     counted = np.zeros(len(vocabulary), dtype=np.int64)
     counted[np.searchsorted(vocabulary, term.drop_null().to_numpy())] = frequency[term.is_valid().to_numpy()]
-    return _calibrated(examples, vocabulary, np.log((1 + documents) / (1 + counted)) + 1, k, threshold)
+    del found, term, frequency
+    shards = examples.select("id", "toxic", "terms", "counts", "row", F.floor(F.col("row") / SHARD).alias("shard"))
+    shards = shards.groupBy("shard").applyInArrow(_packed(known), ", ".join(f"{n} binary" for n in PACKED))
+    shards = stored(shards, "shards").toArrow().to_pylist()  # packed bytes only
+    index = Index(vocabulary, np.log((1 + documents) / (1 + counted)) + 1, shards)
+    return _calibrated(examples, index, k, threshold)
+
+
+def _numbered(examples: DataFrame, max_postings: int) -> DataFrame:
+    """The examples of smallest hash with ``max_postings`` terms in all, numbered with like ones together."""
+    rows = stored(examples.dropDuplicates(["id", "signature"]), "distinct-examples")
+    sizes = rows.select("id", "signature", "leading", F.size("terms").alias("n"))
+    # Two windows over the numbers of max_examples ids.
+    so_far = Window.orderBy(F.xxhash64("id"), "id", "signature")
+    sizes = sizes.withColumn("sum", F.sum("n").over(so_far)).where(F.col("sum") <= max_postings)
+    place = F.row_number().over(Window.orderBy(F.asc_nulls_first("leading"), "n", "id", "signature")) - 1
+    sizes = stored(sizes.select("id", "signature", place.alias("row")), "numbers")
+    return rows.drop("leading").join(F.broadcast(sizes), ["id", "signature"])
 
 
 def _associated(examples: DataFrame, n: float, positive: float, max_terms: int | None, least_chi: float | None) -> DataFrame:
@@ -320,29 +390,20 @@ def _associated(examples: DataFrame, n: float, positive: float, max_terms: int |
     return chosen.select("term")
 
 
-def _calibrated(examples: DataFrame, vocabulary: np.ndarray, idf: np.ndarray, k: int, threshold: float) -> Model:
-    """Index the examples and map votes to probabilities by leaving each example out in turn."""
-    rows = examples.select("id", "toxic", "terms", "counts").toArrow()  # bounded by max_examples
-    ids, labels = rows.column("id").to_numpy(), rows.column("toxic").to_numpy()
-    sizes = [c.value_lengths().to_numpy() for c in rows.column("terms").chunks]
-    keys, counts = ([c.flatten().to_numpy() for c in rows.column(n).chunks] for n in ("terms", "counts"))
-    del rows
-    index = Index.of(vocabulary, idf, ids, labels, sizes, keys, counts)
-    del keys, counts
+def _calibrated(examples: DataFrame, index: Index, k: int, threshold: float) -> Model:
+    """Map votes to probabilities by leaving each example out in turn."""
     sent = examples.sparkSession.sparkContext.broadcast(index)
 
     def votes(batches):
         index = sent.value
         for batch in batches:
-            own, toxic = batch.column(0).to_pylist(), batch.column(1)
-            vectors = [
-                index.unit(a.values.to_numpy(), b.values.to_numpy()) for a, b in zip(batch.column(2), batch.column(3))
-            ]
             bins = []
-            for near in index.all_nearest(vectors, k, own):
+            for own, terms, counts in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
+                at, found = _places(index.terms, terms.values.to_numpy())
+                near = index.nearest(at[found], counts.values.to_numpy()[found], k, own)
                 vote = index.vote(*near)
                 bins.append(BINS if vote is None else round(vote * (BINS - 1)))
-            yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), toxic], names=["bin", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), batch.column(1)], names=["bin", "toxic"])
 
     seen, toxic = np.zeros(BINS + 1), np.zeros(BINS + 1)
     left_out = examples.select("id", "toxic", "terms", "counts").mapInArrow(votes, "bin int, toxic int")
@@ -352,40 +413,40 @@ def _calibrated(examples: DataFrame, vocabulary: np.ndarray, idf: np.ndarray, k:
     # Two pseudo-examples hold a bin without data at its own vote share.
     means = (toxic[:BINS] + 2 * centres) / (seen[:BINS] + 2)
     levels = isotonic(list(seen[:BINS] + 2), list(means))
-    return Model(index, k, threshold, levels, float((toxic[BINS] + 0.05) / (seen[BINS] + 1)))
+    return Model(index, sent, k, threshold, levels, float((toxic[BINS] + 0.05) / (seen[BINS] + 1)))
 
 
-def scorer(model: Model, spark: SparkSession):
+def scorer(model: Model):
     """An Arrow function text -> struct of ``RESULT``. Equal vectors are searched once per task."""
     known: dict[bytes, tuple] = {}
-    hashes: dict[str, int] = {}
-    sent = spark.sparkContext.broadcast(model.index)
-    judge = replace(model, index=None)  # the index goes once to each worker
+    places: list[Places] = []
+    sent, judge = model.sent, replace(model, index=None, sent=None)  # the index goes once to each worker
     result = pa.struct([
         ("score", pa.float64()), ("predicted", pa.int32()),
         ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))),
     ])
 
-    def score(texts: list[str]) -> list[tuple]:
+    def score(text: str) -> tuple:
         index = sent.value
-        terms = [term_keys(terms_of(t), hashes) for t in texts]
-        keys = [blake2b(a.tobytes() + b.tobytes(), digest_size=16).digest() for a, b in terms]
+        if not places:
+            places.append(Places(index.terms))
+        terms, counts = places[0].of(text)
+        key = blake2b(terms.tobytes() + counts.tobytes(), digest_size=16).digest()
         if len(known) > 50_000:
             known.clear()
-        todo = {key: i for i, key in enumerate(keys) if key not in known}
-        vectors = [index.unit(*terms[i]) for i in todo.values()]
-        for key, (places, similarity) in zip(todo, index.all_nearest(vectors, judge.k, [None] * len(vectors))):
-            p = min(1.0, max(0.0, judge.probability(index.vote(places, similarity))))
+        if key not in known:
+            near, similarity = index.nearest(terms, counts, judge.k)
+            p = min(1.0, max(0.0, judge.probability(index.vote(near, similarity))))
             evidence = [
                 {"doc_id": int(index.ids[i]), "similarity": float(s), "toxic": int(index.labels[i])}
-                for i, s in zip(places[:5], similarity[:5])
+                for i, s in zip(near[:5], similarity[:5])
             ]
             known[key] = (p, int(p >= judge.threshold), evidence)
-        return [known[key] for key in keys]
+        return known[key]
 
     @F.arrow_udf(returnType=T.StructType.fromDDL(RESULT))
     def run(texts: pa.Array) -> pa.Array:
-        values = score([t.as_py() or "" for t in texts])
+        values = [score(t.as_py() or "") for t in texts]
         return pa.StructArray.from_arrays(
             [pa.array([v[i] for v in values], f.type) for i, f in enumerate(result)], fields=list(result)
         )
@@ -395,7 +456,9 @@ def scorer(model: Model, spark: SparkSession):
 
 def scored(docs: DataFrame, model: Model, *, text: str = "text", into: str = "toxicity") -> DataFrame:
     """``docs`` with a struct column ``into``: score, predicted, evidence (the five nearest examples)."""
-    return small_batches(docs).withColumn(into, scorer(model, docs.sparkSession)(text_or_empty(text)))
+    if fresh(docs, into) != into:
+        raise ValueError(f"the documents have a column {into}")
+    return small_batches(docs).withColumn(into, scorer(model)(text_or_empty(text)))
 
 
 def without_toxic(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:

@@ -139,20 +139,72 @@ def test_toxicity_holds_out_and_generalises(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, y in labels if not y} and "toxicity" in kept.columns
 
 
-def test_nearest_examples_equal_brute_force():
-    r = random.Random(6)
-    idf = {f"t{i}": r.uniform(1, 8) for i in range(40)}
-    shell = toxicity.Index(idf, [], [], [])
-    texts = [Counter(r.choices(list(idf), k=r.randint(0, 5))) for _ in range(700)]
-    texts += texts[:90]  # copies
-    vectors = [shell.vector(t) for t in texts]
-    index = toxicity.Index(idf, list(range(len(texts))), [0] * len(texts), vectors)
-    for q in vectors[::9]:
-        places, similarity = index.nearest(q, 15)
-        every = sorted((-round(sum(w * v.get(t, 0) for t, w in q.items()), 12), i) for i, v in enumerate(vectors))
-        every = [(-s, i) for s, i in every if s < 0][:15]
-        assert [i for _, i in every] == index.ids[places].tolist()
-        assert np.allclose([s for s, _ in every], similarity)
+@pytest.mark.parametrize("shard, block, head", [(8192, 32, 1024), (64, 4, 8), (50, 8, 0)])
+def test_toxicity_equals_brute_force_from_end_to_end(spark, monkeypatch, shard, block, head):
+    """Similarities, neighbours, votes, calibration and scores of every document, all pairs compared."""
+    for name, value in (("SHARD", shard), ("BLOCK", block), ("HEAD", head)):
+        monkeypatch.setattr(toxicity, name, value)
+    rows, labels = lexicon_corpus(300)
+    r = random.Random(7)
+    rows = [(i, *row) for i, *row in rows] + [(1000 + i, rows[r.randrange(300)][1], "en", "s", 0) for i in range(60)]  # copies
+    rows += [(2000, "", "en", "s", 0), (2001, "nothing known", "en", "s", 0), (2002, "river " * 9_000 + "stone " * 70_000, "en", "s", 0)]
+    labels = labels + [(1000 + i, i % 2) for i in range(60)] + [(2000, 0), (2002, 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, table)
+
+    learn = {i: y for i, y in labels if zlib.crc32(str(i).encode()) % 4 != 2}
+    counts = {row[0]: toxicity.terms_of(row[1]) for row in rows}
+    known = {t for i in learn for t in counts[i]}
+    df = Counter(t for c in counts.values() for t in c if t in known)
+    idf = {t: np.log((1 + len(rows)) / (1 + n)) + 1 for t, n in df.items()}
+
+    def unit(c):
+        v = {t: (1 + np.log(n)) * idf[t] for t, n in c.items() if t in known}
+        length = np.sqrt(sum(w * w for w in v.values()))
+        return {t: w / length for t, w in v.items()}
+
+    vectors = {i: unit(c) for i, c in counts.items()}
+
+    def near(i, without=None):
+        every = [(-round(sum(w * vectors[e].get(t, 0) for t, w in vectors[i].items()), 10), e) for e in learn if e != without]
+        return [(-s, e) for s, e in sorted(every) if s < 0][: model.k]
+
+    def vote(found):
+        if not found:
+            return None
+        weights = [1 / (1 - min(s, 1) + 0.05) for s, _ in found]
+        return sum(w * learn[e] for w, (_, e) in zip(weights, found)) / sum(weights)
+
+    seen, toxic = np.zeros(25), np.zeros(25)
+    for i in learn:
+        v = vote(near(i, i))
+        at = 24 if v is None else round(v * 23)
+        seen[at] += 1
+        toxic[at] += learn[i]
+    centres = np.arange(24) / 23
+    levels = toxicity.isotonic(list(seen[:24] + 2), list((toxic[:24] + 2 * centres) / (seen[:24] + 2)))
+    silent = (toxic[24] + 0.05) / (seen[24] + 1)
+    got = {row["doc_id"]: row["toxicity"] for row in toxicity.scored(docs, model).collect()}
+    assert len(got) == len(rows)
+    for i, _ in counts.items():
+        found = near(i)
+        assert np.allclose([e["similarity"] for e in got[i]["evidence"]], [s for s, _ in found[:5]])
+        close = len({round(s, 8) for s, _ in found[:6]}) == len(found[:6])
+        assert not close or [e["doc_id"] for e in got[i]["evidence"]] == [e for _, e in found[:5]]
+        v = vote(found)
+        score = silent if v is None else np.interp(v, centres, levels)
+        assert abs(got[i]["score"] - min(1, max(0, score))) < 1e-6 and got[i]["predicted"] == int(got[i]["score"] >= 0.3)
+
+
+def test_bounded_postings_and_clashing_names(spark):
+    rows, labels = lexicon_corpus(100)
+    docs, table = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs.union(docs), table, max_postings=1000)  # repeated rows are one example
+    ids = model.index.ids.tolist()
+    assert 5 < len(ids) == len(set(ids)) < 60 and len(model.index.rows) + len(model.index.head_terms) <= 1000
+    with pytest.raises(ValueError):
+        toxicity.scored(docs.withColumn("Toxicity", F.lit(1)), model)
 
 
 def test_toxicity_keeps_all_terms_of_all_examples(spark):
