@@ -20,7 +20,6 @@ from shelfcast.plans.ingest import ingest_events, ingest_sales
 from shelfcast.plans.publish import ChecksFailed, publish, published, read_table
 from shelfcast.session import materialise, work_folder
 from shelfcast.sources import ledger, silver
-from shelfcast.sources.folders import write_partitions
 from shelfcast.sources.exports import (
     count_exports, list_exports, read_exports, read_headers, union_all,
 )
@@ -590,9 +589,10 @@ def incremental_pickup(spark, folder):
 def compaction(spark, folder):
     """Silver written in small pieces, then compacted; read back as an external table."""
     lake = work_folder(spark, "lake")
-    rows = validation.valid(_checked_sales(spark, folder))
-    path = f"{lake}/{silver.SALES}"
-    write_partitions(rows, path, silver.SALES_BY, file_bytes=32 * 1024)
+    rows = materialise(validation.valid(_checked_sales(spark, folder)), "valid")
+    even = F.pmod(F.xxhash64("source_file"), F.lit(2)) == 0
+    for part in (rows.filter(even), rows.filter(~even)):
+        silver.replace_sales(spark, lake, part, part.select("source_file"), file_bytes=32 * 1024)
     days = [r[0] for r in rows.select("transaction_date").distinct().toLocalIterator()]
     silver.compact_sales(spark, lake, days)
     database = lake.rsplit("/", 1)[-1].replace("-", "_")

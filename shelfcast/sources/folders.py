@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -109,6 +110,14 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().toString() for f in found if f.isDirectory()]
 
 
+def changed_before(spark: SparkSession, path: str, moment: datetime) -> bool:
+    """Whether nothing directly in a folder has changed since ``moment``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    times = [f.getModificationTime() for f in (system.getFileStatus(folder), *system.listStatus(folder))]
+    return max(times) <= moment.timestamp() * 1000
+
+
 def drop_partitions(spark: SparkSession, path: str, partitions: Iterable[Sequence]) -> None:
     """Delete partition folders; a dynamic overwrite cannot empty one. Items are (name, value) pairs."""
     hadoop = spark._jvm.org.apache.hadoop.fs
