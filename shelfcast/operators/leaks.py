@@ -42,33 +42,61 @@ def row_leaks(
     )
 
 
-def leak_scan(output: DataFrame, personal: DataFrame) -> DataFrame:
-    """Personal values found anywhere in ``output``: ``(column_name, value, cells)``.
+#: Lengths of the parts that values are looked for by; a value belongs to the longest that it has.
+WIDTHS = (1, 2, 4, 8)
 
-    ``personal`` has one text column, ``value``. A value matches when it is a whole cell or a part
-    of one. Every value is looked for by one of its parts, as long as the shortest value: the part that
-    the fewest values have. Each distinct text is counted, then cut into its parts of that one length,
-    so at most as many as it has characters, and parts meet in an equality join. Texts that hold the
-    part are then searched for the whole value. The same plan serves any size; texts stay where they
-    are until a part of a value was found in them.
-    """
-    stripped = strip(F.col("value"))
-    values = materialise(
-        personal.select(stripped.alias("value")).filter(~blank(F.col("value"))).distinct(), "values"
-    )
-    width = values.agg(F.min(F.length("value"))).first()[0] or 1
 
-    def parts(text: Column) -> Column:
+def _parts(text: Column, widths: Sequence[int]) -> Column:
+    """The distinct parts of each width, as an array of (width, part)."""
+
+    def of(width: int) -> Column:
         starts = F.sequence(F.lit(1), F.length(text) - width + 1)
-        return F.array_distinct(F.transform(starts, lambda at: text.substr(at, F.lit(width))))
+        parts = F.array_distinct(F.transform(starts, lambda at: text.substr(at, F.lit(width))))
+        named = F.transform(parts, lambda p: F.struct(F.lit(width).alias("width"), p.alias("part")))
+        return F.when(F.length(text) >= width, named).otherwise(F.array().cast("array<struct<width:int,part:string>>"))
+
+    return F.flatten(F.array(*[of(w) for w in widths]))
+
 
-    cut = values.select("value", F.explode(parts(F.col("value"))).alias("part"))
-    shared = cut.groupBy("part").agg(F.count("*").alias("values"))
-    # Of a value's parts the rarest, the first of them in order if several are.
-    rarest = cut.join(shared, "part").groupBy("value").agg(
+def rarest_parts(values: DataFrame) -> DataFrame:
+    """The part each ``value`` is looked for by: ``(value, width, part)``.
+
+    Values form classes by length, 1, 2 to 3, 4 to 7 and 8 on, and only parts of a class are compared: of a value's parts of
+    its class's width the one that the fewest values of the class have, the first of them in order if several do. So a short
+    value has no influence on how the longer ones are found.
+    """
+    width = F.greatest(*[F.when(F.length("value") >= w, w) for w in WIDTHS])
+    cut = values.withColumn("width", width).select(
+        "value", "width", F.explode(F.filter(_parts(F.col("value"), WIDTHS), lambda p: p["width"] == F.col("width")))
+    ).select("value", "width", F.col("col.part").alias("part"))
+    shared = cut.groupBy("width", "part").agg(F.count("*").alias("values"))
+    rarest = cut.join(shared, ["width", "part"]).groupBy("value", "width").agg(
         F.min(F.struct("values", "part")).getField("part").alias("part")
     )
+    return rarest
 
+
+def candidates(cells: DataFrame, parts: DataFrame) -> DataFrame:
+    """Which texts (cell, text) hold the part of which value: ``(cell, value, width)``, an equality join on parts."""
+    widths = sorted(r[0] for r in parts.select("width").distinct().collect())  # four at most
+    if not widths:
+        return cells.sparkSession.createDataFrame([], "cell long, value string, width int")
+    cut = cells.select("cell", F.inline(_parts(F.col("text"), widths)))
+    return cut.join(parts, ["width", "part"]).select("cell", "value", "width")
+
+
+def leak_scan(output: DataFrame, personal: DataFrame) -> DataFrame:
+    """Personal values found anywhere in ``output``: ``(column_name, value, cells)``.
+
+    ``personal`` has one text column, ``value``. A value matches when it is a whole cell or a part
+    of one. Every value is looked for by one of its parts (see ``rarest_parts``). Each distinct text is counted, then cut
+    into its parts of the widths that values have, at most as many of each as it has characters, and parts meet in
+    an equality join. Texts that hold the part are then searched for the whole value. The same plan serves any size; texts stay
+    where they are until a part of a value was found in them.
+    """
+    stripped = strip(F.col("value"))
+    values = personal.select(stripped.alias("value")).filter(~blank(F.col("value"))).distinct()
+    parts = materialise(rarest_parts(materialise(values, "values")), "parts")
     text = _text_columns(output)
     cells = (
         output.select(
@@ -76,14 +104,11 @@ def leak_scan(output: DataFrame, personal: DataFrame) -> DataFrame:
                 F.struct(F.lit(c).alias("column_name"), F.col(c).alias("text")) for c in text
             ]))
         )
-        .filter(F.length("text") >= width)
+        .filter(F.length("text") > 0)
         .groupBy("column_name", "text")
         .agg(F.count("*").alias("cells"))
     )
     cells = materialise(cells.withColumn("cell", F.monotonically_increasing_id()), "cells")
-    met = (
-        cells.select("cell", F.explode(parts(F.col("text"))).alias("part"))
-        .join(rarest, "part").select("cell", "value")
-    )
+    met = candidates(cells, parts).select("cell", "value")
     found = cells.join(met, "cell").filter(F.col("text").contains(F.col("value")))
     return found.groupBy("column_name", "value").agg(F.sum("cells").alias("cells"))

@@ -240,67 +240,150 @@ PUBLISHED = ("dim_store", "dim_date", "dim_event", "fct_sales_daily", "event_sto
              "mart_pizza_demand_daily")
 
 
-def _row_level(check: Check, as_of: str | None) -> Column | None:
+#: What the checks need to know of tables, counted: rows that violate a check (``row``), rows of a day (``day``),
+#: copies of a key (``key``), keys that refer (``child``) and that are referred to (``parent``).
+MEASURES = "name string, role string, day date, key string, n long"
+
+
+def _row_level(check: Check) -> Column | None:
     """The violation predicate of checks that look at one row at a time."""
     if check.kind == "not_null":
         return F.col(check.column).isNull()
     if check.kind == "accepted_values":
         return ~F.col(check.column).isin(list(check.args))
-    if check.kind == "future_dated":
-        today = F.lit(as_of).cast("date") if as_of else F.current_date()
-        return F.col("date_day") > today
     if check.kind == "plausibility":
         return implausible()
     return None
 
 
+def _key(*columns: str) -> Column:
+    """Columns as one text; lengths keep different keys apart, and NULL from any text."""
+    def part(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.concat(*[part(c) for c in columns])
+
+
+def _records(table: str, day: str | None, suite: Sequence[Check], given: Iterable[str]) -> list[Column]:
+    """What one row of ``table`` adds to the measures, each a struct or NULL."""
+    when = F.col(day) if day else F.lit(None).cast("date")
+    known = set(given)
+
+    def record(check: Check, role: str, key: Column | None = None, if_: Column | None = None) -> Column:
+        key = F.lit(None).cast("string") if key is None else key
+        made = F.struct(F.lit(check.name).alias("name"), F.lit(role).alias("role"), when.alias("day"), key.alias("key"))
+        return made if if_ is None else F.when(if_, made)
+
+    out = []
+    for c in suite:
+        if c.kind == "relationships" and c.args[0] in known and c.table in known:
+            if c.args[0] == table:
+                out.append(record(c, "parent", _key(c.args[1]), F.col(c.args[1]).isNotNull()))
+            if c.table == table:
+                out.append(record(c, "child", _key(c.column), F.col(c.column).isNotNull()))
+        elif c.table != table:
+            continue
+        elif (wrong := _row_level(c)) is not None:
+            out.append(record(c, "row", if_=wrong))
+        elif c.kind == "unique":
+            out.append(record(c, "key", _key(c.column), F.col(c.column).isNotNull()))
+        elif c.kind == "grain":
+            out.append(record(c, "key", _key(*c.args)))
+        elif c.kind == "future_dated":
+            made = F.struct(
+                F.lit(c.name).alias("name"), F.lit("day").alias("role"), F.col("date_day").alias("day"),
+                F.lit(None).cast("string").alias("key"),
+            )
+            out.append(made)
+    return out
+
+
+def _seen(df: DataFrame, table: str, day: str | None, suite: Sequence[Check], given: Iterable[str]) -> DataFrame | None:
+    records = _records(table, day, suite, given)
+    if not records:
+        return None
+    held = F.filter(F.array(*records), lambda r: r.isNotNull())
+    return df.select(F.inline(held)).withColumn("n", F.lit(1).cast("long"))
+
+
+def measures(df: DataFrame, table: str, day: str | None = None, suite: Sequence[Check] = SUITE) -> DataFrame:
+    """All that the suite's checks need of a table, in one pass: exact counts by day and key.
+
+    Measures of parts of a table add up to those of the whole, so a segment's can be kept beside it.
+    """
+    every = {c.table for c in suite} | {c.args[0] for c in suite if c.kind == "relationships"}
+    seen = _seen(df, table, day, suite, every)
+    if seen is None:
+        return df.sparkSession.createDataFrame([], MEASURES)
+    return seen.groupBy("name", "role", "day", "key").agg(F.sum("n").alias("n"))
+
+
+def row_checks(tables: Iterable[str], suite: Sequence[Check] = SUITE) -> list[Column]:
+    """Counts of the row-level violations of tables that share their rows, to be observed while those are read."""
+    named = set(tables)
+    checks = [(c, p) for c in suite if c.table in named and (p := _row_level(c)) is not None]
+    return [F.count_if(p).alias(c.name) for c, p in checks]
+
+
+def verdicts(
+    spark: SparkSession, counted: DataFrame, checks: Sequence[Check], as_of: str | None = None,
+    known: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """Measures -> ``(check_name, table_name, violations)`` of ``checks``; ``known`` has counts taken elsewhere."""
+    today = F.lit(as_of).cast("date") if as_of else F.current_date()
+
+    def total(role: str, also: Column | None = None) -> Column:
+        wanted = (F.col("role") == role) if also is None else (F.col("role") == role) & also
+        return F.coalesce(F.sum(F.when(wanted, F.col("n"))), F.lit(0))
+
+    by_key = counted.groupBy("name", "key").agg(
+        total("row").alias("wrong"), total("day", F.col("day") > today).alias("late"), total("key").alias("copies"),
+        total("child").alias("children"), total("parent").alias("parents"),
+    )
+    one = F.col("wrong") + F.col("late") + (F.col("copies") > 1).cast("long") + (
+        (F.col("children") > 0) & (F.col("parents") == 0)
+    ).cast("long")
+    found = by_key.groupBy("name").agg(F.sum(one).alias("found"))
+    listed = spark.createDataFrame(
+        [(c.name, c.table, (known or {}).get(c.name, 0)) for c in checks], "check_name string, table_name string, known long"
+    )
+    return listed.join(found, listed.check_name == found.name, "left").select(
+        "check_name", "table_name", (F.coalesce("found", F.lit(0)) + F.col("known")).alias("violations")
+    )
+
+
 def run_suite(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
     as_of: str | None = None,
     suite: Sequence[Check] = SUITE,
+    kept: Mapping[str, DataFrame] | None = None,
+    known: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Violation counts of every check whose table is given: ``(check_name, table_name, violations)``.
 
-    All row-level checks of a table share one aggregation, so each table is read once for them.
+    Each table is read once for all its checks, and their counts meet in one shuffle by key. ``kept`` has the measures
+    of tables that were counted before (see ``measures``), which are then not read at all, and
+    ``known`` the row-level counts that were observed while a table was read for something else.
     """
-    parts: list[DataFrame] = []
-
-    def report(df: DataFrame, check: Check) -> None:
-        parts.append(
-            df.agg(F.count("*").alias("violations"))
-            .select(F.lit(check.name).alias("check_name"), F.lit(check.table).alias("table_name"), "violations")
-        )
-
+    kept, known = kept or {}, known or {}
+    ours = [c for c in suite if c.table in tables and (c.kind != "relationships" or c.args[0] in tables)]
+    parts = []
     for table, df in tables.items():
-        mine = [c for c in suite if c.table == table]
-        row_level = [(c, p) for c in mine if (p := _row_level(c, as_of)) is not None]
-        if row_level:
-            counts = df.agg(*[F.count_if(p).alias(c.name) for c, p in row_level])
-            cells = [
-                F.struct(
-                    F.lit(c.name).alias("check_name"),
-                    F.lit(table).alias("table_name"),
-                    F.col(c.name).alias("violations"),
-                )
-                for c, _ in row_level
-            ]
-            parts.append(counts.select(F.inline(F.array(*cells))))
-        for check in mine:
-            if check.kind == "unique":
-                report(unique(df, check.column), check)
-            elif check.kind == "grain":
-                report(grain(df, *check.args), check)
-            elif check.kind == "relationships" and check.args[0] in tables:
-                report(relationships(df, check.column, tables[check.args[0]], check.args[1]), check)
-
+        if table in kept:
+            parts.append(kept[table].select("name", "role", "day", "key", "n"))
+        elif (seen := _seen(df, table, None, [c for c in ours if c.name not in known], tables)) is not None:
+            parts.append(seen)
+    counted = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], MEASURES)
+    out = verdicts(spark, counted, ours, as_of, known)
     if any(c.kind == "personal_columns" for c in suite):
         published = {t: df for t, df in tables.items() if t in PUBLISHED}
         found = personal_columns(published, pseudonyms=True)
-        parts.append(
+        out = out.unionByName(
             spark.createDataFrame(
                 [("personal_columns", ",".join(f"{t}.{c}" for t, c in found), len(found))],
                 "check_name string, table_name string, violations long",
             )
         )
-    return reduce(DataFrame.unionByName, parts)
+    return out

@@ -102,6 +102,22 @@ def test_scan_equals_brute_force(spark, values):
     assert sorted(rows(found)) == want
 
 
+def test_a_short_value_leaves_the_candidates_of_the_others_alone(spark):
+    names = [f"customer-{i:04}" for i in range(40)] + ["abc", "q-17", "zz"]
+    cells = spark.createDataFrame(
+        [(i, f"note {i} for customer-{i:04} and a plain text {'abc' if i % 7 == 0 else ''}") for i in range(60)], "cell long, text string"
+    )
+
+    def met(values):
+        parts = leaks.rarest_parts(spark.createDataFrame([(v,) for v in values], "value string"))
+        return sorted(rows(leaks.candidates(cells, parts).select("cell", "value")))
+
+    before, after = met(names), met([*names, "a", "1", "ab"])
+    assert [r for r in after if r[1] in names] == before
+    assert len(before) == 40 + 9  # a value meets the texts that hold it, not every text like it
+    assert {r[1] for r in after} - {r[1] for r in before} == {"a", "1", "ab"}
+
+
 def test_scan_without_values_or_text(spark):
     none = spark.createDataFrame([("",), (None,)], "value string")
     assert rows(leaks.leak_scan(spark.createDataFrame([("a",)], "t string"), none)) == []
