@@ -10,7 +10,8 @@ whole corpus; ``scored`` adds a calibrated score, the decision and the evidence
   are neighbours, and every ``BLOCK`` of them has the largest weight of each of the ``HEAD`` most frequent terms.
 * **Search.** The lists of rarer terms are added up in full. For the frequent ones, whose lists are long, a block's
   summed maxima (or the product of the two lengths, if less) bound what they can add. The blocks of the highest bounds are computed first; then only
-  blocks and examples whose bound reaches the k-th similarity so far. What is skipped cannot be among the k nearest, so they are exact.
+  those whose bound reaches the k-th similarity so far, several queries at a time. Blocks are computed in single precision; examples within its
+  error of the k-th are computed again in double. What is skipped cannot be among the k nearest, so they are exact.
   Ties go to the smaller example id.
 * **Score.** Neighbours vote with weight ``1 / (1 - similarity + 0.05)``; the vote is mapped to a
   probability by isotonic regression on leave-one-out votes of the examples. A text without any term
@@ -30,6 +31,7 @@ import zlib
 from collections import Counter
 from dataclasses import dataclass, replace
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +43,12 @@ from pyspark.sql import types as T
 from shelfcast.llm.common import col, fresh, small_batches, stored, text_or_empty
 
 SHARD = 8192
-BLOCK = 32
-HEAD = 1024
-FIRST = 4  # blocks computed before any is skipped
+BLOCK = 256
+HEAD = 512
+BATCH = 64
+FIRST = 2  # blocks computed before any is skipped
 BINS = 24
-MARGIN = 1e-9  # on similarities, for rounding
+MARGIN = 1e-5  # on similarities, for single precision
 _WORDS = re.compile(r"\w+")
 EXAMPLE = "id bigint, toxic int, terms array<bigint>, counts array<int>, signature binary, leading bigint"
 PACKED = ("ids", "labels", "sizes", "terms", "rows", "counts")
@@ -58,15 +61,30 @@ def held_out(doc_id: Column) -> Column:
 
 
 def terms_of(text: str) -> Counter:
-    """Words and, as ``abcd*``, the first four letters of words of five or more, with their counts."""
-    words = Counter(_WORDS.findall(text.lower()))
-    out = Counter(words)
-    for word, n in words.items():
-        if len(word) > 4:
-            out[word[:4] + "*"] += n
+    """Words of up to four letters and, as ``abcd*``, the first four letters of longer ones, with their counts."""
+    out: Counter = Counter()
+    for start, n in starts_of(text).items():
+        out[named(start)] += n
     return out
 
 
+def starts_of(text: str) -> Counter:
+    """The words' first five letters, enough to tell a whole word of four from a beginning."""
+    return Counter([w[:5] for w in _WORDS.findall(text.lower())])
+
+
+def named(start: str) -> str:
+    return start if len(start) < 5 else start[:4] + "*"
+
+
+def term_key(term: str) -> int:
+    """XXH3 of the term, as a signed long."""
+    from xxhash import xxh3_64_intdigest
+
+    key = xxh3_64_intdigest(term.encode("utf-8", "surrogatepass"))
+    return key - (1 << 64) if key >> 63 else key
+
+
 def term_keys(terms: Counter, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of terms, ascending, and their counts; ``known`` keeps hashes seen before."""
     if len(known) > 200_000:
@@ -75,8 +93,7 @@ def term_keys(terms: Counter, known: dict[str, int]) -> tuple[np.ndarray, np.nda
     for i, t in enumerate(terms):
         key = known.get(t)
         if key is None:
-            raw = blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-            key = known[t] = int.from_bytes(raw, "little", signed=True)
+            key = known[t] = term_key(t)
         keys[i] = key
     order = np.argsort(keys)
     return keys[order], np.fromiter(terms.values(), np.int32, len(terms))[order]
@@ -99,46 +116,31 @@ def _document_terms(batches):
 
 
 class Places:
-    """Terms of texts as places in an ascending array of known terms. Each word is hashed once while it is remembered."""
+    """Terms of texts as places in an ascending array of known terms. Each word start is hashed once while it is remembered."""
 
     def __init__(self, terms: np.ndarray):
-        self.terms = terms
-        self._forget()
-
-    def _forget(self):
-        self.number: dict[str, int] = {}
-        self.own, self.start = np.empty(1024, dtype=np.int64), np.empty(1024, dtype=np.int64)
-
-    def _learn(self, words: list[str]):
-        at = len(self.number)
-        if at + len(words) > len(self.own):
-            room = np.empty(at + 2 * len(words), dtype=np.int64)
-            self.own, self.start = np.concatenate((self.own, room)), np.concatenate((self.start, room))
-        self.number.update(zip(words, range(at, at + len(words))))
-        self.own[at : at + len(words)] = self._place(words)
-        self.start[at : at + len(words)] = self._place([w[:4] + "*" if len(w) > 4 else "" for w in words])
-
-    def _place(self, names: list[str]) -> np.ndarray:
-        raw = b"".join(blake2b(n.encode("utf-8", "surrogatepass"), digest_size=8).digest() for n in names)
-        at, found = _places(self.terms, np.frombuffer(raw, "<i8"))
-        return np.where(found & np.array([bool(n) for n in names], dtype=bool), at, -1)
-
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ascending places of the text's known terms, and their counts."""
-        words = Counter(_WORDS.findall(text.lower()))
-        if len(self.number) > 500_000:
-            self._forget()
-        if new := [w for w in words if w not in self.number]:
-            self._learn(new)
-        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        n = np.fromiter(words.values(), np.int64, len(words))
-        places, n = np.concatenate((self.own[at], self.start[at])), np.concatenate((n, n))
-        order = np.argsort(places)
-        order = order[np.searchsorted(places[order], 0) :]
-        places, n = places[order], n[order]
-        # Words with one beginning share a term.
-        first = np.flatnonzero(np.diff(places, prepend=-1))
-        return places[first], np.add.reduceat(n, first) if len(first) else n
+        self.terms, self.place = terms, {}
+
+    def of(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each text the ascending places of its known terms, and their counts."""
+        starts = [starts_of(t) for t in texts]
+        if len(self.place) > 500_000:
+            self.place.clear()
+        if new := [x for x in dict.fromkeys(chain.from_iterable(starts)) if x not in self.place]:
+            at, found = _places(self.terms, np.fromiter((term_key(named(x)) for x in new), np.int64, len(new)))
+            self.place.update(zip(new, np.where(found, at, -1).tolist()))
+        sizes = [len(x) for x in starts]
+        places = np.fromiter(map(self.place.__getitem__, chain.from_iterable(starts)), np.int64, sum(sizes))
+        n = np.fromiter(chain.from_iterable(x.values() for x in starts), np.int64, len(places))
+        known = places >= 0
+        # Starts of five letters share the term of their first four.
+        key = np.repeat(np.arange(len(texts)), sizes)[known] * (len(self.terms) + 1) + places[known]
+        order = np.argsort(key)
+        first = np.flatnonzero(np.diff(key[order], prepend=-1))
+        n = np.add.reduceat(n[known][order], first) if len(first) else np.empty(0, dtype=np.int64)
+        text, places = np.divmod(key[order][first], len(self.terms) + 1)
+        edges = np.searchsorted(text, np.arange(len(texts) + 1))
+        return [(places[a:b], n[a:b]) for a, b in zip(edges, edges[1:])]
 
 
 def _frequencies(vocabulary):
@@ -148,9 +150,9 @@ def _frequencies(vocabulary):
         counts = np.zeros(len(places.terms), dtype=np.int64)
         n = 0
         for batch in batches:
-            for text in batch.column(0):
-                counts[places.of(text.as_py())[0]] += 1
-                n += 1
+            for found, _ in places.of(batch.column(0).to_pylist()):
+                counts[found] += 1
+            n += batch.num_rows
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([n], pa.int64())], names=["term", "n"])
         for at in range(0, len(some), 100_000):
@@ -222,64 +224,88 @@ class Index:
         self.head_no = np.full(len(self.terms), -1, dtype=np.int32)
         self.head_no[heads] = np.arange(len(heads))
         dense = self.head_no[terms] >= 0
-        # Frequent terms example by example, their share of an example's length, and their maxima by block.
+        # Frequent terms example by example, as a matrix in single precision, and their maxima by block.
         order = np.flatnonzero(dense)[np.argsort(rows[dense], kind="stable")]
         self.head_terms, self.head_counts = self.head_no[terms[order]], counts[order]
         self.head_edge = np.concatenate(([0], np.cumsum(np.bincount(rows[order], minlength=len(ids)))))
         blocks = -(-len(ids) // BLOCK)
-        self.head_length = np.zeros(blocks * BLOCK)
-        self.head_length[: len(ids)] = np.sqrt(np.bincount(rows[order], weight[order] ** 2, minlength=len(ids))) * self.scale
-        self.most = np.zeros((len(heads), blocks))
-        part = self.logs[self.head_counts] * self.scale[rows[order]]
-        np.maximum.at(self.most.reshape(-1), self.head_terms.astype(np.int64) * blocks + rows[order] // BLOCK, part)
+        length = np.zeros(blocks * BLOCK)
+        length[: len(ids)] = np.sqrt(np.bincount(rows[order], weight[order] ** 2, minlength=len(ids))) * self.scale
+        self.longest = length.reshape(blocks, BLOCK).max(axis=1, initial=0.0)
+        self.head = np.zeros((len(heads), blocks * BLOCK), dtype=np.float32)
+        self.head[self.head_terms, rows[order]] = self.logs[self.head_counts] * self.scale[rows[order]]
+        self.most = self.head.reshape(len(heads), blocks, BLOCK).max(axis=2, initial=0.0)
         frequency[heads] = 0
         self.edge = np.concatenate(([0], np.cumsum(frequency)))
-        self.rows, self.counts = rows[~dense], counts[~dense]
+        self.rows = rows[~dense].astype(np.int64)
+        self.parts = self.logs[counts[~dense]] * self.scale[self.rows]
         self.ids = ids
 
-    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, without: int | None = None):
-        """Places and similarities of the ``k`` examples of highest cosine above 0, best first, ties to the smaller id."""
-        if not len(self.ids) or not len(terms):
-            return np.empty(0, dtype=np.int64), np.empty(0)
-        value = (1 + np.log(counts)) * self.idf[terms]
-        value /= np.sqrt((value * value).sum())
-        share = value * self.idf[terms]
-        no = self.head_no[terms]
-        head, rare = no >= 0, np.flatnonzero(no < 0)
-        # Rare terms in full.
-        starts, ends = self.edge[terms[rare]], self.edge[terms[rare] + 1]
-        spans = list(map(slice, starts.tolist(), ends.tolist()))
-        total = np.zeros(len(self.head_length))
-        if spans:
-            rows, logs = np.concatenate([self.rows[s] for s in spans]), self.logs[np.concatenate([self.counts[s] for s in spans])]
-            total[: len(self.ids)] = np.bincount(rows, np.repeat(share[rare], ends - starts) * logs, len(self.ids)) * self.scale
-        if without is not None:
-            total[: len(self.ids)][self.ids == without] = -np.inf
+    def all_nearest(self, vectors, k: int, without) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each vector (ascending terms, counts) the places and similarities of the ``k`` examples of highest cosine
+        above 0, best first, ties to the smaller id; ``without`` names an example to leave out, or None."""
+        out: list = [(np.empty(0, dtype=np.int64), np.empty(0))] * len(vectors)
+        some = [i for i, (terms, _) in enumerate(vectors) if len(terms) and len(self.ids)]
+        some.sort(key=lambda i: int(vectors[i][0][vectors[i][1].argmax()]))  # like ones skip the same blocks
+        for at in range(0, len(some), BATCH):
+            part = some[at : at + BATCH]
+            for i, found in zip(part, self._batch([vectors[i] for i in part], k, [without[i] for i in part])):
+                out[i] = found
+        return out
+
+    def _batch(self, vectors, k: int, without):
+        blocks = len(self.longest)
+        total = np.zeros((len(vectors), blocks * BLOCK))
+        query, length = np.zeros((len(vectors), len(self.head))), np.zeros(len(vectors))
+        for i, (terms, counts) in enumerate(vectors):
+            value = (1 + np.log(counts)) * self.idf[terms]
+            value /= np.sqrt((value * value).sum())
+            share, no = value * self.idf[terms], self.head_no[terms]
+            head, rare = no >= 0, np.flatnonzero(no < 0)
+            query[i, no[head]], length[i] = share[head], np.sqrt((value[head] ** 2).sum())
+            # Rare terms in full.
+            starts, ends = self.edge[terms[rare]], self.edge[terms[rare] + 1]
+            spans = list(map(slice, starts.tolist(), ends.tolist()))
+            if spans:
+                rows, parts = (np.concatenate([x[s] for s in spans]) for x in (self.rows, self.parts))
+                parts *= np.repeat(share[rare], ends - starts)
+                total[i, : len(self.ids)] = np.bincount(rows, parts, len(self.ids))
+            if without[i] is not None:
+                total[i, : len(self.ids)][self.ids == without[i]] = -np.inf
+        total[:, len(self.ids) :] = -np.inf
         # Frequent terms by bounds: a block's maxima, or the product of the lengths.
-        query = np.zeros(len(self.most))
-        query[no[head]] = share[head]
-        length = np.sqrt((value[head] ** 2).sum())
-        bound = (share[head] @ self.most[no[head]]) + MARGIN
-        least = np.minimum(bound[:, None], length * self.head_length.reshape(-1, BLOCK) + MARGIN) + total.reshape(-1, BLOCK)
-        best = least.max(axis=1)
-        first = np.argpartition(best, -FIRST)[-FIRST:] if len(best) > FIRST else np.arange(len(best))
-        places = (first[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        places = places[places < len(self.ids)]
-        similarity = self._whole(places, total, query)
-        limit = np.partition(similarity, -k)[-k] - MARGIN if len(similarity) >= k else 0.0
-        best[first] = -np.inf
-        alive = np.flatnonzero(best >= max(limit, 0.0))
-        at, inside = np.nonzero(least[alive] >= limit)
-        more = alive[at] * BLOCK + inside
-        more = more[more < len(self.ids)]
-        places, similarity = np.concatenate((places, more)), np.concatenate((similarity, self._whole(more, total, query)))
-        similarity = np.round(similarity, 12)
-        places, similarity = places[similarity > 0], similarity[similarity > 0]
-        order = np.lexsort((self.ids[places], -similarity))[:k]
-        return places[order], np.minimum(similarity[order], 1.0)
-
-    def _whole(self, places: np.ndarray, total: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """Similarities: what the rare terms have given and the frequent terms' part."""
+        single = query.astype(np.float32)
+        bound = np.minimum(single @ self.most, length[:, None] * self.longest) + MARGIN
+        bound += total.reshape(len(vectors), blocks, BLOCK).max(axis=2)
+        whole = np.full(total.shape, -np.inf)
+
+        def compute(wanted: np.ndarray) -> None:
+            for block in np.flatnonzero(wanted.any(axis=0)):
+                rows, places = np.flatnonzero(wanted[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+                whole[rows, places] = total[rows, places] + single[rows] @ self.head[:, places]
+
+        wanted = np.zeros(bound.shape, dtype=bool)
+        first = np.argpartition(bound, -FIRST, axis=1)[:, -FIRST:] if blocks > FIRST else np.arange(blocks)[None, :]
+        np.put_along_axis(wanted, np.broadcast_to(first, (len(vectors), first.shape[1])), True, axis=1)
+        compute(wanted)
+        limits = np.zeros(len(vectors))
+        for i in range(len(vectors)):
+            seen = whole[i].reshape(blocks, BLOCK)[np.flatnonzero(wanted[i])].ravel()
+            if len(seen) >= k:
+                limits[i] = max(0.0, np.partition(seen, -k)[-k])
+        compute(~wanted & (bound >= limits[:, None] - MARGIN) & (bound > 0))
+        for i in range(len(vectors)):
+            places = np.flatnonzero(whole[i] >= limits[i] - 2 * MARGIN)
+            if len(places) > k:
+                similarity = whole[i, places]
+                places = places[similarity >= np.partition(similarity, -k)[-k] - 2 * MARGIN]
+            similarity = np.round(self._exact(places, total[i], query[i]), 12)
+            places, similarity = places[similarity > 0], similarity[similarity > 0]
+            order = np.lexsort((self.ids[places], -similarity))[:k]
+            yield places[order], np.minimum(similarity[order], 1.0)
+
+    def _exact(self, places: np.ndarray, total: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Similarities: what the rare terms have given and the frequent terms' part, in double precision."""
         size = self.head_edge[places + 1] - self.head_edge[places]
         start = np.repeat(self.head_edge[places] - np.concatenate(([0], np.cumsum(size)[:-1])), size)
         at = start + np.arange(len(start))
@@ -397,12 +423,12 @@ def _calibrated(examples: DataFrame, index: Index, k: int, threshold: float) ->
     def votes(batches):
         index = sent.value
         for batch in batches:
-            bins = []
-            for own, terms, counts in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
+            vectors = []
+            for terms, counts in zip(batch.column(2), batch.column(3)):
                 at, found = _places(index.terms, terms.values.to_numpy())
-                near = index.nearest(at[found], counts.values.to_numpy()[found], k, own)
-                vote = index.vote(*near)
-                bins.append(BINS if vote is None else round(vote * (BINS - 1)))
+                vectors.append((at[found], counts.values.to_numpy()[found]))
+            found = [index.vote(*near) for near in index.all_nearest(vectors, k, batch.column(0).to_pylist())]
+            bins = [BINS if vote is None else round(vote * (BINS - 1)) for vote in found]
             yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), batch.column(1)], names=["bin", "toxic"])
 
     seen, toxic = np.zeros(BINS + 1), np.zeros(BINS + 1)
@@ -426,27 +452,27 @@ def scorer(model: Model):
         ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))),
     ])
 
-    def score(text: str) -> tuple:
+    def score(texts: list[str]) -> list[tuple]:
         index = sent.value
         if not places:
             places.append(Places(index.terms))
-        terms, counts = places[0].of(text)
-        key = blake2b(terms.tobytes() + counts.tobytes(), digest_size=16).digest()
+        vectors = places[0].of(texts)
+        keys = [blake2b(a.tobytes() + b.tobytes(), digest_size=16).digest() for a, b in vectors]
         if len(known) > 50_000:
             known.clear()
-        if key not in known:
-            near, similarity = index.nearest(terms, counts, judge.k)
+        todo = {key: vector for key, vector in zip(keys, vectors) if key not in known}
+        for key, (near, similarity) in zip(todo, index.all_nearest(list(todo.values()), judge.k, [None] * len(todo))):
             p = min(1.0, max(0.0, judge.probability(index.vote(near, similarity))))
             evidence = [
                 {"doc_id": int(index.ids[i]), "similarity": float(s), "toxic": int(index.labels[i])}
                 for i, s in zip(near[:5], similarity[:5])
             ]
             known[key] = (p, int(p >= judge.threshold), evidence)
-        return known[key]
+        return [known[key] for key in keys]
 
     @F.arrow_udf(returnType=T.StructType.fromDDL(RESULT))
     def run(texts: pa.Array) -> pa.Array:
-        values = [score(t.as_py() or "") for t in texts]
+        values = score([t or "" for t in texts.to_pylist()])
         return pa.StructArray.from_arrays(
             [pa.array([v[i] for v in values], f.type) for i, f in enumerate(result)], fields=list(result)
         )
