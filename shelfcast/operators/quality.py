@@ -310,13 +310,16 @@ def _seen(df: DataFrame, table: str, day: str | None, suite: Sequence[Check], gi
 def measures(df: DataFrame, table: str, day: str | None = None, suite: Sequence[Check] = SUITE) -> DataFrame:
     """All that the suite's checks need of a table, in one pass: exact counts by day and key.
 
-    Measures of parts of a table add up to those of the whole, so a segment's can be kept beside it.
+    Measures of parts of a table add up to those of the whole, so a segment's can be kept beside it. Keys that hold the
+    day cannot recur in another segment; of them only those that occur more than once are kept.
     """
     every = {c.table for c in suite} | {c.args[0] for c in suite if c.kind == "relationships"}
     seen = _seen(df, table, day, suite, every)
     if seen is None:
         return df.sparkSession.createDataFrame([], MEASURES)
-    return seen.groupBy("name", "role", "day", "key").agg(F.sum("n").alias("n"))
+    counted = seen.groupBy("name", "role", "day", "key").agg(F.sum("n").alias("n"))
+    daily = [c.name for c in suite if c.table == table and c.kind == "grain" and day in c.args]
+    return counted.filter(~F.col("name").isin(daily) | (F.col("n") > 1)) if daily else counted
 
 
 def row_checks(tables: Iterable[str], suite: Sequence[Check] = SUITE) -> list[Column]:

@@ -27,8 +27,8 @@ def stg_sales(raw_sales: DataFrame, focus: str = FOCUS_CATEGORY) -> DataFrame:
     return raw_sales.select(*_SALES, is_focus.alias("is_pizza_line"), *_LINEAGE)
 
 
-def stg_events(raw_events: DataFrame) -> DataFrame:
-    """The latest copy of each event, with its UTC kickoff hour.
+def latest_events(raw_events: DataFrame) -> DataFrame:
+    """The latest copy of each event, with the columns it has.
 
     Ties go to the alphabetically first source, then to a fixed order of the lineage columns, so the
     result does not depend on partitioning. The rank filter becomes a group limit ahead of the
@@ -42,12 +42,13 @@ def stg_events(raw_events: DataFrame) -> DataFrame:
         F.col("event_date").desc_nulls_last(),
         F.col("kickoff_utc").desc_nulls_last(),
     )
-    return (
-        raw_events.withColumn("_recency", F.row_number().over(latest))
-        .filter("_recency = 1")
-        .select(
-            *_EVENTS,
-            F.hour("kickoff_utc").alias("kickoff_hour"),
-            "status", "is_postponed", "source_name", *_LINEAGE,
-        )
+    return raw_events.withColumn("_recency", F.row_number().over(latest)).filter("_recency = 1").drop("_recency")
+
+
+def stg_events(raw_events: DataFrame) -> DataFrame:
+    """The latest copy of each event, with its UTC kickoff hour."""
+    return latest_events(raw_events).select(
+        *_EVENTS,
+        F.hour("kickoff_utc").alias("kickoff_hour"),
+        "status", "is_postponed", "source_name", *_LINEAGE,
     )

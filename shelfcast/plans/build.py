@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.operators import quality
@@ -15,7 +15,7 @@ from shelfcast.operators.dimensions import dim_date, dim_event, dim_store
 from shelfcast.operators.facts import fct_sales_daily
 from shelfcast.operators.relevance import event_features, event_store_relevance
 from shelfcast.operators.staging import FOCUS_CATEGORY, stg_events, stg_sales
-from shelfcast.plans.publish import BY_DAY, Location, Segment, read_table, segments
+from shelfcast.plans.publish import BY_DAY, Location, Segment, counts_folder, read_table, segments
 from shelfcast.session import materialise
 from shelfcast.sources.folders import read_folder, write_partitions
 
@@ -75,12 +75,27 @@ def _write(df: DataFrame, path: str, name: str) -> DataFrame:
         write_partitions(df, path, (by,), ("store_id",), whole=True)
     else:
         df.write.mode("overwrite").parquet(path)
-    return read_folder(df.sparkSession, path, df.schema)
+    written = read_folder(df.sparkSession, path, df.schema)
+    if by:
+        # What checks need of this segment is counted once, and then read by every run that serves it.
+        quality.measures(written, name, by).write.mode("overwrite").parquet(counts_folder(path))
+    return written
+
+
+def _observed(sales: DataFrame) -> tuple[DataFrame, Observation]:
+    """Line items whose row-level checks are counted while they are read for the fact.
+
+    A stage that is run again after a lost executor may count its violations twice; none stay none.
+    """
+    seen = Observation()
+    return sales.observe(seen, *quality.row_checks(("raw_sales", "stg_sales"))), seen
 
 
-def build(lake: str, build_id: str, inputs: Inputs) -> dict[str, str]:
+def build(lake: str, build_id: str, inputs: Inputs, seen: dict[str, int] | None = None) -> dict[str, str]:
     """Write every gold table under a folder of this build; returns table -> path.
 
+    ``seen`` gets the violation counts of the line items' row-level checks.
+
     The calendar and the combined table read the written fact, so line items are scanned once. The
     folder is not served until it is published.
     """
@@ -93,7 +108,10 @@ def build(lake: str, build_id: str, inputs: Inputs) -> dict[str, str]:
 
     stores = write("dim_store", dim_store(inputs.stores))
     dim_events = write("dim_event", dim_event(events))
+    sales, counts = _observed(sales)
     fact = write(FACT, fct_sales_daily(sales))
+    if seen is not None:
+        seen.update(counts.get)
     dates = write("dim_date", dim_date(fact, dim_events, "date_day", inputs.dense))
     write(BRIDGE, event_store_relevance(dim_events, inputs.rules, stores))
     features = event_features(dim_events, inputs.rules, stores)
@@ -121,6 +139,7 @@ def refresh_days(
     inputs: Inputs,
     current: Mapping[str, Location],
     days: Iterable[date],
+    seen: dict[str, int] | None = None,
 ) -> dict[str, Location]:
     """Rebuild only the given days of the published tables; returns table -> location.
 
@@ -139,8 +158,10 @@ def refresh_days(
     stores = _write(dim_store(inputs.stores), folder["dim_store"], "dim_store")
     dim_events = _write(dim_event(events), folder["dim_event"], "dim_event")
 
-    sales = staged["stg_sales"].filter(F.col("transaction_date").isin(wanted))
+    sales, counts = _observed(staged["stg_sales"].filter(F.col("transaction_date").isin(wanted)))
     fact = _write(fct_sales_daily(sales), folder[FACT], FACT)
+    if seen is not None:
+        seen.update(counts.get)
     held = read_table(spark, FACT, current[FACT]).filter(~F.col("date_day").isin(wanted))
     dates = dim_date(
         held.select("date_day").union(fact.select("date_day")), dim_events, "date_day", inputs.dense
