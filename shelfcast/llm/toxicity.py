@@ -43,13 +43,13 @@ from pyspark.sql import types as T
 from shelfcast.llm.common import col, fresh, small_batches, stored, text_or_empty
 
 SHARD = 8192
-BLOCK = 256
-HEAD = 512
-BATCH = 64
-FIRST = 2  # blocks computed before any is skipped
+BLOCK = 128
+HEAD = 384
+BATCH = 128
+FIRST = 4  # blocks computed before any is skipped
 BINS = 24
 MARGIN = 1e-5  # on similarities, for single precision
-_WORDS = re.compile(r"\w+")
+_STARTS = re.compile(r"(\w{1,5})\w*")
 EXAMPLE = "id bigint, toxic int, terms array<bigint>, counts array<int>, signature binary, leading bigint"
 PACKED = ("ids", "labels", "sizes", "terms", "rows", "counts")
 RESULT = "score double, predicted int, evidence array<struct<doc_id: bigint, similarity: double, toxic: int>>"
@@ -70,7 +70,7 @@ def terms_of(text: str) -> Counter:
 
 def starts_of(text: str) -> Counter:
     """The words' first five letters, enough to tell a whole word of four from a beginning."""
-    return Counter([w[:5] for w in _WORDS.findall(text.lower())])
+    return Counter(_STARTS.findall(text.lower()))
 
 
 def named(start: str) -> str:
