@@ -114,6 +114,11 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Nations that the declared checks accept, for the regions that play nations here.
+NATIONS = {
+    "AFRICA": "England", "AMERICA": "Scotland", "ASIA": "Wales", "EUROPE": "Northern Ireland", "MIDDLE EAST": "England",
+}
+
 # Texts of an export row, valid in Spark SQL and DuckDB alike apart from the marked formats.
 EXPORT_TEXT = {
     "transaction_id": (
@@ -197,9 +202,14 @@ SPARK_EVENT = {
 }
 
 
-def provider_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Provider records as landed in two overlapping feeds, as JSON text."""
-    return table(spark, folder, "events").selectExpr(
+def provider_records(spark: SparkSession, folder: str, moved: bool = False) -> DataFrame:
+    """Provider records as landed in two overlapping feeds, as JSON text; ``moved``, half of the fixtures a day later."""
+    events = table(spark, folder, "events")
+    if moved:
+        events = events.withColumn("ts", F.expr("if(user_id % 2 = 0, ts + interval 1 day, ts)"))
+    return events.selectExpr(
+        "concat_ws('-', event_type, cast(user_id as string)) as fixture",
+        "user_id",
         "event_id as landed_id",
         "case when event_id % 2 = 0 or user_id % 3 = 0 then 'events_by_day' else 'events_next_by_league' end as source_name",
         "concat('pull-', cast(event_id % 97 as string)) as source_file",

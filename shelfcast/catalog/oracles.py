@@ -365,6 +365,30 @@ def _suite() -> str:
     )
 
 
+def _daily() -> str:
+    """The combined table after the last of two daily runs: valid export rows, and the fixtures where they went."""
+    def nation(c: str) -> str:
+        return f"case {c} " + " ".join(f"when '{a}' then '{b}'" for a, b in feeds.NATIONS.items()) + f" else {c} end"
+
+    one_answer = "row_number() over (partition by event_type, user_id, source_name order by position desc)"
+    steps = {
+        "events": "select * replace (case when user_id % 2 = 0 then ts + interval 1 day else ts end as ts) from main.events",
+        "rules": f"select * replace ({nation('applies_to_nation')} as applies_to_nation) from ({_CTE['rules']})",
+        "stores": f"select * replace ({nation('nation')} as nation) from ({_CTE['stores']})",
+        **{name: _CTE[name] for name in ("exports", "safe", "checked", "good")},
+        "provider": f"select * exclude (n) from (select *, {one_answer} n from ({_CTE['provider']})) where n = 1",
+        **{name: _CTE[name] for name in ("normalised", "events_checked", "one_copy")},
+        "sales": (
+            "select * replace (cast(quantity as int) as quantity,"
+            f" cast({_money('line_total_gbp')} as decimal(12,2)) as line_total_gbp), customer_pseudonym customer,"
+            f" category = '{feeds.FOCUS}' is_pizza_line from good"
+        ),
+        "fixtures": "select *, cast(extract(hour from kickoff_utc) as int) kickoff_hour from one_copy",
+        **{name: _CTE[name] for name in ("dates", "fact", "bridge", "features", "mart")},
+    }
+    return "with " + ", ".join(f"{name} as ({text})" for name, text in steps.items()) + " " + _MART
+
+
 ORACLES: dict[str, str] = {name: _sql(body) for name, body in {
     "stg_sales_flag": (
         f"select transaction_id, {_stamp('transaction_timestamp')}, {_date('transaction_date')}, store_id,"
@@ -534,6 +558,13 @@ ORACLES: dict[str, str] = {name: _sql(body) for name, body in {
         " where position < n union all select concat('page-', cast(page_id as varchar)), true, 0, null,"
         " md5(html) from pages"
     ),
+    "bronze_envelopes": (
+        "select 'events_by_day' source_name, false malformed, cast(position as int) as position, id,"
+        " cast(null as varchar) evidence from responses, generate_series(0, 1) g(position)"
+        " where position < n union all select 'events_by_day', true, 0, null,"
+        " md5(regexp_replace(html, '[\\r\\n]', ' ', 'g')) from pages"
+    ),
+    "landed_requests": f"select {_date('run_date')}, source_name, label from landed",
     "request_plan": f"select {_date('run_date')}, source_name, label from planned",
     "request_count": (
         f"select {_date('run_date')}, source_name, count(*) requests from planned"
@@ -614,3 +645,4 @@ ORACLES: dict[str, str] = {name: _sql(body) for name, body in {
         f" select {_date('date_day')}, in_mart, in_manifest from judged where in_mart <> in_manifest)"
     ),
 }.items()}
+ORACLES["daily_run"] = _daily()

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,10 +16,11 @@ from shelfcast.functions.text import blank, clean, mask_url_key, outward_code
 from shelfcast.operators import demand, dimensions, events, facts, leaks, privacy, quality
 from shelfcast.operators import relevance, requests, staging, validation
 from shelfcast.plans.build import MART, Inputs, build, gold, refresh_days
+from shelfcast.plans.daily import run_daily
 from shelfcast.plans.ingest import ingest_events, ingest_sales
-from shelfcast.plans.publish import ChecksFailed, publish, published, read_table
+from shelfcast.plans.publish import ChecksFailed, publish, published, read_table, segments
 from shelfcast.session import materialise, work_folder
-from shelfcast.sources import ledger, silver
+from shelfcast.sources import bronze, ledger, silver
 from shelfcast.sources.exports import (
     count_exports, list_exports, read_exports, read_headers, union_all,
 )
@@ -646,6 +647,56 @@ def incremental_gate(spark, folder):
     raise AssertionError("a refresh with a rule twice was published")
 
 
+@query
+def bronze_envelopes(spark, folder):
+    """Provider responses landed as files, one envelope a line, and unnested from there."""
+    lake = work_folder(spark, "lake")
+    lines = feeds.envelopes(spark, folder).select(F.regexp_replace("record", r"[\r\n]", " ").alias("value"))
+    lines.write.text(f"{lake}/{bronze.PREFIX}/{EVENT_SOURCES[0]}/ingest_date={feeds.AS_OF}", compression="gzip")
+    return bronze.read_bronze(spark, lake, feeds.AS_OF, envelope=True).select(
+        "source_name", "malformed", F.col("position.position").alias("position"),
+        F.get_json_object("record", "$.idEvent").alias("id"), F.when(F.col("malformed"), F.md5("record")).alias("evidence"),
+    )
+
+
+@query
+def landed_requests(spark, folder):
+    """Answers landed as files, and which requests of the runs asked for left one."""
+    lake = work_folder(spark, "lake")
+    landed = _landed(spark, folder).withColumn("ingest_date", F.col("run_date")).withColumn("value", F.lit("{}"))
+    for source in EVENT_SOURCES:
+        answers = landed.filter(F.col("source_name") == source).select("ingest_date", "label", "value")
+        answers.repartition("ingest_date").write.partitionBy("ingest_date", "label").text(f"{lake}/{bronze.PREFIX}/{source}")
+    runs = feeds.table(spark, folder, "events").select(F.to_date("ts")).distinct()
+    return edge(bronze.landed_requests(spark, lake, [r[0] for r in runs.toLocalIterator()]))
+
+
+@query
+def daily_run(spark, folder):
+    """Two daily runs, the second incremental: late exports, new events, and half of the fixtures moved by a day."""
+    lake = work_folder(spark, "lake")
+    rows, digest = feeds.exports(spark, folder), Pseudonymiser(spark, feeds.KEY)
+    late = F.col("transaction_timestamp") >= "1998-01-01"
+    stores = feeds.stores(spark, folder).replace(feeds.NATIONS, subset=["nation"])
+    rules = feeds.rules(spark).replace(feeds.NATIONS, subset=["applies_to_nation"])
+    latest = Window.partitionBy("fixture", "source_name").orderBy(F.desc("landed_id"))
+    days = (("2030-01-01", ~late, False, F.col("user_id") % 2 == 0), ("2030-01-02", late, True, F.lit(True)))
+    for n, (day, part, moved, answered) in enumerate(days):
+        _land(rows.filter(part), f"{lake}/landing")
+        records = feeds.provider_records(spark, folder, moved).filter(answered)
+        records = records.withColumn("n", F.row_number().over(latest)).filter("n = 1")
+        for source in EVENT_SOURCES:
+            records.filter(F.col("source_name") == source).select("record").write.text(
+                f"{lake}/{bronze.PREFIX}/{source}/ingest_date={day}", compression="gzip"
+            )
+        run = run_daily(
+            spark, lake, f"{lake}/landing", stores, rules, digest, day, f"run-{n}", STAMP + timedelta(n), feeds.FOCUS,
+            incremental=True,
+        )
+    assert len(segments(run.paths[MART])) == 2  # the second run refreshed days, it did not build anew
+    return edge(read_table(spark, MART, published(spark, lake)[MART]))
+
+
 @query
 def quarantine_readback(spark, folder):
     """The rejected rows as a load wrote them, by reason and whether they kept their record."""
