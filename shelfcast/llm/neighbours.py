@@ -13,6 +13,9 @@ The tables' candidates are merged and ranked by their exact distance in double p
   task that indexes its points, probes and returns at most ``k + 1`` ids a query: no pair of query and
   candidate is ever a row.
 
+* A query that got fewer than ``enough`` candidates from all its probes (a vector far from the rest, a small cluster) is
+  ranked exactly against every point in a second pass of the same form; so a query has ``k`` rows wherever there are ``k`` candidates.
+
 The data these defaults were chosen on is the hard case (nearest neighbours hardly closer than any other
 vector), where nine in ten neighbours take half of the points as candidates; ``probes`` trades the two.
 
@@ -124,7 +127,7 @@ def spread(points: DataFrame, sample: int) -> float:
 def nearest(
     rows: DataFrame, queries: Column, *, vec_id: str = "vec_id", vector: str = "embedding", k: int = 10,
     tables: int = 12, hashes: int = 10, width: float = 2.0, probes: int = 3600, sample: int = 4096,
-    block: int = 8192, query_block: int = 16_384, seed: int = 11,
+    block: int = 8192, query_block: int = 16_384, enough: int = 200, seed: int = 11,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows for which ``queries``, a condition on ``id``, holds."""
     rows = stored(usable(rows, vec_id, vector).withColumn("key", F.xxhash64("v")), "vectors")
@@ -146,27 +149,39 @@ def nearest(
     by = ["dim", "block", "query_block"]
     left, right = (side.withColumn("dim", F.size("v")) for side in (left, right))
 
-    def search(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    def search(points: pd.DataFrame, queries: pd.DataFrame, probing: bool) -> pd.DataFrame:
+        """Best ids of each query; with ``probing`` also a row with how many points the probes reached."""
         out: list[tuple] = []
         if len(points) and len(queries):
             points = points.sort_values("key", kind="stable")
             x = np.stack(points["v"].to_numpy()).astype(np.float64)
             ids = points["ids"].to_numpy()
-            index = Tables(x, w, tables, hashes, probes, seed)
+            index = Tables(x, w, tables, hashes, probes, seed) if probing else None
             for key, name, v in zip(queries["key"], queries["name"], queries["v"]):
                 v = np.asarray(v, dtype=np.float64)
-                found = index.candidates(v)
+                found = index.candidates(v) if probing else np.arange(len(x))
+                if probing:
+                    out.append((key, name, None, None, len(found)))
                 distance = np.sqrt(((x[found] - v) ** 2).sum(axis=1))
                 if len(found) > k + 1:
                     limit = np.partition(distance, k)[k]
                     found, distance = found[distance <= limit], distance[distance <= limit]
                 near = sorted((d, i) for f, d in zip(found, distance) for i in ids[f])[: k + 1]
-                out.extend((key, name, int(i), float(d)) for d, i in near)
-        return pd.DataFrame(out, columns=["key", "name", "vec_id", "score"])
-
-    found = right.groupBy(*by).cogroup(left.groupBy(*by)).applyInPandas(
-        lambda q, p: search(p, q), "key long, name long, vec_id long, score double"
-    )
+                out.extend((key, name, int(i), float(d), None) for d, i in near)
+        frame = pd.DataFrame(out, columns=["key", "name", "vec_id", "score", "seen"])
+        return frame.astype({"vec_id": "Int64", "seen": "Int64"})
+
+    def ranked(right: DataFrame, probing: bool) -> DataFrame:
+        return right.groupBy(*by).cogroup(left.groupBy(*by)).applyInPandas(
+            lambda q, p: search(p, q, probing), "key long, name long, vec_id long, score double, seen long"
+        )
+
+    probed = stored(ranked(right, True), "probed")
+    reached = probed.groupBy("key", "name").agg(F.sum("seen").alias("reached"))
+    short = right.select("key", "name").distinct().join(reached, ["key", "name"], "left")
+    short = stored(short.where(F.coalesce("reached", F.lit(0)) < enough).select("key", "name"), "short")
+    found = probed.where("vec_id is not null").join(short, ["key", "name"], "left_anti")
+    found = found.unionByName(ranked(right.join(short, ["key", "name"], "left_semi"), False)).drop("seen")
     best = Window.partitionBy("key", "name").orderBy("score", "vec_id")
     found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
     names = points_of_queries.select(F.col("key").alias("of"), F.col("v").alias("same"), "name")

@@ -399,6 +399,31 @@ def test_vector_search_recall(spark):
     assert hits / total >= 0.9
 
 
+def test_vector_search_of_clusters_and_outliers_is_complete(spark):
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(40, 24)) * 5
+    x = np.repeat(centres, 60, axis=0) + 0.05 * rng.normal(size=(2400, 24))
+    asked = np.arange(0, 2400, 100)
+    x[asked[::2]] += rng.normal(size=(12, 24)) * 100  # far from everything
+    x = np.concatenate((x, centres[:1] - 50 + rng.normal(size=(4, 24))))  # a cluster smaller than k
+    asked = np.append(asked, 2400)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in neighbours.nearest(df, F.col("id") % 100 == 0).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    assert set(got) == set(asked.tolist())
+    hits = 0
+    for q in asked.tolist():
+        distance = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        near = [i for i in np.lexsort((np.arange(len(x)), distance)).tolist() if i != q][:10]
+        assert sorted(got[q]) == list(range(1, 11))
+        hits += len(set(near) & {v for v, _ in got[q].values()})
+        assert all(abs(distance[v] - d) < 1e-9 for v, d in got[q].values())
+    assert hits >= 0.9 * 10 * len(asked)
+    few = df.where("vec_id < 4 or vec_id = 100")
+    assert neighbours.nearest(few, F.col("id") % 100 == 0).count() == 2 * 4
+
+
 @real
 def test_pipeline_stages_equal_plain_python(spark):
     """Each stage on what the one before kept, against its operator's brute-force version."""
