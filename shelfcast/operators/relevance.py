@@ -5,8 +5,7 @@ the stores of its nation. Written as an OR it plans a nested loop. Here both sid
 instead (``*`` for everywhere, ``=<nation>`` for one nation) and meet in equality joins. A rule has
 one key and a store has each key once, so no pair can meet twice.
 
-No side is force-broadcast: rule and store tables are small in practice, and Spark's size threshold
-or AQE's runtime sizes turn these joins into broadcasts exactly when they are.
+Rules and stores are few, events many and uneven, so the rules' side is always the one that is built (see ``_join_few``).
 """
 
 from __future__ import annotations
@@ -20,6 +19,24 @@ EVERYWHERE = "*"
 NATIONAL = "national"
 
 
+#: Up to so many rows a counted side is broadcast.
+FEW_ROWS = 100_000
+SALTS = 64
+
+
+def _join_few(many: DataFrame, few: DataFrame, key: str, spread: str) -> DataFrame:
+    """``many`` and ``few`` joined on ``key`` such that only ``few`` is built, and no key gathers ``many`` in one task.
+
+    ``few`` is counted. Up to ``FEW_ROWS`` rows it is broadcast and ``many`` stays where it is. Beyond that it is repeated for
+    each salt and ``many`` is dealt by key and salt, a hash of ``spread``.
+    """
+    if few.count() <= FEW_ROWS:
+        return many.join(F.broadcast(few), key)
+    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    repeated = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return many.withColumn("_salt", salt).join(repeated.hint("shuffle_hash"), [key, "_salt"]).drop("_salt")
+
+
 def rules_by_reach(rules: DataFrame) -> DataFrame:
     """Rules with their reach; a local rule without a nation has none and matches nothing."""
     everywhere = (F.col("scope") == NATIONAL) & null_or_empty(F.col("applies_to_nation"))
@@ -44,14 +61,10 @@ def event_store_relevance(
     staged_events: DataFrame, rules: DataFrame, stores: DataFrame
 ) -> DataFrame:
     """The bridge: one row per event and store it reaches."""
-    league_stores = rules_by_reach(rules).join(stores_by_reach(stores), "reach")
-    return (
-        live_events(staged_events)
-        .join(league_stores, "league_name")
-        .select(
-            "event_id", "event_date", "league_name", "event_name", "kickoff_hour",
-            "store_id", "scope", "weight", "rationale",
-        )
+    league_stores = rules_by_reach(rules).join(stores_by_reach(stores), "reach").drop("reach")
+    return _join_few(live_events(staged_events), league_stores, "league_name", "event_id").select(
+        "event_id", "event_date", "league_name", "event_name", "kickoff_hour",
+        "store_id", "scope", "weight", "rationale",
     )
 
 
@@ -83,8 +96,7 @@ def event_features(staged_events: DataFrame, rules: DataFrame, stores: DataFrame
         F.max("kickoff_hour").alias("last"),
     )
     per_reach = (
-        per_league.join(rules_by_reach(rules), "league_name")
-        .filter(F.col("reach").isNotNull())
+        _join_few(per_league, rules_by_reach(rules).filter("reach is not null"), "league_name", "event_date")
         .groupBy("reach", "event_date")
         .agg(
             F.sum("events").alias("events"),
@@ -96,7 +108,7 @@ def event_features(staged_events: DataFrame, rules: DataFrame, stores: DataFrame
         )
     )
     return (
-        per_reach.join(stores_by_reach(stores), "reach")
+        _join_few(per_reach, stores_by_reach(stores), "reach", "event_date")
         .groupBy("store_id", "event_date")
         .agg(
             F.sum("events").alias("relevant_event_count"),

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of, rows
 from shelfcast.contracts import EVENT_SCHEMA, MART_COLUMNS, RULE_SCHEMA, SALES_SCHEMA, STORE_SCHEMA
 from shelfcast.operators import demand, dimensions, facts, quality, relevance, staging
+from shelfcast.operators.dimensions import dim_store
 from shelfcast.plans.build import BY_DAY, Inputs, build, gold, refresh_days, touched_event_days
 from shelfcast.plans.publish import ChecksFailed, publish, published, read_table, segments
 from shelfcast.sources.silver import EVENT_SNAPSHOT_SCHEMA
@@ -261,6 +263,24 @@ def test_personal_columns(spark):
     assert rows(quality.personal_column_exposure({"dim": clean})) == []
 
 
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_events_are_never_built_nor_dealt_by_league_alone(spark, make, monkeypatch, few):
+    i = make(SALES, [event(f"E{n}", day=D1 if n % 3 else D2) for n in range(30)])
+    events, stores = staging.stg_events(i.raw_events), dim_store(i.stores)
+    want = sorted(map(repr, relevance.event_store_relevance(events, i.rules, stores).collect()))
+    features = sorted(map(repr, relevance.event_features(events, i.rules, stores).collect()))
+    monkeypatch.setattr(relevance, "FEW_ROWS", few)
+    bridge = relevance.event_store_relevance(events, i.rules, stores)
+    plan = plan_of(bridge)
+    if few:  # the counted side is broadcast; events stay where they are
+        assert "BuildRight" in plan and "hashpartitioning(league_name" not in plan
+    else:
+        assert re.search(r"hashpartitioning\(league_name#\d+, _salt#\d+", plan) and "ShuffledHashJoin" in plan
+        assert not re.search(r"hashpartitioning\(league_name#\d+, \d+\)", plan) and "BuildLeft" not in plan.split("ShuffledHashJoin")[1][:300]
+    assert sorted(map(repr, bridge.collect())) == want and len(want) > 0
+    assert sorted(map(repr, relevance.event_features(events, i.rules, stores).collect())) == features
+
+
 def test_suite_has_fifty_checks_and_is_green(spark, make):
     i = make(SALES, [event(), event("E2", "Scots", day=D3)])
     kinds = [c.kind for c in quality.SUITE]
