@@ -645,4 +645,4 @@ ORACLES: dict[str, str] = {name: _sql(body) for name, body in {
         f" select {_date('date_day')}, in_mart, in_manifest from judged where in_mart <> in_manifest)"
     ),
 }.items()}
-ORACLES["daily_run"] = _daily()
+ORACLES["daily_run"] = ORACLES["pickup_to_mart"] = _daily()

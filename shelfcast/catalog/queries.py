@@ -20,13 +20,13 @@ from shelfcast.plans.daily import run_daily
 from shelfcast.plans.ingest import ingest_events, ingest_sales
 from shelfcast.plans.publish import ChecksFailed, publish, published, read_table, segments
 from shelfcast.session import materialise, work_folder
-from shelfcast.sources import bronze, ledger, silver
+from shelfcast.sources import bronze, latest, ledger, silver
 from shelfcast.sources.exports import (
     count_exports, list_exports, read_exports, read_headers, union_all,
 )
 from shelfcast.sources.quarantine import SALES as SALES_REJECTS, read_quarantine
 from shelfcast.sources.seeds import read_rules, read_stores
-from shelfcast.streaming.arrivals import pick_up_exports
+from shelfcast.streaming.arrivals import pick_up_exports, pick_up_to_publication
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -679,12 +679,12 @@ def daily_run(spark, folder):
     late = F.col("transaction_timestamp") >= "1998-01-01"
     stores = feeds.stores(spark, folder).replace(feeds.NATIONS, subset=["nation"])
     rules = feeds.rules(spark).replace(feeds.NATIONS, subset=["applies_to_nation"])
-    latest = Window.partitionBy("fixture", "source_name").orderBy(F.desc("landed_id"))
+    newest = Window.partitionBy("fixture", "source_name").orderBy(F.desc("landed_id"))
     days = (("2030-01-01", ~late, False, F.col("user_id") % 2 == 0), ("2030-01-02", late, True, F.lit(True)))
     for n, (day, part, moved, answered) in enumerate(days):
         _land(rows.filter(part), f"{lake}/landing")
         records = feeds.provider_records(spark, folder, moved).filter(answered)
-        records = records.withColumn("n", F.row_number().over(latest)).filter("n = 1")
+        records = records.withColumn("n", F.row_number().over(newest)).filter("n = 1")
         for source in EVENT_SOURCES:
             records.filter(F.col("source_name") == source).select("record").write.text(
                 f"{lake}/{bronze.PREFIX}/{source}/ingest_date={day}", compression="gzip"
@@ -697,6 +697,33 @@ def daily_run(spark, folder):
     return edge(read_table(spark, MART, published(spark, lake)[MART]))
 
 
+@query
+def pickup_to_mart(spark, folder):
+    """Exports landed in two steps, taken by the stream, which ends in the published tables; read by name in the catalog."""
+    lake = work_folder(spark, "lake")
+    rows, digest, day = feeds.exports(spark, folder), Pseudonymiser(spark, feeds.KEY), "2030-01-02"
+    late = F.col("transaction_timestamp") >= "1998-01-01"
+    stores = feeds.stores(spark, folder).replace(feeds.NATIONS, subset=["nation"])
+    rules = feeds.rules(spark).replace(feeds.NATIONS, subset=["applies_to_nation"])
+    newest = Window.partitionBy("fixture", "source_name").orderBy(F.desc("landed_id"))
+    records = feeds.provider_records(spark, folder, moved=True).withColumn("n", F.row_number().over(newest)).filter("n = 1")
+    for source in EVENT_SOURCES:
+        records.filter(F.col("source_name") == source).select("record").write.text(
+            f"{lake}/{bronze.PREFIX}/{source}/ingest_date={day}", compression="gzip"
+        )
+    ingest_events(spark, lake, day, "events", STAMP)
+    latest.merge_snapshot(spark, lake, day)
+    database = lake.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"create database {database} location '{lake}/database'")
+    for part in (~late, late):
+        _land(rows.filter(part), f"{lake}/landing")
+        pick_up_to_publication(
+            spark, lake, f"{lake}/landing", f"{lake}/seen", stores, rules, digest, day, feeds.FOCUS,
+            archive=f"{lake}/archive", database=database,
+        ).awaitTermination()
+    return edge(spark.newSession().table(f"{database}.{MART}"))
+
+
 @query
 def quarantine_readback(spark, folder):
     """The rejected rows as a load wrote them, by reason and whether they kept their record."""

@@ -17,7 +17,7 @@ from shelfcast.operators.relevance import event_features, event_store_relevance
 from shelfcast.operators.staging import FOCUS_CATEGORY, stg_events, stg_sales
 from shelfcast.plans.publish import BY_DAY, Location, Segment, counts_folder, read_table, segments
 from shelfcast.session import materialise
-from shelfcast.sources.folders import read_folder, write_partitions
+from shelfcast.sources.folders import read_folder, subfolders, write_partitions
 
 GOLD = "gold"
 FACT, BRIDGE, MART = "fct_sales_daily", "event_store_relevance", "mart_pizza_demand_daily"
@@ -73,6 +73,8 @@ def _write(df: DataFrame, path: str, name: str) -> DataFrame:
     by = BY_DAY.get(name)
     if by:
         write_partitions(df, path, (by,), ("store_id",), whole=True)
+        if not subfolders(df.sparkSession, path):  # no rows, no files: keep the schema at least
+            df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
     written = read_folder(df.sparkSession, path, df.schema)
