@@ -45,13 +45,14 @@ from shelfcast.llm.common import col, fresh, small_batches, stored, text_or_empt
 SHARD = 8192
 BLOCK = 128
 HEAD = 384
-BATCH = 128
+BATCH = 64
 FIRST = 4  # blocks computed before any is skipped
 BINS = 24
 MARGIN = 1e-5  # on similarities, for single precision
 _STARTS = re.compile(r"(\w{1,5})\w*")
 EXAMPLE = "id bigint, toxic int, terms array<bigint>, counts array<int>, signature binary, leading bigint"
-PACKED = ("ids", "labels", "sizes", "terms", "rows", "counts")
+KINDS = {"ids": np.int64, "labels": np.int32, "sizes": np.int64, "terms": np.int32, "rows": np.uint16, "counts": np.int32}
+PACKED = tuple(KINDS)
 RESULT = "score double, predicted int, evidence array<struct<doc_id: bigint, similarity: double, toxic: int>>"
 
 
@@ -206,40 +207,57 @@ class Index:
         self._unpack()
         return getattr(self, name)
 
+    def _arrays(self, shard: dict[str, bytes], *names: str) -> list[np.ndarray]:
+        return [np.frombuffer(zlib.decompress(shard[n]), KINDS[n]) for n in names]
+
     def _unpack(self):
-        kinds = dict(zip(PACKED, (np.int64, np.int32, np.int64, np.int32, np.uint16, np.int32)))
-        part = {n: [np.frombuffer(zlib.decompress(s[n]), k) for s in self.shards] or [np.empty(0, k)] for n, k in kinds.items()}
-        starts = np.cumsum([0, *(int(n[0]) for n in part["sizes"] if len(n))])
-        rows = np.concatenate([r.astype(np.int32) + np.int32(at) for r, at in zip(part["rows"], starts)])
-        terms, counts = np.concatenate(part["terms"]), np.concatenate(part["counts"])
-        order = np.argsort(terms, kind="stable")  # sorted runs, one a shard
-        terms, rows, counts = terms[order], rows[order], counts[order]
-        self.labels, ids = np.concatenate(part["labels"]), np.concatenate(part["ids"])
-        self.logs = np.concatenate(([0.0], 1 + np.log(np.arange(1, max(2, 1 + counts.max(initial=0))))))
-        weight = self.logs[counts] * self.idf[terms]
-        norm = np.sqrt(np.bincount(rows, weight * weight, minlength=len(ids)))
-        self.scale = np.divide(1.0, norm, out=np.zeros(len(ids)), where=norm > 0)
-        frequency = np.bincount(terms, minlength=len(self.terms))
+        """A shard at a time, for the workers' memory."""
+        frequency = np.zeros(len(self.terms), dtype=np.int64)
+        most, n = 1, 0
+        for shard in self.shards:
+            terms, counts, sizes = self._arrays(shard, "terms", "counts", "sizes")
+            frequency += np.bincount(terms, minlength=len(self.terms))
+            most, n = max(most, int(counts.max(initial=0))), n + int(sizes[0])
         heads = np.argsort(-frequency, kind="stable")[:HEAD]
-        self.head_no = np.full(len(self.terms), -1, dtype=np.int32)
+        self.head_no = np.full(len(self.terms), -1, dtype=np.int16)
         self.head_no[heads] = np.arange(len(heads))
-        dense = self.head_no[terms] >= 0
-        # Frequent terms example by example, as a matrix in single precision, and their maxima by block.
-        order = np.flatnonzero(dense)[np.argsort(rows[dense], kind="stable")]
-        self.head_terms, self.head_counts = self.head_no[terms[order]], counts[order]
-        self.head_edge = np.concatenate(([0], np.cumsum(np.bincount(rows[order], minlength=len(ids)))))
-        blocks = -(-len(ids) // BLOCK)
-        length = np.zeros(blocks * BLOCK)
-        length[: len(ids)] = np.sqrt(np.bincount(rows[order], weight[order] ** 2, minlength=len(ids))) * self.scale
-        self.longest = length.reshape(blocks, BLOCK).max(axis=1, initial=0.0)
-        self.head = np.zeros((len(heads), blocks * BLOCK), dtype=np.float32)
-        self.head[self.head_terms, rows[order]] = self.logs[self.head_counts] * self.scale[rows[order]]
-        self.most = self.head.reshape(len(heads), blocks, BLOCK).max(axis=2, initial=0.0)
         frequency[heads] = 0
         self.edge = np.concatenate(([0], np.cumsum(frequency)))
-        self.rows = rows[~dense].astype(np.int64)
-        self.parts = self.logs[counts[~dense]] * self.scale[self.rows]
-        self.ids = ids
+        self.logs = np.concatenate(([0.0], 1 + np.log(np.arange(1, most + 1))))
+        blocks = -(-n // BLOCK)
+        # Frequent terms as a matrix in single precision, and example by example for double precision.
+        self.head = np.zeros((len(heads), blocks * BLOCK), dtype=np.float32)
+        length, self.scale = np.zeros(blocks * BLOCK), np.zeros(n)
+        kept: dict[str, list] = {x: [] for x in ("ids", "labels", "head_terms", "head_counts", "sizes", "terms", "rows", "parts")}
+        start = 0
+        for shard in self.shards:
+            ids, labels, terms, rows, counts = self._arrays(shard, "ids", "labels", "terms", "rows", "counts")
+            here = slice(start, start + len(ids))
+            weight = self.logs[counts] * self.idf[terms]
+            norm = np.sqrt(np.bincount(rows, weight * weight, minlength=len(ids)))
+            scale = self.scale[here] = np.divide(1.0, norm, out=np.zeros(len(ids)), where=norm > 0)
+            no = self.head_no[terms]
+            dense = np.flatnonzero(no >= 0)
+            dense = dense[np.argsort(rows[dense], kind="stable")]
+            at = rows[dense].astype(np.int64)
+            length[here] = np.sqrt(np.bincount(at, weight[dense] ** 2, minlength=len(ids))) * scale
+            self.head[no[dense], start + at] = self.logs[counts[dense]] * scale[at]
+            rare = no < 0
+            for name, part in (
+                ("ids", ids), ("labels", labels), ("head_terms", no[dense]), ("head_counts", counts[dense]),
+                ("sizes", np.bincount(at, minlength=len(ids))), ("terms", terms[rare]),
+                ("rows", rows[rare].astype(np.int32) + np.int32(start)), ("parts", self.logs[counts[rare]] * scale[rows[rare]]),
+            ):
+                kept[name].append(part)
+            start += len(ids)
+        whole = {x: np.concatenate(parts) if parts else np.empty(0, dtype=np.int64) for x, parts in kept.items()}
+        self.labels, self.head_terms, self.head_counts = whole["labels"], whole["head_terms"], whole["head_counts"]
+        self.head_edge = np.concatenate(([0], np.cumsum(whole["sizes"])))
+        self.longest = length.reshape(blocks, BLOCK).max(axis=1, initial=0.0)
+        self.most = self.head.reshape(len(heads), blocks, BLOCK).max(axis=2, initial=0.0)
+        order = np.argsort(whole["terms"], kind="stable")  # sorted runs, one a shard
+        self.rows, self.parts = whole["rows"][order], whole["parts"][order]
+        self.ids, self.shards = whole["ids"], []
 
     def all_nearest(self, vectors, k: int, without) -> list[tuple[np.ndarray, np.ndarray]]:
         """Of each vector (ascending terms, counts) the places and similarities of the ``k`` examples of highest cosine
