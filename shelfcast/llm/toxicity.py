@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 
 from shelfcast.llm.common import col, fresh, small_batches, stored, text_or_empty
 
-SHARD = 8192
+SHARD = 2048
 BLOCK = 128
 HEAD = 384
 BATCH = 64
@@ -228,10 +228,14 @@ class Index:
         # Frequent terms as a matrix in single precision, and example by example for double precision.
         self.head = np.zeros((len(heads), blocks * BLOCK), dtype=np.float32)
         length, self.scale = np.zeros(blocks * BLOCK), np.zeros(n)
-        kept: dict[str, list] = {x: [] for x in ("ids", "labels", "head_terms", "head_counts", "sizes", "terms", "rows", "parts")}
+        # Rare terms' postings go straight to their places, behind those of earlier shards.
+        self.rows, self.parts = np.empty(self.edge[-1], dtype=np.int32), np.empty(self.edge[-1])
+        free = self.edge[:-1].copy()
+        kept: dict[str, list] = {x: [] for x in ("ids", "labels", "head_terms", "head_counts", "sizes")}
         start = 0
-        for shard in self.shards:
+        for i, shard in enumerate(self.shards):
             ids, labels, terms, rows, counts = self._arrays(shard, "ids", "labels", "terms", "rows", "counts")
+            self.shards[i] = None
             here = slice(start, start + len(ids))
             weight = self.logs[counts] * self.idf[terms]
             norm = np.sqrt(np.bincount(rows, weight * weight, minlength=len(ids)))
@@ -243,10 +247,16 @@ class Index:
             length[here] = np.sqrt(np.bincount(at, weight[dense] ** 2, minlength=len(ids))) * scale
             self.head[no[dense], start + at] = self.logs[counts[dense]] * scale[at]
             rare = no < 0
+            often = counts[dense]
+            terms, rows, counts = terms[rare], rows[rare], counts[rare]
+            first = np.flatnonzero(np.diff(terms, prepend=-1))
+            many = np.diff(np.append(first, len(terms)))
+            place = np.repeat(free[terms[first]] - first, many) + np.arange(len(terms))
+            free[terms[first]] += many
+            self.rows[place], self.parts[place] = rows.astype(np.int32) + np.int32(start), self.logs[counts] * scale[rows]
             for name, part in (
-                ("ids", ids), ("labels", labels), ("head_terms", no[dense]), ("head_counts", counts[dense]),
-                ("sizes", np.bincount(at, minlength=len(ids))), ("terms", terms[rare]),
-                ("rows", rows[rare].astype(np.int32) + np.int32(start)), ("parts", self.logs[counts[rare]] * scale[rows[rare]]),
+                ("ids", ids), ("labels", labels), ("head_terms", no[dense]), ("head_counts", often),
+                ("sizes", np.bincount(at, minlength=len(ids))),
             ):
                 kept[name].append(part)
             start += len(ids)
@@ -255,8 +265,6 @@ class Index:
         self.head_edge = np.concatenate(([0], np.cumsum(whole["sizes"])))
         self.longest = length.reshape(blocks, BLOCK).max(axis=1, initial=0.0)
         self.most = self.head.reshape(len(heads), blocks, BLOCK).max(axis=2, initial=0.0)
-        order = np.argsort(whole["terms"], kind="stable")  # sorted runs, one a shard
-        self.rows, self.parts = whole["rows"][order], whole["parts"][order]
         self.ids, self.shards = whole["ids"], []
 
     def all_nearest(self, vectors, k: int, without) -> list[tuple[np.ndarray, np.ndarray]]:
