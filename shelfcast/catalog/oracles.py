@@ -115,38 +115,52 @@ _CTE = {
         " extract(isodow from date_day) in (6, 7) is_weekend from"
         " (select transaction_date date_day from sales union select event_date from fixtures)"
     ),
+    "lines": (
+        "select store_id, transaction_date date_day, count(*) line_items,"
+        " cast(sum(if(is_pizza_line, quantity, 0)) as bigint) pizza_units,"
+        " cast(sum(if(is_pizza_line, line_total_gbp, 0)) as double) pizza_revenue_gbp,"
+        " cast(sum(line_total_gbp) as double) total_revenue_gbp from sales group by all"
+    ),
+    "receipts": (
+        "select store_id, date_day, count(*) baskets, count(*) filter (where has_focus) pizza_baskets from"
+        " (select store_id, transaction_date date_day, transaction_id, bool_or(is_pizza_line) has_focus"
+        " from sales group by all) group by all"
+    ),
+    "shoppers": (
+        "select store_id, date_day, count(customer) distinct_customers from"
+        " (select distinct store_id, transaction_date date_day, customer from sales) group by all"
+    ),
     "fact": (
-        "select store_id, transaction_date date_day, count(distinct transaction_id) baskets,"
-        " count(*) line_items, cast(sum(case when is_pizza_line then quantity else 0 end) as bigint)"
-        " pizza_units, count(distinct case when is_pizza_line then transaction_id end) pizza_baskets,"
-        " cast(sum(case when is_pizza_line then line_total_gbp else 0 end) as double) pizza_revenue_gbp,"
-        " cast(sum(line_total_gbp) as double) total_revenue_gbp,"
-        " count(distinct customer) distinct_customers from sales group by 1, 2"
+        "select store_id, date_day, baskets, line_items, pizza_units, pizza_baskets, pizza_revenue_gbp,"
+        " total_revenue_gbp, distinct_customers from lines join receipts using (store_id, date_day)"
+        " join shoppers using (store_id, date_day)"
+    ),
+    "reach": (
+        "select league_name, scope, weight, rationale, store_id from rules, stores"
+        " where scope = 'national' and (applies_to_nation is null or applies_to_nation = '')"
+        " union all select league_name, scope, weight, rationale, store_id"
+        " from rules join stores on nation = applies_to_nation"
     ),
     "bridge": (
-        "select event_id, event_date, f.league_name, event_name, kickoff_hour, store_id, scope,"
-        " weight, rationale from fixtures f join rules on f.league_name = rules.league_name"
-        " join stores on (rules.scope = 'national' and coalesce(rules.applies_to_nation, '') = '')"
-        " or rules.applies_to_nation = stores.nation where not is_postponed"
+        "select event_id, event_date, league_name, event_name, kickoff_hour, store_id, scope, weight, rationale"
+        " from reach join (select * from fixtures where is_postponed = false) using (league_name)"
     ),
     "features": (
         "select store_id, event_date, count(*) relevant_event_count,"
-        " cast(max(weight) as double) max_event_weight, cast(sum(weight) as double) total_event_weight,"
-        " max(case when scope = 'national' then 1 else 0 end) = 1 has_national_broadcast_event,"
+        " max(cast(weight as double)) max_event_weight, cast(sum(weight) as double) total_event_weight,"
+        " bool_or(scope = 'national') has_national_broadcast_event,"
         " min(kickoff_hour) earliest_kickoff_hour, max(kickoff_hour) latest_kickoff_hour"
-        " from bridge group by 1, 2"
+        " from bridge group by all"
     ),
     "mart": (
-        "select s.store_id, d.date_day, store_name, city, region, nation, iso_day_of_week, is_weekend,"
-        " month, coalesce(relevant_event_count, 0) relevant_event_count,"
-        " coalesce(max_event_weight, 0) max_event_weight,"
-        " coalesce(total_event_weight, 0) total_event_weight,"
-        " coalesce(has_national_broadcast_event, false) has_national_broadcast_event,"
-        " earliest_kickoff_hour, latest_kickoff_hour, pizza_units, pizza_baskets, pizza_revenue_gbp,"
-        " baskets, total_revenue_gbp, distinct_customers, fact.store_id is not null has_sales_data"
-        " from stores s cross join dates d"
-        " left join fact on s.store_id = fact.store_id and d.date_day = fact.date_day"
-        " left join features on s.store_id = features.store_id and d.date_day = features.event_date"
+        "select store_id, date_day, store_name, city, region, nation, iso_day_of_week, is_weekend, month,"
+        " ifnull(relevant_event_count, 0) relevant_event_count, ifnull(max_event_weight, 0) max_event_weight,"
+        " ifnull(total_event_weight, 0) total_event_weight,"
+        " ifnull(has_national_broadcast_event, false) has_national_broadcast_event,"
+        " earliest_kickoff_hour, latest_kickoff_hour, pizza_units, pizza_baskets, pizza_revenue_gbp, baskets,"
+        " total_revenue_gbp, distinct_customers, baskets is not null has_sales_data"
+        " from (select * from stores, dates) left join fact using (store_id, date_day)"
+        " left join (select * rename (event_date as date_day) from features) using (store_id, date_day)"
     ),
     "planted": (
         "select * replace (case when month <> 2 then nation end as nation,"
@@ -384,7 +398,7 @@ def _daily() -> str:
             f" category = '{feeds.FOCUS}' is_pizza_line from good"
         ),
         "fixtures": "select *, cast(extract(hour from kickoff_utc) as int) kickoff_hour from one_copy",
-        **{name: _CTE[name] for name in ("dates", "fact", "bridge", "features", "mart")},
+        **{name: _CTE[name] for name in ("dates", "lines", "receipts", "shoppers", "fact", "reach", "bridge", "features", "mart")},
     }
     return "with " + ", ".join(f"{name} as ({text})" for name, text in steps.items()) + " " + _MART
 
