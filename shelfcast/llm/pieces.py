@@ -147,5 +147,8 @@ def encoder(model_path: str, table_size: int = 100_000):
 
 
 def encoded(docs: DataFrame, model_path: str, *, text: str = "text", into: str = "pieces", table_size: int = 100_000) -> DataFrame:
-    """``docs`` with a struct column ``into``: the ids and the text decoded from them."""
+    """``docs`` with a struct column ``into``: the ids and the text decoded from them.
+
+    A column of that name is replaced; to keep it, name another.
+    """
     return small_batches(docs).withColumn(into, encoder(model_path, table_size)(text_or_empty(text)))

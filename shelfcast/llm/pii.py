@@ -151,7 +151,10 @@ def _found(text: Column, kind: str, window: int, threshold: float) -> Column:
 def with_spans(
     docs: DataFrame, *, text: str = "text", into: str = "pii", window: int = 40, threshold: float = 0.5
 ) -> DataFrame:
-    """``docs`` with a struct column ``into``: for each kind an array of (start, end, score)."""
+    """``docs`` with a struct column ``into``: for each kind an array of (start, end, score).
+
+    A column of that name is replaced; to keep it, name another.
+    """
     body = text_or_empty(text)
     none = F.array().cast("array<struct<start:int,end:int,score:double>>")
     fields = [

@@ -507,9 +507,10 @@ def scorer(model: Model):
 
 
 def scored(docs: DataFrame, model: Model, *, text: str = "text", into: str = "toxicity") -> DataFrame:
-    """``docs`` with a struct column ``into``: score, predicted, evidence (the five nearest examples)."""
-    if fresh(docs, into) != into:
-        raise ValueError(f"the documents have a column {into}")
+    """``docs`` with a struct column ``into``: score, predicted, evidence (the five nearest examples).
+
+    A column of that name is replaced; to keep it, name another.
+    """
     return small_batches(docs).withColumn(into, scorer(model)(text_or_empty(text)))
 
 

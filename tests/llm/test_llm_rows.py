@@ -203,8 +203,8 @@ def test_bounded_postings_and_clashing_names(spark):
     model = toxicity.fit(docs.union(docs), table, max_postings=1000)  # repeated rows are one example
     ids = model.index.ids.tolist()
     assert 5 < len(ids) == len(set(ids)) < 60 and len(model.index.rows) + len(model.index.head_terms) <= 1000
-    with pytest.raises(ValueError):
-        toxicity.scored(docs.withColumn("Toxicity", F.lit(1)), model)
+    clash = toxicity.scored(docs.withColumn("Toxicity", F.lit(1)).withColumn("score", F.lit("x")), model)
+    assert clash.columns == [*docs.columns, "toxicity", "score"] and clash.select("toxicity.predicted").count() == 100
 
 
 def test_toxicity_keeps_all_terms_of_all_examples(spark):
