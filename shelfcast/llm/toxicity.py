@@ -123,7 +123,11 @@ class Places:
         self.terms, self.place = terms, {}
 
     def of(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Of each text the ascending places of its known terms, and their counts."""
+        """Of each text the ascending places of its known terms, and their counts; some texts' words at a time."""
+        parts = (self._some(texts[at : at + BATCH]) for at in range(0, len(texts), BATCH))
+        return [found for part in parts for found in part]
+
+    def _some(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         starts = [starts_of(t) for t in texts]
         if len(self.place) > 500_000:
             self.place.clear()
@@ -484,7 +488,7 @@ def scorer(model: Model):
             places.append(Places(index.terms))
         vectors = places[0].of(texts)
         keys = [blake2b(a.tobytes() + b.tobytes(), digest_size=16).digest() for a, b in vectors]
-        if len(known) > 50_000:
+        if len(known) > 4_000:
             known.clear()
         todo = {key: vector for key, vector in zip(keys, vectors) if key not in known}
         for key, (near, similarity) in zip(todo, index.all_nearest(list(todo.values()), judge.k, [None] * len(todo))):
