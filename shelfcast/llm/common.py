@@ -47,6 +47,35 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+FREQUENT = 100_000
+MOST_FREQUENT = 200_000
+
+
+def joined_by_value(
+    rows: DataFrame, facts: DataFrame, value: str, times: str, *, frequent: int = FREQUENT, most: int = MOST_FREQUENT
+) -> DataFrame:
+    """``rows`` with the columns of staged ``facts`` but ``times``, joined on ``value`` without a hot task.
+
+    ``facts`` has one row for every value of ``rows`` and says how often ``rows`` holds it. Values held more
+    than ``frequent`` times, or more than a ``most``-th of all rows if that is more, are broadcast (there cannot
+    be more than ``most`` of them); the others are shuffled, a bounded number of rows for each.
+    """
+    total = facts.agg(F.sum(times)).first()[0] or 0
+    bar = max(frequent, total // most)
+    names = [c for c in facts.columns if c not in (value, times)]
+    hot = facts.where(F.col(times) > bar).select(F.col(value).alias("_value"), *[F.col(c).alias(f"_{c}") for c in names])
+    marked = rows.join(F.broadcast(hot), F.col(value) == F.col("_value"), "left")
+    done = marked.where(F.col("_value").isNotNull()).select(*rows.columns, *[F.col(f"_{c}").alias(c) for c in names])
+    rest = marked.where(F.col("_value").isNull()).select(*rows.columns)
+    return done.unionByName(rest.join(facts.where(F.col(times) <= bar).drop(times), value).select(*rows.columns, *names))
+
+
+def broadcast_if_small(df: DataFrame, name: str, most: int = 100_000) -> DataFrame:
+    """``df`` staged, and broadcast in joins if it has at most ``most`` rows."""
+    df = stored(df, name)
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(""))
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import col, small_batches, stored, text_or_empty
+from shelfcast.llm.common import broadcast_if_small, col, small_batches, stored, text_or_empty
 
 ORDER = 4
 START = 2  # the symbol before a text; control characters of that code are rare and harmless
@@ -292,10 +292,11 @@ def judged(
 def banded(found: DataFrame, below: float, above: float, slack: float, least: float) -> DataFrame:
     filled = found.where("n_grams > 0").groupBy("language", "copy").agg(F.min("log_perplexity").alias("log_perplexity"))
     middle = filled.groupBy("language").agg(F.percentile_approx("log_perplexity", 0.5, F.lit(10_000)).alias("middle"))
+    middle = broadcast_if_small(middle, "medians")  # a row a language; texts are not dealt by language
     spread = filled.join(middle, "language").groupBy(F.col("language").alias("l"), "middle").agg(
         F.percentile_approx(F.abs(F.col("log_perplexity") - F.col("middle")), 0.5, F.lit(10_000)).alias("mad")
     )
-    spread = spread.withColumn("mad", F.greatest("mad", F.lit(least)))
+    spread = broadcast_if_small(spread.withColumn("mad", F.greatest("mad", F.lit(least))), "bands")
     out = found.join(spread, F.col("language") == F.col("l"), "left")
     room = F.lit(slack) / F.sqrt(F.greatest(F.col("n_grams"), F.lit(1)))
     lower = F.col("middle") - below * 1.4826 * F.col("mad") - room

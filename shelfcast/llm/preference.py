@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm.common import col, stored
 
 LAST = 2**62  # stands for a null turn number
-BUCKET = 4096
+RANGE = 1_000_000  # conversations in a range of ids
 _TURN = ["pair", "turn", "role", "text"]
 
 
@@ -65,7 +65,8 @@ def mismatched_replies(
     """Pairs (pair, chosen, turn, role, text) for conversations without a rejected side of their own.
 
     Rejected is the conversation with its last assistant reply replaced by that of the next conversation by
-    id (none, for the last one); conversations without a reply are equal on both sides.
+    id (none, for the last one); conversations without a reply are equal on both sides. Ids are dealt in ranges
+    of equal size, whatever their gaps; one row a range meets the others in one task.
     """
     rows = turns.select(
         col(conv_id).alias("pair"), col(turn).cast("bigint").alias("turn"), col(role).cast("string").alias("role"), col(text).cast("string").alias("text")
@@ -74,8 +75,10 @@ def mismatched_replies(
     last = replies.groupBy("pair").agg(F.max_by(F.struct("turn", "text"), F.struct("turn", "text")).alias("last"))
     last = last.select("pair", F.col("last.turn").alias("at"), F.col("last.text").alias("reply"))
     last = stored(last, "last-replies")
-    # The next conversation by id: inside buckets of ids, and from each bucket to the next one's first.
-    buckets = last.withColumn("bucket", F.floor(F.col("pair") / BUCKET))
+    # The next conversation by id: inside ranges of ids, and from each range to the next one's first.
+    ranges = max(int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-last.count() // RANGE))
+    dealt = last.repartitionByRange(ranges, "pair").withColumn("bucket", F.spark_partition_id())
+    buckets = stored(dealt, "reply-ranges")
     firsts = buckets.groupBy("bucket").agg(F.min_by("reply", "pair").alias("first"))
     beyond = firsts.select("bucket", F.lead("first").over(Window.orderBy("bucket")).alias("beyond"))
     inside = Window.partitionBy("bucket").orderBy("pair")

@@ -354,6 +354,14 @@ def test_preferences_equal_the_definition(spark):
     assert got == plain_preferences(chosen, rejected)
 
 
+def test_next_replies_across_ranges_of_sparse_ids(spark):
+    ids = sorted(random.Random(5).sample(range(-2**60, 2**60), 500))
+    rows = [(i, 0, "user", "q") for i in ids] + [(i, 1, "assistant", f"r{i}") for i in ids]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    sides = preference.mismatched_replies(turns).where("not chosen and turn = 1").collect()
+    assert {x["pair"]: x["text"] for x in sides} == {i: f"r{j}" if j is not None else None for i, j in zip(ids, [*ids[1:], None])}
+
+
 def test_preferences_of_awkward_turns(spark):
     rows = [(1, None, "user", "a"), (1, 0, None, None), (1, 1, "assistant", "b"), (None, 0, "user", "c"), (2, 0, "user", "d")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("end", F.lit(1))

@@ -13,6 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from shelfcast.llm import importance, perplexity, pieces, pii, queries, secrets
+from shelfcast.llm.common import joined_by_value
 from shelfcast.llm.spans import written
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -139,6 +140,91 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert got[7] == [("assign", 4, 5, False)]  # base spans stay
 
 
+def plain_secrets(rows, example_owners=3, example_repositories=20):
+    """All spans of each row by definition: (start, rank, end, kind, repositories, owners, live)."""
+    every = []
+    for _, text, _ in rows:
+        text = text or ""
+        found = []
+        for start, rank, end, kind in base_secrets(text):
+            value = text[start:end]
+            if kind == "assign":
+                value = re.search(r"""[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$""", value)[1]
+            found.append((start, rank, end, kind, value.strip(".")))
+        base = [f[:3] for f in found]
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{24,}", text):
+            mixed = all(re.search(c, m[0]) for c in ("[0-9]", "[a-z]", "[A-Z]"))
+            if mixed and not any(a < m.end() and m.start() < b for a, _, b in base):
+                found.append((m.start(), 3, m.end(), "token", m[0]))
+        others = [f[:3] for f in found]
+        for m in re.finditer(r"[A-Za-z0-9+/_.=-]+", text):
+            value = m[0].strip(".")
+            start = m.start() + len(m[0]) - len(m[0].lstrip("."))
+            end = start + len(value)
+            like = re.search("[A-Za-z]", value) and re.search("[0-9]|[a-z][A-Z]", value)
+            if len(value) >= 6 and like and not any(a < end and start < b for a, _, b in others):
+                found.append((start, 3, end, "bare", value))
+        every.append(found)
+    assigned = {f[4] for found in every for f in found if f[3] == "assign"}
+    every = [[f for f in found if f[3] != "bare" or f[4] in assigned] for found in every]
+    owners, repositories = {}, {}
+    for (doc, _, owner), found in zip(rows, every):
+        for *_, value in found:
+            owners.setdefault(value, set()).add(owner)
+            repositories.setdefault(value, set()).add((owner, doc))
+    out = []
+    for found in every:
+        mine = []
+        for start, rank, end, kind, value in found:
+            r, o = len(repositories[value]), len(owners[value])
+            live = o < example_owners and r < example_repositories
+            if live or rank < 3:
+                mine.append((start, rank, end, "token" if rank == 3 else kind, r, o, live))
+        out.append(sorted(mine))
+    return out
+
+
+def test_assigned_values_are_found_bare_and_copies_within_an_owner_are_examples(spark):
+    rows = [(0, "password: hunter2secretX9", "a"), (1, "try hunter2secretX9.", "a"), (2, "see xhunter2secretX9", "a")]
+    rows += [(i, "api_key = sample99key", "hot") for i in range(3, 33)] + [(33, "sample99key here", "hot")]
+    rows += [(34, "secret: please", "b"), (35, "please", "b"), (36, "token=...CamelCase...", "b"), (37, "..CamelCase", "b")]
+    out = secrets.with_spans(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
+    got = {r["doc_id"]: [(s["start"], s["end"], s["kind"], s["live"]) for s in r["spans"]] for r in out.collect()}
+    assert got[0] == [(0, 25, "assign", True)] and got[1] == [(4, 19, "token", True)] and got[2] == []
+    assert all(got[i] == [(0, 21, "assign", False)] for i in range(3, 33)) and got[33] == []  # 31 repositories of one owner
+    assert got[35] == [] and got[37] == [(2, 11, "token", True)]  # a plain word is not looked for
+
+
+def test_all_spans_and_counts_equal_plain_python(spark):
+    r = random.Random(11)
+    values = ["hunter2x", "ab1.cd2", "CamelCase", "plainword", "Qr7" + "kL2" * 8, "0f" * 13, "AKIA" + "B7" * 9, "x=y9zz", "Tr0ub4dor-3"]
+    shapes = ["password: {}", "{}", "see {} there.", "'{}'", "..{}..", "token='{}'", "{}{}", "secret={} {}", "é{}é", ""]
+    rows = []
+    for i in range(300):
+        words = [r.choice(shapes).format(r.choice(values), r.choice(values)) for _ in range(r.randint(0, 4))]
+        rows.append((i // 2, None if i % 50 == 7 else " ".join(words), r.choice(["a", "b", None] if i % 3 else ["a"])))
+    # Half of the values are rare enough to stay live.
+    rows += [(900 + i, f"token: v{i}alue and", "c") for i in range(20)] + [(950 + i, f"(v{i}alue)", "c") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("row", F.lit(1)).withColumn("value", F.lit("v"))
+    expected = sorted(zip([x[0] for x in rows], plain_secrets(rows)))
+    got = sorted((x["doc_id"], [tuple(s) for s in x["spans"]]) for x in secrets.with_spans(df.repartition(3)).collect())
+    assert got == expected
+    assert any(s[3] == "token" for _, spans in got for s in spans)
+
+
+def test_frequent_values_join_as_rare_ones_do(spark):
+    """A value in a third of the rows is broadcast, the others are shuffled; all rows return."""
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 700).alias("v"))
+    facts = rows.groupBy("v").agg(F.count("*").alias("times"), F.sum("id").alias("total"))
+    facts.write.mode("overwrite").parquet(f := spark.conf.get("spark.checkpoint.dir") + "/facts")
+    facts = spark.read.parquet(f)
+    expected = sorted(map(tuple, rows.join(facts.drop("times"), "v").select("id", "v", "total").collect()))
+    for frequent, most in ((100, 1000), (10, 2), (1, 1000), (10_000, 10)):
+        got = joined_by_value(rows, facts, "v", "times", frequent=frequent, most=most)
+        assert got.columns == ["id", "v", "total"]
+        assert sorted(map(tuple, got.collect())) == expected
+
+
 def test_secrets_of_an_empty_table(spark):
     assert secrets.with_spans(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
 
