@@ -70,12 +70,6 @@ def joined_by_value(
     return done.unionByName(rest.join(facts.where(F.col(times) <= bar).drop(times), value).select(*rows.columns, *names))
 
 
-def broadcast_if_small(df: DataFrame, name: str, most: int = 100_000) -> DataFrame:
-    """``df`` staged, and broadcast in joins if it has at most ``most`` rows."""
-    df = stored(df, name)
-    return F.broadcast(df) if df.count() <= most else df
-
-
 def text_or_empty(name: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(""))
 
