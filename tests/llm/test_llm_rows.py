@@ -220,6 +220,46 @@ def test_toxicity_keeps_all_terms_of_all_examples(spark):
     assert held and all(p == int(i % 4 == 0) for i, p in held.items())
 
 
+def test_toxicity_cuts_many_texts_like_the_pattern():
+    r = random.Random(5)
+    odd = [0x5F, 0xA0, 0x85, 0x1C, 0x2028, 0x130, 0x3A3, 0xAC00, 0x20000, 0xDFFF, 0x1F600, 0x20, 0x0A]
+    ranges = [(1, 128), (128, 0x250), (0x250, 0x8000), (0x8000, 0xD800)]
+    texts = ["", "a", "four fours", "x" * 9 + "\n\n"]
+    texts += ["".join(chr(r.choice([*odd, *(r.randrange(*x) for x in ranges)])) for _ in range(r.randrange(90))) for _ in range(400)]
+    for text, (keys, counts) in zip(texts, toxicity.vectors_of(texts), strict=True):
+        wanted = toxicity.term_keys(toxicity.terms_of(text), {})
+        assert keys.tolist() == wanted[0].tolist() and counts.tolist() == wanted[1].tolist(), text
+    assert len({toxicity.term_key(t) for t in ("abcd", "abcd*", "abc", "bacd", "\uac00b", "b\uac00")}) == 6
+
+
+def test_toxicity_search_has_frequent_terms_for_each_shard(monkeypatch):
+    """Two vocabularies with a few common words: each shard's own words are in its matrix, and the nearest are exact."""
+    monkeypatch.setattr(toxicity, "SHARD", 40)
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    r = np.random.default_rng(3)
+    terms, per = np.arange(90, dtype=np.int64), 40
+    counts = r.integers(0, 3, (4 * per, 90)) * (r.random((4 * per, 90)) < 0.4)
+    counts[: 2 * per, 10:50], counts[2 * per :, 50:] = 0, 0
+    counts[7] = 0  # an example without terms
+    arrays = []
+    for at in range(0, 4 * per, per):
+        term, row = np.nonzero(counts[at : at + per].T)
+        part = (np.arange(at, at + per) * 3, np.ones(per), np.array([per]), term, row, counts[at : at + per].T[term, row])
+        arrays.append({n: zlib.compress(x.astype(toxicity.KINDS[n]).tobytes()) for n, x in zip(toxicity.PACKED, part)})
+    idf = 1 + r.random(90)
+    index = toxicity.Index(terms, idf, arrays)
+    assert len(index.heads) == 4 and set(index.heads[0].tolist()) != set(index.heads[3].tolist())
+    weight = np.where(counts > 0, (1 + np.log(np.maximum(counts, 1))) * idf, 0.0)
+    unit = weight / np.maximum(np.linalg.norm(weight, axis=1, keepdims=True), 1e-12)
+    vectors = [(np.flatnonzero(c), c[np.flatnonzero(c)]) for c in counts]
+    for i, (places, similarity) in enumerate(index.all_nearest(vectors, 5, [3 * i for i in range(4 * per)])):
+        every = np.round(unit @ unit[i], 12)
+        every[i] = 0
+        best = np.lexsort((np.arange(4 * per), -every))[: 5 if counts[i].any() else 0]
+        assert index.ids[places].tolist() == (3 * best).tolist()
+        assert np.allclose(similarity, every[best], atol=1e-11)
+
+
 def test_toxicity_without_labels_and_with_awkward_rows(spark):
     rows, labels = lexicon_corpus(60)
     docs = spark.createDataFrame([*rows, (None, None, None, None, None), (5, "", "en", "s", 0), (5, "", "en", "s", 0)], SCHEMA)
