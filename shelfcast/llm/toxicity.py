@@ -27,9 +27,11 @@ score is 0; empty documents give no rows. Whole texts are read, of any length. R
 
 from __future__ import annotations
 
+import ctypes
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import cache
 from hashlib import blake2b
@@ -178,6 +180,7 @@ def _frequencies(vocabulary):
                 counts[found] += 1
             n += batch.num_rows
         some = np.flatnonzero(counts)
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([n], pa.int64())], names=["term", "n"])
         for at in range(0, len(some), 100_000):
             part = some[at : at + 100_000]
@@ -214,6 +217,13 @@ def _packed(vocabulary):
     return run
 
 
+def give_back() -> None:
+    """Freed pages go back to the system, where the C library can do so; it keeps them otherwise."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Index:
     """Inverted index over the examples' unit TF-IDF vectors, with matrices and block maxima of each shard's frequent terms."""
 
@@ -223,6 +233,12 @@ class Index:
     def __getstate__(self):
         return {n: self.__dict__[n] for n in ("terms", "idf", "shards")}
 
+    def release(self) -> None:
+        """Keep only what was sent: workers stay when their task is done, and there may be more of them than cores."""
+        for name in self.__dict__.keys() - {"terms", "idf", "shards"}:
+            del self.__dict__[name]
+        give_back()
+
     def __getattr__(self, name):
         """Postings are unpacked where they are first used."""
         if name.startswith("__") or "ids" in self.__dict__:
@@ -230,6 +246,17 @@ class Index:
         self._unpack()
         return getattr(self, name)
 
+    @property
+    def rows(self) -> np.ndarray:
+        """The places of the postings outside the matrices, by term."""
+        return self.rare["row"]
+
+    @property
+    def head_terms(self) -> np.ndarray:
+        """The terms of the postings in the matrices, example by example."""
+        own = np.split(self.own_terms, self.own_edge[self.first[1:-1] * BLOCK])
+        return np.concatenate([self.own_terms[:0], *(x[np.isin(self.number[x], head)] for x, head in zip(own, self.heads))])
+
     def _arrays(self, shard: dict[str, bytes], *names: str) -> list[np.ndarray]:
         return [np.frombuffer(zlib.decompress(shard[n]), KINDS[n]) for n in names]
 
@@ -256,7 +283,7 @@ class Index:
         # A shard fills whole blocks; places without an example have id -1.
         self.first = np.concatenate(([0], np.cumsum([-(-n // BLOCK) for n in sizes], dtype=np.int64)))
         n = int(self.first[-1]) * BLOCK
-        self.ids, self.labels, self.scale = np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.int32), np.zeros(n)
+        self.id_at, self.labels, self.scale = np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.int32), np.zeros(n)
         # Frequent terms as matrices in single precision, and all terms example by example for double precision.
         self.head, length, full = [], np.zeros(n), np.zeros(n, dtype=bool)
         self.own_edge = np.zeros(n + 1, dtype=np.int64)
@@ -267,10 +294,9 @@ class Index:
         free, so_far = self.edge[:-1].copy(), 0
         for i, shard in enumerate(self.shards):
             ids, labels, terms, rows, counts = self._arrays(shard, "ids", "labels", "terms", "rows", "counts")
-            self.shards[i] = None
             start, stop = int(self.first[i]) * BLOCK, int(self.first[i + 1]) * BLOCK
             here = slice(start, start + len(ids))
-            self.ids[here], self.labels[here], full[here] = ids, labels, True
+            self.id_at[here], self.labels[here], full[here] = ids, labels, True
             weight = self.logs[counts] * self.idf[terms]
             norm = np.sqrt(np.bincount(rows, weight * weight, minlength=len(ids)))
             scale = self.scale[here] = np.divide(1.0, norm, out=np.zeros(len(ids)), where=norm > 0)
@@ -298,17 +324,17 @@ class Index:
         for i, (x, head) in enumerate(zip(self.heads, self.head)):
             self.profile[x, i] = head.mean(axis=1)
         self.profile /= np.maximum(np.linalg.norm(self.profile, axis=0), 1e-9)
-        self.empty, self.shards = np.flatnonzero(~full), []
+        self.empty, self.ids = np.flatnonzero(~full), self.id_at[full]
 
     def all_nearest(self, vectors, k: int, without) -> list[tuple[np.ndarray, np.ndarray]]:
         """Of each vector (ascending terms, counts) the places and similarities of the ``k`` examples of highest cosine
         above 0, best first, ties to the smaller id; ``without`` names an example to leave out, or None."""
         out: list = [(np.empty(0, dtype=np.int64), np.empty(0))] * len(vectors)
-        some = [i for i, (terms, _) in enumerate(vectors) if len(terms) and len(self.ids)]
+        some = [i for i, (terms, _) in enumerate(vectors) if len(terms) and len(self.id_at)]
         # Vectors nearest to the same shard's frequent terms skip the same blocks.
         alike = [self._queries([vectors[i] for i in some[at : at + BATCH]])[-2] @ self.profile for at in range(0, len(some), BATCH)]
         some = [some[i] for i in np.argsort(np.concatenate([x.argmax(axis=1) for x in alike]), kind="stable")] if some else []
-        room = np.empty((min(BATCH, len(some)), len(self.ids) if some else 0), dtype=np.float32)
+        room = np.empty((min(BATCH, len(some)), len(self.id_at) if some else 0), dtype=np.float32)
         weight = np.zeros(len(self.terms))
         for at in range(0, len(some), BATCH):
             part = some[at : at + BATCH]
@@ -347,7 +373,7 @@ class Index:
         total[:, self.empty] = -np.inf
         for i, left in enumerate(without):
             if left is not None:
-                total[i, self.ids == left] = -np.inf
+                total[i, self.id_at == left] = -np.inf
         # Frequent terms by bounds: a block's maxima, or the product of the lengths.
         single = [query[:, x] for x in self.heads]
         bound = np.concatenate([x @ most for x, most in zip(single, self.most)], axis=1)
@@ -377,9 +403,12 @@ class Index:
                 near = np.concatenate((best[rows], here[rows, columns]), axis=1)
                 best[rows] = np.partition(near, -k, axis=1)[:, -k:]
                 limits = best[:, 0].astype(np.float64)
+        highest = total.reshape(len(vectors), -1, BLOCK).max(axis=2)
         edges = np.searchsorted(of, np.arange(len(vectors) + 1)).tolist()
         for i, (a, b) in enumerate(zip(edges, edges[1:])):
-            places = np.flatnonzero(total[i] >= limits[i] - 2 * MARGIN)
+            blocks = np.flatnonzero(highest[i] >= limits[i] - 2 * MARGIN)
+            at, place = np.nonzero(total[i].reshape(-1, BLOCK)[blocks] >= limits[i] - 2 * MARGIN)
+            places = blocks[at] * BLOCK + place
             if len(places) > k:
                 similarity = total[i, places]
                 places = places[similarity >= np.partition(similarity, -k)[-k] - 2 * MARGIN]
@@ -388,7 +417,7 @@ class Index:
             similarity = np.round(self._exact(places, weight), 12)
             weight[terms[a:b]] = 0
             places, similarity = places[similarity > 0], similarity[similarity > 0]
-            order = np.lexsort((self.ids[places], -similarity))[:k]
+            order = np.lexsort((self.id_at[places], -similarity))[:k]
             yield places[order], np.minimum(similarity[order], 1.0)
 
     def _exact(self, places: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -511,14 +540,17 @@ def _calibrated(examples: DataFrame, index: Index, k: int, threshold: float) ->
 
     def votes(batches):
         index = sent.value
-        for batch in batches:
-            vectors = []
-            for terms, counts in zip(batch.column(2), batch.column(3)):
-                at, found = _places(index.terms, terms.values.to_numpy())
-                vectors.append((at[found], counts.values.to_numpy()[found]))
-            found = [index.vote(*near) for near in index.all_nearest(vectors, k, batch.column(0).to_pylist())]
-            bins = [BINS if vote is None else round(vote * (BINS - 1)) for vote in found]
-            yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), batch.column(1)], names=["bin", "toxic"])
+        try:
+            for batch in batches:
+                vectors = []
+                for terms, counts in zip(batch.column(2), batch.column(3)):
+                    at, found = _places(index.terms, terms.values.to_numpy())
+                    vectors.append((at[found], counts.values.to_numpy()[found]))
+                found = [index.vote(*near) for near in index.all_nearest(vectors, k, batch.column(0).to_pylist())]
+                bins = [BINS if vote is None else round(vote * (BINS - 1)) for vote in found]
+                yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), batch.column(1)], names=["bin", "toxic"])
+        finally:
+            index.release()
 
     seen, toxic = np.zeros(BINS + 1), np.zeros(BINS + 1)
     left_out = examples.select("id", "toxic", "terms", "counts").mapInArrow(votes, "bin int, toxic int")
@@ -533,15 +565,13 @@ def _calibrated(examples: DataFrame, index: Index, k: int, threshold: float) ->
 
 def scorer(model: Model):
     """An Arrow function text -> struct of ``RESULT``. Equal vectors are searched once per task."""
-    known: dict[bytes, tuple] = {}
     sent, judge = model.sent, replace(model, index=None, sent=None)  # the index goes once to each worker
     result = pa.struct([
         ("score", pa.float64()), ("predicted", pa.int32()),
         ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))),
     ])
 
-    def score(texts: list[str]) -> list[tuple]:
-        index = sent.value
+    def score(index: Index, known: dict[bytes, tuple], texts: list[str]) -> list[tuple]:
         vectors = places_of(index.terms, texts)
         keys = [blake2b(a.tobytes() + b.tobytes(), digest_size=16).digest() for a, b in vectors]
         if len(known) > 4_000:
@@ -550,18 +580,23 @@ def scorer(model: Model):
         for key, (near, similarity) in zip(todo, index.all_nearest(list(todo.values()), judge.k, [None] * len(todo))):
             p = min(1.0, max(0.0, judge.probability(index.vote(near, similarity))))
             evidence = [
-                {"doc_id": int(index.ids[i]), "similarity": float(s), "toxic": int(index.labels[i])}
+                {"doc_id": int(index.id_at[i]), "similarity": float(s), "toxic": int(index.labels[i])}
                 for i, s in zip(near[:5], similarity[:5])
             ]
             known[key] = (p, int(p >= judge.threshold), evidence)
         return [known[key] for key in keys]
 
     @F.arrow_udf(returnType=T.StructType.fromDDL(RESULT))
-    def run(texts: pa.Array) -> pa.Array:
-        values = score([t or "" for t in texts.to_pylist()])
-        return pa.StructArray.from_arrays(
-            [pa.array([v[i] for v in values], f.type) for i, f in enumerate(result)], fields=list(result)
-        )
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index, known = sent.value, {}
+        try:
+            for texts in batches:
+                values = score(index, known, [t or "" for t in texts.to_pylist()])
+                yield pa.StructArray.from_arrays(
+                    [pa.array([v[i] for v in values], f.type) for i, f in enumerate(result)], fields=list(result)
+                )
+        finally:
+            index.release()
 
     return run
 

@@ -240,6 +240,7 @@ def test_toxicity_search_has_frequent_terms_for_each_shard(monkeypatch):
     terms, per = np.arange(90, dtype=np.int64), 40
     counts = r.integers(0, 3, (4 * per, 90)) * (r.random((4 * per, 90)) < 0.4)
     counts[: 2 * per, 10:50], counts[2 * per :, 50:] = 0, 0
+    counts[:, 80:], counts[::20, 80:] = 0, 1  # rare ones
     counts[7] = 0  # an example without terms
     arrays = []
     for at in range(0, 4 * per, per):
@@ -248,6 +249,8 @@ def test_toxicity_search_has_frequent_terms_for_each_shard(monkeypatch):
         arrays.append({n: zlib.compress(x.astype(toxicity.KINDS[n]).tobytes()) for n, x in zip(toxicity.PACKED, part)})
     idf = 1 + r.random(90)
     index = toxicity.Index(terms, idf, arrays)
+    assert len(index.rows) + len(index.head_terms) == (counts > 0).sum() and len(index.rows) and len(index.head_terms)
+    assert index.ids.tolist() == list(range(0, 12 * per, 3))  # places that fill up a block have none
     assert len(index.heads) == 4 and set(index.heads[0].tolist()) != set(index.heads[3].tolist())
     weight = np.where(counts > 0, (1 + np.log(np.maximum(counts, 1))) * idf, 0.0)
     unit = weight / np.maximum(np.linalg.norm(weight, axis=1, keepdims=True), 1e-12)
@@ -256,8 +259,13 @@ def test_toxicity_search_has_frequent_terms_for_each_shard(monkeypatch):
         every = np.round(unit @ unit[i], 12)
         every[i] = 0
         best = np.lexsort((np.arange(4 * per), -every))[: 5 if counts[i].any() else 0]
-        assert index.ids[places].tolist() == (3 * best).tolist()
+        assert index.id_at[places].tolist() == (3 * best).tolist()
         assert np.allclose(similarity, every[best], atol=1e-11)
+    near = index.all_nearest(vectors[:3], 5, [None] * 3)
+    index.release()
+    assert set(index.__dict__) == {"terms", "idf", "shards"}  # what was sent; it serves the next task
+    again = index.all_nearest(vectors[:3], 5, [None] * 3)
+    assert all(a.tolist() == c.tolist() and b.tolist() == d.tolist() for (a, b), (c, d) in zip(near, again))
 
 
 def test_toxicity_without_labels_and_with_awkward_rows(spark):
