@@ -15,6 +15,7 @@ Null texts count as empty (no ids, empty text). Repeated rows and extra columns
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import small_batches, text_or_empty
+from shelfcast.llm.common import give_back, small_batches, text_or_empty
 
 MARKER = "▁"
 RESULT = "ids array<int>, decoded string"
@@ -121,27 +122,33 @@ class WordTable:
 
 
 _WORDS = re.compile(f"{MARKER}({MARKER}*[^{MARKER}]*)")
-RUN_CHARS = 2_000_000
+RUN_CHARS = 250_000
 RUN_WORDS = 500
 
 
+def _structs(ids: list[bytes], decoded: list[str]) -> pa.StructArray:
+    offsets = np.concatenate(([0], np.cumsum([len(i) // 4 for i in ids]))).astype(np.int32)
+    values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), pa.int32())
+    lists = pa.ListArray.from_arrays(pa.array(offsets), values)
+    return pa.StructArray.from_arrays([lists, pa.array(decoded, pa.string())], names=["ids", "decoded"])
+
+
 def encoder(model_path: str, table_size: int = 100_000):
     """An Arrow function text -> struct of ``RESULT``. The model file is read on the driver."""
     with open(model_path, "rb") as file:
         model = file.read()
     if not separable(WordTable(model, 0).processor):
         raise ValueError("pieces of this vocabulary may cross whitespace markers")
-    tables: list[WordTable] = []
 
     @F.arrow_udf(returnType=T.StructType.fromDDL(RESULT))
-    def run(texts: pa.Array) -> pa.Array:
-        if not tables:
-            tables.append(WordTable(model, table_size))
-        ids, decoded = tables[0].run(texts.to_pylist())
-        offsets = np.concatenate(([0], np.cumsum([len(i) // 4 for i in ids]))).astype(np.int32)
-        values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), pa.int32())
-        ids = pa.ListArray.from_arrays(pa.array(offsets), values)
-        return pa.StructArray.from_arrays([ids, pa.array(decoded, pa.string())], names=["ids", "decoded"])
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = WordTable(model, table_size)
+        try:
+            for texts in batches:
+                yield _structs(*table.run(texts.to_pylist()))
+        finally:
+            del table
+            give_back()
 
     return run
 

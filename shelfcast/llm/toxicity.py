@@ -27,7 +27,6 @@ score is 0; empty documents give no rows. Whole texts are read, of any length. R
 
 from __future__ import annotations
 
-import ctypes
 import re
 import zlib
 from collections import Counter
@@ -44,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
 
-from shelfcast.llm.common import col, fresh, small_batches, stored, text_or_empty
+from shelfcast.llm.common import col, fresh, give_back, small_batches, stored, text_or_empty
 
 SHARD = 1024
 BLOCK = 128
@@ -217,13 +216,6 @@ def _packed(vocabulary):
     return run
 
 
-def give_back() -> None:
-    """Freed pages go back to the system, where the C library can do so; it keeps them otherwise."""
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 class Index:
     """Inverted index over the examples' unit TF-IDF vectors, with matrices and block maxima of each shard's frequent terms."""
 

@@ -6,8 +6,10 @@ import hashlib
 import os
 import random
 import re
+import weakref
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -241,6 +243,26 @@ def test_pieces_equal_the_library(spark, awkward):
             assert (row["pieces"]["ids"], row["pieces"]["decoded"]) == (ids, sp.decode(ids)), row["text"]
 
 
+def test_the_word_table_ends_with_its_task(spark, monkeypatch):
+    """Workers stay after a task; what it knew goes back to the system."""
+    tables, given = [], []
+
+    class Watched(pieces.WordTable):
+        def __init__(self, model, size):
+            super().__init__(model, size)
+            tables.append(weakref.ref(self))
+
+    monkeypatch.setattr(pieces, "WordTable", Watched)
+    monkeypatch.setattr(pieces, "give_back", lambda: given.append([t() for t in tables]))
+    run = pieces.encoder(MODEL).func
+    tables.clear()
+    texts = ["a word", "", "another word"]
+    out = [x for part in run(iter([pa.array(texts[:1]), pa.array(texts[1:])])) for x in part.to_pylist()]
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    assert out == [{"ids": sp.encode(t), "decoded": t} for t in texts]
+    assert given == [[None]]
+
+
 @real
 def test_pieces_query(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
