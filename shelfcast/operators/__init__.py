@@ -1 +1 @@
-"""DataFrame operators. All are lazy but ``leak_scan``, which measures one side before joining."""
+"""DataFrame operators. All are lazy but the two scans of ``leaks``, which stage counted cells and the parts of the values."""

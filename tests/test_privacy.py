@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_of, rows
 from shelfcast.contracts import EXPORT_COLUMNS
 from shelfcast.functions.digest import PrivacyError
 from shelfcast.operators import leaks, privacy
@@ -124,6 +125,49 @@ def test_scan_without_values_or_text(spark):
     assert rows(leaks.leak_scan(spark.createDataFrame([(None,)], "t string"), personal(spark))) == []
 
 
+def test_policy_scan_equals_the_scan_of_the_output(spark, landed, digest):
+    others = [
+        {"customer_id": "cust-2", "product_name": "for cust-2", "channel": " ", "customer_postcode": None},
+        {"customer_id": " cust-2", "product_name": "card 1-URGENT", "channel": "cust-2", "customer_postcode": "n1 9gu"},
+    ]
+    row = landed.first().asDict()
+    rows_in = spark.createDataFrame([row, row, *[{**row, **o} for o in others]], landed.schema).withColumn("file", F.lit("of cust-2.csv"))
+    policy = [
+        privacy.FieldPolicy(p.field, privacy.GENERALISE, "", lambda c: F.coalesce(F.upper(c), F.lit("no cust-2")), "area")
+        if p.field == "customer_postcode" else privacy.FieldPolicy(p.field, privacy.KEEP, "", None, "mail")
+        if p.field == "customer_email" else p
+        for p in privacy.SALES_POLICY
+    ]
+    fields = ["customer_id", "customer_email", "loyalty_id"]
+    more = spark.createDataFrame([("1-URGENT",), ("N1 9GU",)], "value string")
+    values = rows_in.select(F.explode(F.array(*fields)).alias("value")).union(more)
+    want = sorted(rows(leaks.leak_scan(privacy.apply_policy(rows_in, digest, policy, ("file",)), values)))
+    found = leaks.policy_leak_scan(rows_in, digest, policy, fields, ("file",), more)
+    assert sorted(rows(found)) == want
+    assert {("area", "cust-2", 1), ("file", "cust-2", 4), ("product_name", "1-URGENT", 1), ("area", "N1 9GU", 3)} <= set(want)
+
+
+def test_policy_scan_reads_the_rows_once(spark, landed, digest):
+    read = Observation("landed")
+    many = landed.crossJoin(spark.range(500)).drop("id").observe(read, F.count(F.lit(1)).alias("n"))
+    weak = [privacy.FieldPolicy(p.field, privacy.KEEP) if p.field == "customer_email" else p for p in privacy.SALES_POLICY]
+    found = leaks.policy_leak_scan(many, digest, weak, ["customer_id", "customer_email"])
+    assert "Range" not in plan_of(found)  # only counted texts are read from here on
+    assert rows(found) == [("customer_email", "jo@mail.example", 500)] and read.get["n"] == 500
+
+
+def test_few_parts_of_texts_without_values_are_shuffled(spark):
+    values = spark.createDataFrame([(f"customer-{i:05}",) for i in range(300)], "value string")
+    parts = leaks.rarest_parts(values)
+    assert {len(r.part) == r.width == 8 and r.part in r.value for r in parts.collect()} == {True}
+    texts = spark.range(2000).selectExpr("id as cell", "sha2(cast(id as string), 256) as text")
+    wanted = parts.select("value", "width", F.xxhash64("part").alias("hash"))
+    cut = texts.select("cell", F.explode(leaks._hashes(F.col("text"), F.lit(8))).alias("hash"))
+    assert cut.count() > 100_000 and leaks._filtered(cut, wanted).count() < 100
+    held = values.select(F.monotonically_increasing_id().alias("cell"), F.concat(F.lit("a "), "value").alias("text"))
+    assert leaks.candidates(held, parts).select("value").distinct().count() == 300  # none is lost
+
+
 def test_row_leaks(spark):
     df = spark.createDataFrame(
         [("mail a@b", "a@b", "s"), ("mail", "c@d", "s"), ("x", " ", "s"), ("x", None, "s")],
